@@ -18,8 +18,9 @@ def genre_list(genres: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def genre_flag(genres: Column, genre: str) -> Column:
-    return F.array_contains(genre_list(genres), genre).cast("int")
+def genre_flag(listed: Column, genre: str) -> Column:
+    """1 if the array of genres holds this one, else 0."""
+    return F.array_contains(listed, genre).cast("int")
 
 
 def genre_map(genres: Column) -> Column:

@@ -54,12 +54,17 @@ def asof_join(entities: DataFrame, features: DataFrame, keys: Sequence[str], ent
             .withColumn("_group", F.when(F.col("_hot"), F.monotonically_increasing_id() % spread)
                         .otherwise(F.lit(0))))
 
-    known = (features.where(F.col(feature_time).isNotNull())
-             .groupBy(*keys, F.col(feature_time).alias("_ts"))
-             .agg(F.max(F.struct(*values)).alias("_values"))
-             .select(*keys, "_ts", F.struct(F.col("_values.*"), F.col("_ts").alias("_known")).alias("_feature"))
-             .join(hot, keys, "left")
-             .withColumn("_segment", _segment_of(F.col("_ts"), segment)))
+    values_of = F.struct(*[F.col(v) for v in values])
+    tagged = (features.where(F.col(feature_time).isNotNull())
+              .select(*keys, F.col(feature_time).alias("_ts"), values_of.alias("_values"))
+              .join(hot, keys, "left")
+              .withColumn("_segment", _segment_of(F.col("_ts"), segment)))
+    # Only a hot key's rows are worth reducing to one per instant before they meet.
+    reduced = (tagged.where(F.col("_hot")).groupBy(*keys, "_ts", "_segment", "_hot")
+               .agg(F.max("_values").alias("_values")))
+    known = (tagged.where(F.col("_hot").isNull()).unionByName(reduced)
+             .select(*keys, "_ts", "_segment", "_hot",
+                     F.struct(F.col("_values.*"), F.col("_ts").alias("_known")).alias("_feature")))
 
     by_segment = [*keys, "_segment"]
     closing = (known.where(F.col("_hot")).groupBy(*by_segment)
@@ -78,7 +83,7 @@ def asof_join(entities: DataFrame, features: DataFrame, keys: Sequence[str], ent
 
     both = (left.withColumn("_side", F.lit(1))
             .unionByName(right.withColumn("_side", F.lit(0)), allowMissingColumns=True))
-    so_far = (Window.partitionBy(*by_segment, "_group").orderBy("_ts", "_side")
+    so_far = (Window.partitionBy(*by_segment, "_group").orderBy("_ts", "_side", "_feature")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     met = (both.withColumn("_found", F.last("_feature", ignorenulls=True).over(so_far))
            .where(F.col("_side") == 1))

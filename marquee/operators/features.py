@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.functions.genres import genre_flag, genre_list, genre_map, has_genres
+from marquee.functions.genres import genre_flag, genre_list, genre_map
 from marquee.functions.scalars import SECONDS_PER_DAY, std_or_zero
+from marquee.session import durable
 
 
 def _known_at(ratings: DataFrame, as_of: int | None) -> DataFrame:
@@ -50,8 +51,8 @@ def genre_one_hot(movies: DataFrame, vocabulary: Sequence[str] | None = None) ->
     names = vocabulary_list(movies) if vocabulary is None else vocabulary
     if len({n.lower() for n in names}) < len(names):
         raise ValueError("genres differ in case only; use genre_maps")
-    flags = [F.coalesce(genre_flag(F.col("genres"), g), F.lit(0)).alias(f"genre_{g}") for g in names]
-    return movies.select("*", *flags)
+    flags = [genre_flag(F.col("_genres"), g).alias(f"genre_{g}") for g in names]
+    return movies.withColumn("_genres", genre_list(F.col("genres"))).select(*movies.columns, *flags)
 
 
 def genre_maps(movies: DataFrame) -> DataFrame:
@@ -63,10 +64,10 @@ def movie_aggregates(ratings: DataFrame, as_of: int | None = None) -> DataFrame:
     """Rating aggregates, popularity and the weighted quality score per movie.
 
     The score pulls a movie's mean towards the global mean with the weight of
-    an average movie's rating count. Both come from the per-movie rows, so the
-    ratings are read for one aggregation only.
+    an average movie's rating count. Both come from the per-movie rows, which
+    are written once so that the ratings are read and aggregated once only.
     """
-    per_movie = _rating_aggregates(_known_at(ratings, as_of), "movie_idx", "movie")
+    per_movie = durable(_rating_aggregates(_known_at(ratings, as_of), "movie_idx", "movie"), "per-movie")
     count, mean = F.col("movie_rating_count"), F.col("movie_avg_rating")
     typical = per_movie.agg(F.avg(count)).scalar()
     overall = per_movie.agg(F.sum(mean * count) / F.sum(count)).scalar()
@@ -88,32 +89,28 @@ def movie_features(ratings: DataFrame, movies: DataFrame, as_of: int | None = No
     return genre_one_hot(joined, vocabulary_list(known) if vocabulary is None else vocabulary)
 
 
-def genre_affinity(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Count and mean rating per (user, genre); a repeated genre counts again.
+def _genre_counts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+    """Rows and mean rating per (user, genre); a null genre counts ratings without any.
 
-    Ratings are summed per (user, genres text) before the genres are split, so
-    a row is multiplied by its genres only after the pre-aggregation.
+    Genres multiply rows only between the join and the map-side aggregation.
     """
-    per_text = (ratings.join(movies.select("movie_idx", "genres"), "movie_idx")
-                .where(has_genres(F.col("genres")))
-                .groupBy("user_idx", "genres")
-                .agg(F.count("*").alias("_n"), F.sum("rating").alias("_sum"),
-                     F.count("rating").alias("_rated")))
-    per_genre = (per_text
-                 .select("user_idx", F.explode(genre_list(F.col("genres"))).alias("genre"),
-                         "_n", "_sum", "_rated")
-                 .groupBy("user_idx", "genre")
-                 .agg(F.sum("_n").alias("n"), F.sum("_sum").alias("_sum"), F.sum("_rated").alias("_rated")))
-    return per_genre.select("user_idx", "genre", "n",
-                            F.try_divide("_sum", "_rated").alias("avg_rating"))
+    listed = genre_list(F.col("genres"))
+    return (ratings.join(movies.select("movie_idx", "genres"), "movie_idx", "left")
+            .select("user_idx", "rating", F.explode_outer(listed).alias("genre"))
+            .groupBy("user_idx", "genre")
+            .agg(F.count("*").alias("n"), F.avg("rating").alias("avg_rating")))
+
+
+def genre_affinity(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+    """Count and mean rating per (user, genre); a repeated genre counts again."""
+    return _genre_counts(ratings, movies).where(F.col("genre").isNotNull())
 
 
 def favourite_genre(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Each user's most rated genre, ties to the first name; else Unknown, 0, 0."""
-    best = genre_affinity(ratings, movies).groupBy("user_idx").agg(
-        F.min(F.struct((-F.col("n")).alias("neg"), "genre", "avg_rating")).alias("best"))
-    users = ratings.select("user_idx").distinct()
-    return users.join(best, "user_idx", "left").select(
+    named = F.when(F.col("genre").isNotNull(), F.struct((-F.col("n")).alias("neg"), "genre", "avg_rating"))
+    best = _genre_counts(ratings, movies).groupBy("user_idx").agg(F.min(named).alias("best"))
+    return best.select(
         "user_idx",
         F.coalesce("best.genre", F.lit("Unknown")).alias("user_favorite_genre"),
         F.coalesce(-F.col("best.neg"), F.lit(0)).alias("user_favorite_genre_count"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators import clean, profile, split
 from marquee.plans.common import MOVIES, RATINGS, Query, rounded, sql, time_texts
@@ -105,12 +105,12 @@ def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def chrono_split(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split(spark, folder)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return split.labelled_split(proxies.ratings(spark, folder))
 
 
 def split_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    return time_texts(rounded(split.split_ranges(*_split(spark, folder))), "first_time", "last_time")
+    ranges = split.split_ranges(split.labelled_split(proxies.ratings(spark, folder)))
+    return time_texts(rounded(ranges), "first_time", "last_time")
 
 
 def known_test_rows(spark: SparkSession, folder: str) -> DataFrame:
