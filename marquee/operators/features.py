@@ -16,9 +16,9 @@ def _known_at(ratings: DataFrame, as_of: int | None) -> DataFrame:
     return ratings if as_of is None else ratings.where(F.col("timestamp") <= as_of)
 
 
-def _rating_aggregates(ratings: DataFrame, key: str, prefix: str) -> DataFrame:
+def _rating_aggregates(ratings: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     rating, time = F.col("rating"), F.col("timestamp")
-    return ratings.groupBy(key).agg(
+    return ratings.groupBy(*keys).agg(
         F.avg(rating).alias(f"{prefix}_avg_rating"),
         std_or_zero(rating).alias(f"{prefix}_rating_std"),
         F.count(rating).alias(f"{prefix}_rating_count"),
@@ -29,10 +29,23 @@ def _rating_aggregates(ratings: DataFrame, key: str, prefix: str) -> DataFrame:
     ).withColumn(f"{prefix}_rating_range", F.col(f"{prefix}_max_rating") - F.col(f"{prefix}_min_rating"))
 
 
-def user_features(ratings: DataFrame, as_of: int | None = None) -> DataFrame:
+def _user_aggregates(ratings: DataFrame, keys: Sequence[str]) -> DataFrame:
     days = (F.col("user_last_rating_time") - F.col("user_first_rating_time")) / SECONDS_PER_DAY
-    return _rating_aggregates(_known_at(ratings, as_of), "user_idx", "user").withColumn(
-        "user_days_active", days)
+    return _rating_aggregates(ratings, keys, "user").withColumn("user_days_active", days)
+
+
+def user_features(ratings: DataFrame, as_of: int | None = None) -> DataFrame:
+    return _user_aggregates(_known_at(ratings, as_of), ["user_idx"])
+
+
+def user_feature_history(ratings: DataFrame, cutoffs: Sequence[int]) -> DataFrame:
+    """``user_features`` as of each cutoff, with ``as_of`` in epoch seconds.
+
+    One pass: a rating counts towards every cutoff it precedes, and the copies
+    meet the map-side aggregation at once.
+    """
+    reached = F.filter(F.array(*[F.lit(c).cast("long") for c in cutoffs]), lambda c: c >= F.col("timestamp"))
+    return _user_aggregates(ratings.withColumn("as_of", F.explode(reached)), ["user_idx", "as_of"])
 
 
 def genre_vocabulary(movies: DataFrame) -> DataFrame:
@@ -67,7 +80,7 @@ def movie_aggregates(ratings: DataFrame, as_of: int | None = None) -> DataFrame:
     an average movie's rating count. Both come from the per-movie rows, which
     are written once so that the ratings are read and aggregated once only.
     """
-    per_movie = durable(_rating_aggregates(_known_at(ratings, as_of), "movie_idx", "movie"), "per-movie")
+    per_movie = durable(_rating_aggregates(_known_at(ratings, as_of), ["movie_idx"], "movie"), "per-movie")
     count, mean = F.col("movie_rating_count"), F.col("movie_avg_rating")
     typical = per_movie.agg(F.avg(count)).scalar()
     overall = per_movie.agg(F.sum(mean * count) / F.sum(count)).scalar()
@@ -92,11 +105,12 @@ def movie_features(ratings: DataFrame, movies: DataFrame, as_of: int | None = No
 def _genre_counts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Rows and mean rating per (user, genre); a null genre counts ratings without any.
 
-    Genres multiply rows only between the join and the map-side aggregation.
+    Each movie's genres are split once, before the join; they multiply rows only
+    between the join and the map-side aggregation.
     """
-    listed = genre_list(F.col("genres"))
-    return (ratings.join(movies.select("movie_idx", "genres"), "movie_idx", "left")
-            .select("user_idx", "rating", F.explode_outer(listed).alias("genre"))
+    listed = movies.select("movie_idx", genre_list(F.col("genres")).alias("_genres"))
+    return (ratings.join(listed, "movie_idx", "left")
+            .select("user_idx", "rating", F.explode_outer("_genres").alias("genre"))
             .groupBy("user_idx", "genre")
             .agg(F.count("*").alias("n"), F.avg("rating").alias("avg_rating")))
 

@@ -135,12 +135,10 @@ def asof_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def historical_features(spark: SparkSession, folder: str) -> DataFrame:
     """User features of yearly snapshots, as known at each order."""
-    ratings = proxies.ratings(spark, folder)
-    snapshots = reduce(DataFrame.unionByName, [
-        features.user_features(ratings, int(_utc(y, 1, 1).timestamp()))
-        .select("user_idx", "user_avg_rating", "user_rating_count")
-        .withColumn("event_timestamp", F.lit(_utc(y, 1, 1)))
-        for y in SNAPSHOT_YEARS])
+    cutoffs = [int(_utc(y, 1, 1).timestamp()) for y in SNAPSHOT_YEARS]
+    snapshots = features.user_feature_history(proxies.ratings(spark, folder), cutoffs).select(
+        "user_idx", "user_avg_rating", "user_rating_count",
+        F.timestamp_seconds("as_of").alias("event_timestamp"))
     lacking = {f: F.lit(None) for f in store.USER_BATCH.features if f not in snapshots.columns}
     orders = proxies.table(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("user_idx"),
