@@ -155,8 +155,13 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], by: Sequence[str] = (
     """
     by = list(by)
     have = [c for c in df.columns if c not in by]
+    # A check of a column that is not there fails without looking at rows.
+    absent = {n for n, check in enumerate(suite)
+              if check.kind not in _COLUMN_CHECKS and not set(check.columns) <= set(have)}
     aggregates = [F.count("*").alias("_rows")]
     for number, check in enumerate(suite):
+        if number in absent:
+            continue
         if check.kind in _ROW_CHECKS:
             value = F.col(check.columns[0])
             aggregates.append(F.count_if(_ROW_CHECKS[check.kind](value, check)).alias(f"_bad_{number}"))
@@ -169,8 +174,10 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], by: Sequence[str] = (
     rows = F.col("_rows")
     entries = []
     for number, check in enumerate(suite):
-        table_level = check.kind in _COLUMN_CHECKS or check.kind == _ROW_COUNT
-        if check.kind in _COLUMN_CHECKS:
+        table_level = number in absent or check.kind in _COLUMN_CHECKS or check.kind == _ROW_COUNT
+        if number in absent:
+            good = F.lit(False)
+        elif check.kind in _COLUMN_CHECKS:
             good = F.lit(_COLUMN_CHECKS[check.kind](have, check))
         elif check.kind == _ROW_COUNT:
             good = ~_outside(rows, check)
@@ -184,10 +191,12 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], by: Sequence[str] = (
             good.alias("_good"),
             rows.alias("element_count"),
             (F.lit(0).cast("long") if table_level else F.col(f"_null_{number}")).alias("missing_count"),
-            (F.col(f"_bad_{number}") if check.kind in _ROW_CHECKS else F.lit(0).cast("long")).alias("_bad")))
+            (F.col(f"_bad_{number}") if check.kind in _ROW_CHECKS and not table_level
+             else F.lit(0).cast("long")).alias("_bad")))
     results = measured.select(*by, F.inline(F.array(*entries)))
 
-    uniqueness = [_repeated(df, check, n, by) for n, check in enumerate(suite) if check.kind in _UNIQUE]
+    uniqueness = [_repeated(df, check, n, by) for n, check in enumerate(suite)
+                  if check.kind in _UNIQUE and n not in absent]
     if uniqueness:
         repeated = reduce(DataFrame.unionByName, uniqueness)
         is_unique = F.col("expectation_type").isin(*_UNIQUE)

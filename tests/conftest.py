@@ -4,8 +4,8 @@ from pyspark.sql import SparkSession
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (SparkSession.builder.master("local[4]").appName("marquee-tests")
-               .config("spark.sql.shuffle.partitions", "4")
+    session = (SparkSession.builder.master("local[8]").appName("marquee-tests")
+               .config("spark.sql.shuffle.partitions", "2")
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
