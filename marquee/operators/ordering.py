@@ -71,7 +71,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     ranked = cumulative(counts, [*keys, value], "_n", "_upto")
     before = F.col("_upto") - F.col("_n")
     groups = ranked.groupBy(*keys).agg(F.min(before).alias("_base"), F.sum("_n").alias("_total"))
-    spread = ranked.join(groups, list(keys)) if keys else ranked.join(F.broadcast(groups))
+    if keys:
+        spread = ranked.join(groups, list(keys))
+    else:
+        spread = ranked.select("*", F.lit(0).alias("_base"), groups.select("_total").scalar().alias("_total"))
     first, last = before - F.col("_base"), F.col("_upto") - F.col("_base") - 1
 
     def at(rank: Column) -> Column:

@@ -14,12 +14,20 @@ from marquee.session import ensure_checkpoint_dir
 MOST_PER_REQUEST = 100
 INVALID_INPUT, USER_NOT_FOUND = "invalid_input", "user_not_found"
 
+# The fit is cut into blocks of about this many pairs.
+PAIRS_PER_BLOCK = 2_000_000
+
 
 def train(interactions: DataFrame, **settings) -> ALSModel:
-    """Fit the factor model on (user_idx, movie_idx, weight) rows."""
+    """Fit the factor model on (user_idx, movie_idx, weight) rows.
+
+    Pairs must be distinct, which also bounds what one user or item adds to a
+    block. The number of blocks follows the number of pairs.
+    """
     ensure_checkpoint_dir(interactions.sparkSession)
-    chosen = {"rank": 30, "maxIter": 10, "seed": 42, "implicitPrefs": True,
-              "coldStartStrategy": "drop", **settings}
+    blocks = max(10, -(-interactions.count() // PAIRS_PER_BLOCK))
+    chosen = {"rank": 30, "maxIter": 10, "seed": 42, "implicitPrefs": True, "coldStartStrategy": "drop",
+              "numUserBlocks": blocks, "numItemBlocks": blocks, **settings}
     return ALS(userCol="user_idx", itemCol="movie_idx", ratingCol="weight", **chosen).fit(interactions)
 
 
@@ -138,6 +146,14 @@ def responses(recommendations: DataFrame) -> DataFrame:
     return lists.withColumn("count", F.size("recommendations"))
 
 
+def batch_recommend(recommendations: DataFrame, history: DataFrame) -> DataFrame:
+    """Each answered request with its list and the user's best rated movies."""
+    entry = F.struct("rank", "movieId", "title", "genres", "rating")
+    lists = history.groupBy("user_idx").agg(
+        F.array_sort(F.collect_list(entry)).alias("user_history"))
+    return responses(recommendations).join(lists, "user_idx", "left")
+
+
 def user_history(ratings: DataFrame, movies: DataFrame, n: int = 10) -> DataFrame:
     """Each user's best rated movies, equal ratings by movie, then newest.
 

@@ -149,11 +149,12 @@ def online_features(entities: DataFrame, latest: Mapping[str, DataFrame],
 
 def online_lookup(spark: SparkSession, latest: Mapping[str, DataFrame],
                   user_ids: Sequence[int] | None = None, movie_ids: Sequence[int] | None = None,
-                  refs: Sequence[str] | None = None) -> DataFrame:
+                  refs: Sequence[str] | None = None,
+                  defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Look up listed ids; users win if both are given."""
     key, ids = ("user_idx", user_ids) if user_ids else ("movie_idx", movie_ids or [])
     entities = spark.createDataFrame([(i,) for i in ids], f"{key} long")
-    return online_features(entities, latest, refs)
+    return online_features(entities, latest, refs, defaults)
 
 
 def user_bundle(users: DataFrame, latest: Mapping[str, DataFrame]) -> DataFrame:

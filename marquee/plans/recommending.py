@@ -71,6 +71,17 @@ def recommend_requests(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(found)
 
 
+def batch_recommend(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per answered request, with history, the lists written as text."""
+    history = recommend.user_history(proxies.ratings(spark, folder), proxies.movies(spark, folder))
+    answered = recommend.batch_recommend(recommend_requests(spark, folder), history)
+    return answered.select(
+        "request_id", "user_idx", "count",
+        F.concat_ws(",", F.transform("recommendations", lambda e: e.movie_idx.cast("string"))).alias("recommended"),
+        F.concat_ws(",", F.transform("user_history", lambda e: F.concat(
+            e.movieId, F.lit(":"), e.rating))).alias("history"))
+
+
 def user_history_top10(spark: SparkSession, folder: str) -> DataFrame:
     return recommend.user_history(proxies.ratings(spark, folder), proxies.movies(spark, folder))
 
@@ -121,7 +132,7 @@ def als_evaluate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    recommend_topn, exclude_seen, recommend_boosted, request_errors, recommend_requests,
+    recommend_topn, exclude_seen, recommend_boosted, request_errors, recommend_requests, batch_recommend,
     user_history_top10, score_histogram, precision_recall_at_10, auc_per_user, mean_ranking_metrics,
     als_recommend, als_evaluate)}
 
@@ -145,6 +156,19 @@ at10 AS (SELECT p.user_idx, count(*) AS n_positives, count(r.rank) AS hits
     FROM pos p LEFT JOIN ranked r ON p.user_idx = r.user_idx AND p.movie_idx = r.movie_idx AND r.rank <= 10
     GROUP BY 1)"""
 
+_HISTORY = """SELECT user_idx, row_number() OVER (PARTITION BY user_idx
+    ORDER BY rating DESC, movie_idx, "timestamp" DESC) AS rank, movie_idx, "movieId", title, genres, rating
+    FROM ratings JOIN movies USING (movie_idx) QUALIFY rank <= 10"""
+_ANSWERS = f"""SELECT request_id, c.user_idx, rank, r.movie_idx, "movieId", title, genres,
+    round(score * CASE WHEN use_features AND a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE)
+          ELSE 1 END, 6) AS score
+    FROM checked c JOIN (
+        SELECT *, TRUE AS x, {_RANK} AS rank FROM unseen
+        UNION ALL SELECT *, FALSE AS x, {_RANK} AS rank FROM scores) r
+      ON c.user_idx = r.user_idx AND c.exclude_rated = r.x AND r.rank <= c.n
+    LEFT JOIN act ON act.user_idx = c.user_idx JOIN movies m ON m.movie_idx = r.movie_idx
+    WHERE error IS NULL"""
+
 ORACLES: dict[str, str] = {
     "recommend_topn": sql(f"""SELECT user_idx, movie_idx, round(score, 6) AS score, {_RANK} AS rank FROM scores
         QUALIFY rank <= 10""", RATINGS, FACTORS),
@@ -157,18 +181,16 @@ ORACLES: dict[str, str] = {
                              RATINGS, FACTORS, EVENTS, MOVIES, _ACTIVITY),
     "request_errors": sql("SELECT error AS type, count(*) AS n FROM checked WHERE error IS NOT NULL GROUP BY 1",
                           EVENTS, _REQUESTS),
-    "recommend_requests": sql(f"""SELECT request_id, c.user_idx, rank, r.movie_idx, "movieId", title, genres,
-        round(score * CASE WHEN use_features AND a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE)
-              ELSE 1 END, 6) AS score
-        FROM checked c JOIN (
-            SELECT *, TRUE AS x, {_RANK} AS rank FROM unseen
-            UNION ALL SELECT *, FALSE AS x, {_RANK} AS rank FROM scores) r
-          ON c.user_idx = r.user_idx AND c.exclude_rated = r.x AND r.rank <= c.n
-        LEFT JOIN act ON act.user_idx = c.user_idx JOIN movies m ON m.movie_idx = r.movie_idx
-        WHERE error IS NULL""", RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _UNSEEN, _ACTIVITY, _REQUESTS),
-    "user_history_top10": sql("""SELECT user_idx, row_number() OVER (PARTITION BY user_idx
-        ORDER BY rating DESC, movie_idx, "timestamp" DESC) AS rank, movie_idx, "movieId", title, genres, rating
-        FROM ratings JOIN movies USING (movie_idx) QUALIFY rank <= 10""", RATINGS, MOVIES),
+    "recommend_requests": sql(_ANSWERS, RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _UNSEEN, _ACTIVITY, _REQUESTS),
+    "batch_recommend": sql("""SELECT request_id, l.user_idx AS user_idx, l.n AS "count", l.recommended AS recommended,
+        coalesce(h.history, '') AS history
+        FROM (SELECT request_id, user_idx, CAST(count(*) AS INT) AS n,
+                     string_agg(movie_idx, ',' ORDER BY rank) AS recommended FROM answers GROUP BY 1, 2) l
+        LEFT JOIN (SELECT user_idx, string_agg("movieId" || ':' || rating, ',' ORDER BY rank) AS history
+                   FROM hist GROUP BY 1) h ON l.user_idx = h.user_idx""",
+                           RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _UNSEEN, _ACTIVITY, _REQUESTS,
+                           f"answers AS ({_ANSWERS})", f"hist AS ({_HISTORY})"),
+    "user_history_top10": sql(_HISTORY, RATINGS, MOVIES),
     "score_histogram": sql("""SELECT le, count(*) FILTER (WHERE bound IS NULL OR score <= bound) AS n FROM
         (SELECT score FROM scores JOIN seen USING (user_idx, movie_idx)), (VALUES """ + ", ".join(
             f"('{b}', CAST({b} AS DOUBLE))" for b in SCORE_BOUNDS) + """, ('+Inf', NULL)) b(le, bound)

@@ -14,6 +14,7 @@ from marquee.streaming import counters, jobs, sinks, windows
 
 WINDOW, SLIDE = "24 hours", "6 hours"
 COUNT_SIZE = 10
+GAP = "6 hours"
 
 
 def _stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,9 +22,9 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
     return proxies.event_stream(spark, folder).withColumn("genres", named)
 
 
-def _keyed(spark: SparkSession, rows: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
+def _keyed(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame:
     table = sinks.KeyedTable(spark, scratch_path(spark, "keyed"), keys)
-    sinks.drain(rows, table.write, mode)
+    sinks.drain(rows, table.write)
     return table.read()
 
 
@@ -124,13 +125,14 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _keyed(spark, counters.sessions(_stream(spark, folder), "6 hours", lateness="60 days"),
-                  ["user_idx", "session_start"], "complete")
-    return time_texts(rows, "session_start", "session_end")
+    panes = _keyed(spark, counters.session_panes(_stream(spark, folder), GAP, lateness="60 days"),
+                   ["user_idx", "pane_start"])
+    return time_texts(counters.sessions(panes, GAP), "session_start", "session_end")
 
 
 def batch_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    return time_texts(counters.sessions(proxies.events(spark, folder), "6 hours"), "session_start", "session_end")
+    panes = counters.session_panes(proxies.events(spark, folder), GAP)
+    return time_texts(counters.sessions(panes, GAP), "session_start", "session_end")
 
 
 def stream_count_window(spark: SparkSession, folder: str) -> DataFrame:

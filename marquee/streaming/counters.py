@@ -6,8 +6,10 @@ genres. Every function works on a stream and on a table alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from marquee.functions.scalars import micros
 from marquee.operators.monitor import spread_panes
 
 # Event types that count as watching.
@@ -124,18 +126,41 @@ def batch_summary(batch: DataFrame, last: int = 3) -> DataFrame:
              newest.scalar().alias("last_events"))
 
 
-def deduplicated(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop repeats of an event id, within the watermark on a stream."""
-    if events.isStreaming:
-        return events.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
-    return events.dropDuplicates(["event_id"])
+def deduplicated(events: DataFrame, lateness: str = LATENESS, spread: int = 8) -> DataFrame:
+    """Drop repeats of an event id, within the watermark on a stream.
 
+    A table collapses copies before its shuffle. A stream has no such step, so
+    copies of one id are first dropped in ``spread`` groups; 1 skips that.
+    """
+    if not events.isStreaming:
+        return events.dropDuplicates(["event_id"])
+    rows = events.withWatermark("ts", lateness)
+    if spread > 1:
+        rows = (rows.withColumn("_group", F.spark_partition_id() % spread)
+                .dropDuplicatesWithinWatermark(["event_id", "_group"]).drop("_group"))
+    return rows.dropDuplicatesWithinWatermark(["event_id"])
+
+
+def session_panes(events: DataFrame, gap: str = "30 minutes", key: str = "user_idx",
+                  lateness: str = LATENESS) -> DataFrame:
+    """Per key and stretch of one ``gap``: events, first and last time.
 
-def sessions(events: DataFrame, gap: str = "30 minutes", key: str = "user_idx",
-             lateness: str = LATENESS) -> DataFrame:
-    """Runs of a key's events with no pause longer than ``gap``."""
+    Events in one stretch are closer than the gap, so they share a session and
+    can be counted before anything is shuffled, however many a key has.
+    """
     rows = events.withWatermark("ts", lateness) if events.isStreaming else events
-    return rows.groupBy(F.session_window("ts", gap).alias("session"), key).agg(
-        F.count("*").alias("events")).select(
-            key, F.col("session.start").alias("session_start"),
-            F.col("session.end").alias("session_end"), "events")
+    return rows.groupBy(F.window("ts", gap).alias("pane"), key).agg(
+        F.count("*").alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).select(
+            key, F.col("pane.start").alias("pane_start"), "events", "first_ts", "last_ts")
+
+
+def sessions(panes: DataFrame, gap: str = "30 minutes", key: str = "user_idx") -> DataFrame:
+    """Runs of a key's events with no pause longer than ``gap``, from their panes."""
+    in_order = Window.partitionBy(key).orderBy("first_ts")
+    pause = F.unix_micros("first_ts") - F.unix_micros(F.lag("last_ts").over(in_order))
+    opens = F.when(pause <= micros(pd.Timedelta(gap)), 0).otherwise(1)
+    numbered = panes.withColumn("_opens", opens).withColumn("_session", F.sum("_opens").over(in_order))
+    end = F.timestamp_micros(F.unix_micros(F.max("last_ts")) + micros(pd.Timedelta(gap)))
+    return numbered.groupBy(key, "_session").agg(
+        F.min("first_ts").alias("session_start"), end.alias("session_end"),
+        F.sum("events").alias("events")).drop("_session")

@@ -61,6 +61,7 @@ def test_null_genres_do_not_overwrite_and_zero_movies_are_optional(spark):
     assert counters.last_genre(df.where("event_id = 2")).first()["user_last_genre"] == "Unknown"
 
 
+@pytest.mark.parametrize("parts", [1, 3])
 def test_count_windows_continue_over_batches(spark, tmp_path, parts):
     rows = make_events()
     table = windows.CountWindows(spark, str(tmp_path / "cw"), "user_idx", 10)
@@ -106,24 +107,36 @@ def test_sliding_activity_equals_sliding_windows(spark, tmp_path):
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     late = (999, 1, 1, "view", START - timedelta(days=3), None)
-    rows = make_events(40) + make_events(40)[-1:] + [late]
-    stream = as_stream(spark, tmp_path, rows[:40] + [late], 41)
+    stream = as_stream(spark, tmp_path, make_events(40) + [late], 3)
     table = sinks.KeyedTable(spark, str(tmp_path / "late"), ["window_start", "user_idx"])
     query = sinks.drain(counters.activity_panes(stream, "15 minutes", "1 minute"), table.write)
     assert table.read().agg(F.sum("events")).first()[0] == 40
     assert sinks.late_rows(query) == 1
 
 
-def test_dedup_and_sessions(spark, tmp_path):
+@pytest.mark.parametrize("spread", [1, 4])
+def test_repeated_events_are_dropped(spark, tmp_path, spread):
     rows = make_events(50)
-    doubled = as_stream(spark, tmp_path, rows + rows[-5:], 1)
+    stream = as_stream(spark, tmp_path, rows + rows[-5:] * 3, 2)
     table = sinks.BatchTable(spark, str(tmp_path / "dedup"))
-    sinks.drain(counters.deduplicated(doubled, "1 day"), table.write, "append")
+    sinks.drain(counters.deduplicated(stream, "1 day", spread), table.write, "append")
     assert tuples(table.read(), "event_id") == [(r[0],) for r in rows]
-    df = spark.createDataFrame([(i, 1, 1, "view", START + timedelta(minutes=m), None)
-                                for i, m in enumerate((0, 20, 49, 80, 200))], SCHEMA)
-    assert tuples(counters.sessions(df), "events") == [(1,), (1,), (3,)]
-    assert counters.deduplicated(df.union(df)).count() == 5
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert counters.deduplicated(df.union(df)).count() == 50
+
+
+def test_sessions_equal_session_windows(spark, tmp_path):
+    pick = random.Random(8)
+    rows = [(i, pick.randrange(3), 1, "view", START + timedelta(minutes=pick.randrange(3000)), None) for i in range(150)]
+    rows += [(900, 7, 1, "view", START, None), (901, 7, 1, "view", START + timedelta(minutes=30), None),
+             (902, 7, 1, "view", START + timedelta(minutes=61), None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    native = df.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_idx").agg(F.count("*").alias("n"))
+    want = tuples(native.select("user_idx", "s.start", "s.end", "n"))
+    assert tuples(counters.sessions(counters.session_panes(df))) == want
+    table = sinks.KeyedTable(spark, str(tmp_path / "panes"), ["user_idx", "pane_start"])
+    sinks.drain(counters.session_panes(as_stream(spark, tmp_path, rows, 3), lateness="9 days"), table.write)
+    assert tuples(counters.sessions(table.read())) == want
 
 
 def test_recent_and_summary(spark):
