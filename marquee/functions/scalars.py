@@ -34,9 +34,10 @@ def timestamp_to_iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def epoch_text(seconds: Column) -> Column:
-    """Epoch seconds as plain decimals: at least one, at most six."""
-    return F.regexp_replace(seconds.cast("decimal(20,6)").cast("string"), "0{1,5}$", "")
+def number_text(value: Column) -> Column:
+    """A double in plain decimals, with at least one."""
+    digits = value.cast("decimal(38,18)").cast("string")
+    return F.when(value == 0, "0.0").otherwise(F.regexp_replace(digits, "0{1,17}$", ""))
 
 
 def micros(span: timedelta) -> int:

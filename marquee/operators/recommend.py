@@ -76,16 +76,15 @@ def recommend_unseen(users: DataFrame, items: DataFrame, n: int = 10,
                      seen: DataFrame | None = None) -> DataFrame:
     """Best ``n`` items per user from factor tables, without ``seen`` pairs.
 
-    A user with s seen items asks for n + s, of which at most s can fall away,
-    so the result is exact for any s.
+    Seen items are taken out where they are scored, so each user leaves its
+    task with ``n`` rows at most. A user's list holds an item once.
     """
     if seen is None:
-        asked = users.withColumn("keep", F.lit(n))
-        return top_n(best_items(asked, items, "keep"), n)
-    sizes = seen.groupBy("user_idx").agg(F.count("*").alias("_seen"))
-    asked = (users.join(sizes, "user_idx", "left")
-             .withColumn("keep", (F.coalesce("_seen", F.lit(0)) + n).cast("int")).drop("_seen"))
-    return top_n(exclude_seen(best_items(asked, items, "keep"), seen), n)
+        return top_n(best_items(users, items, n), n)
+    lists = seen.groupBy("user_idx").agg(F.collect_set(F.col("movie_idx").cast("long")).alias("seen"))
+    asked = users.join(lists, "user_idx", "left").withColumn(
+        "seen", F.coalesce("seen", F.array().cast("array<long>")))
+    return top_n(best_items(asked, items, n, "seen"), n)
 
 
 def boost(scores: DataFrame, activity: DataFrame, cap: int = 20, step: float = 0.01) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions.scalars import HALF_STARS, epoch_text
+from marquee.functions.scalars import HALF_STARS, number_text
 
 # Bounds the checks use, in epoch seconds.
 TIME_1995 = 788918400
@@ -271,15 +271,15 @@ def validate_events(events: DataFrame, now: float, allowed_types: Sequence[str]
     rating_error = F.when(kind == "rating", F.coalesce(
         error(rating.isNull(), "Rating event missing 'rating' field"),
         error(~rating.between(min(half_stars), max(half_stars)),
-              "Rating out of range: ", rating.cast("string")),
-        error(~rating.isin(list(half_stars)), "Rating not in 0.5 increments: ", rating.cast("string"))))
+              "Rating out of range: ", number_text(rating)),
+        error(~rating.isin(list(half_stars)), "Rating not in 0.5 increments: ", number_text(rating))))
     broken = F.array_compact(F.array(
         error(~kind.isin(list(allowed_types)), "Invalid event_type: ", kind),
         rating_error,
         error(F.col("user_idx") < 0, "Invalid user_idx: ", F.col("user_idx").cast("string")),
         error(F.col("movie_idx") < 0, "Invalid movie_idx: ", F.col("movie_idx").cast("string")),
-        error(time > now + CLOCK_SKEW_SECONDS, "Timestamp in future: ", epoch_text(time)),
-        error(time < TIME_1995, "Timestamp too old: ", epoch_text(time))))
+        error(time > now + CLOCK_SKEW_SECONDS, "Timestamp in future: ", number_text(time)),
+        error(time < TIME_1995, "Timestamp too old: ", number_text(time))))
     return (events.withColumn("errors", F.when(F.size(missing) > 0, missing).otherwise(broken))
             .withColumn("valid", F.size("errors") == 0))
 

@@ -13,6 +13,8 @@ from marquee.streaming import counters
 
 # Request rules see only users below this number.
 N_USERS = 120
+# Scores have nine decimals, raised ones eleven: no value lies half-way between two roundings.
+DECIMALS = 12
 SCORE_BOUNDS = [-1.0, -0.5, -0.25, 0.0, 0.25, 0.5, 1.0, 2.0]
 
 
@@ -35,18 +37,18 @@ def _positives(ratings: DataFrame) -> DataFrame:
 
 
 def recommend_topn(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10))
+    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10), DECIMALS)
 
 
 def exclude_seen(spark: SparkSession, folder: str) -> DataFrame:
     seen = recommend.seen_pairs(_known_ratings(spark, folder))
-    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10, seen=seen))
+    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10, seen=seen), DECIMALS)
 
 
 def recommend_boosted(spark: SparkSession, folder: str) -> DataFrame:
     ranked = recommend.recommend_unseen(*_factors(spark, folder), n=10)
     activity = counters.user_activity(proxies.events(spark, folder))
-    return rounded(recommend.with_metadata(recommend.boost(ranked, activity), proxies.movies(spark, folder)))
+    return rounded(recommend.with_metadata(recommend.boost(ranked, activity), proxies.movies(spark, folder)), DECIMALS)
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +70,7 @@ def recommend_requests(spark: SparkSession, folder: str) -> DataFrame:
     activity = counters.user_activity(proxies.events(spark, folder))
     found, _ = recommend.recommend(users, items, _requests(spark, folder), _known_ratings(spark, folder),
                                    proxies.movies(spark, folder), activity, N_USERS)
-    return rounded(found)
+    return rounded(found, DECIMALS)
 
 
 def batch_recommend(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,7 +126,7 @@ def als_recommend(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on train, then ten unseen movies with metadata for every user."""
     users, items, train, _ = _trained(spark, folder)
     ranked = recommend.recommend_unseen(users, items, 10, recommend.seen_pairs(train))
-    return rounded(recommend.with_metadata(ranked, proxies.movies(spark, folder)))
+    return rounded(recommend.with_metadata(ranked, proxies.movies(spark, folder)), DECIMALS)
 
 
 def als_evaluate(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,7 +163,7 @@ _HISTORY = """SELECT user_idx, row_number() OVER (PARTITION BY user_idx
     FROM ratings JOIN movies USING (movie_idx) QUALIFY rank <= 10"""
 _ANSWERS = f"""SELECT request_id, c.user_idx, rank, r.movie_idx, "movieId", title, genres,
     round(score * CASE WHEN use_features AND a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE)
-          ELSE 1 END, 6) AS score
+          ELSE 1 END, 12) AS score
     FROM checked c JOIN (
         SELECT *, TRUE AS x, {_RANK} AS rank FROM unseen
         UNION ALL SELECT *, FALSE AS x, {_RANK} AS rank FROM scores) r
@@ -170,12 +172,12 @@ _ANSWERS = f"""SELECT request_id, c.user_idx, rank, r.movie_idx, "movieId", titl
     WHERE error IS NULL"""
 
 ORACLES: dict[str, str] = {
-    "recommend_topn": sql(f"""SELECT user_idx, movie_idx, round(score, 6) AS score, {_RANK} AS rank FROM scores
+    "recommend_topn": sql(f"""SELECT user_idx, movie_idx, round(score, 12) AS score, {_RANK} AS rank FROM scores
         QUALIFY rank <= 10""", RATINGS, FACTORS),
-    "exclude_seen": sql(f"""SELECT user_idx, movie_idx, round(score, 6) AS score, {_RANK} AS rank FROM unseen
+    "exclude_seen": sql(f"""SELECT user_idx, movie_idx, round(score, 12) AS score, {_RANK} AS rank FROM unseen
         QUALIFY rank <= 10""", RATINGS, FACTORS, _SEEN, _UNSEEN),
     "recommend_boosted": sql(f"""SELECT user_idx, r.movie_idx, rank, "movieId", title, genres,
-        round(score * CASE WHEN a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE) ELSE 1 END, 6) AS score
+        round(score * CASE WHEN a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE) ELSE 1 END, 12) AS score
         FROM (SELECT *, {_RANK} AS rank FROM scores QUALIFY rank <= 10) r
         LEFT JOIN act USING (user_idx) JOIN movies m ON m.movie_idx = r.movie_idx""",
                              RATINGS, FACTORS, EVENTS, MOVIES, _ACTIVITY),

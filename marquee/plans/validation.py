@@ -178,7 +178,7 @@ _SERVICE = """svc0 AS (SELECT event_id, user_idx - 3 AS user_idx,
          ELSE epoch_us(ts) / CAST(1000000 AS DOUBLE) END AS t,
     CASE WHEN movie_idx % 7 <> 0 THEN CASE WHEN movie_idx % 2 = 0 THEN floor("value" / 10) * 0.5
          ELSE "value" / 20 END END AS rating FROM ev),
-svc AS (SELECT *, regexp_replace(CAST(CAST(t AS DECIMAL(20, 6)) AS VARCHAR), '0{1,5}$', '') AS t_text FROM svc0)"""
+svc AS (SELECT *, CAST(t AS VARCHAR) AS t_text FROM svc0)"""
 
 ORACLES: dict[str, str] = {
     "validate_ratings": sql(_checks("ratings", _ratings_entries("TRUE")), RATINGS),
