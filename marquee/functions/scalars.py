@@ -25,6 +25,10 @@ def epoch_to_timestamp(seconds: Column) -> Column:
     return F.timestamp_micros(F.round(seconds * 1_000_000).cast("long"))
 
 
+def timestamp_to_epoch(ts: Column) -> Column:
+    return F.unix_micros(ts) / 1_000_000
+
+
 def iso_to_timestamp(text: Column) -> Column:
     """ISO-8601 text to a timestamp, null if it is not one."""
     return F.try_to_timestamp(text)
@@ -35,9 +39,14 @@ def timestamp_to_iso(ts: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """A double in plain decimals, with at least one."""
-    digits = value.cast("decimal(38,18)").cast("string")
-    return F.when(value == 0, "0.0").otherwise(F.regexp_replace(digits, "0{1,17}$", ""))
+    """A double in plain decimals, with at least one, where Spark's own text has an exponent."""
+    def plain(scale: int) -> Column:
+        digits = value.cast(f"decimal(38,{scale})").cast("string")
+        return F.regexp_replace(digits, f"0{{1,{scale - 1}}}$", "")
+
+    size = F.abs(value)
+    return (F.when((value == 0) | size.between(0.001, 9_999_999), value.cast("string"))
+            .when(size < 1, plain(30)).otherwise(plain(18)))
 
 
 def micros(span: timedelta) -> int:

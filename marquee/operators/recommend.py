@@ -39,6 +39,11 @@ def item_factors(model: ALSModel) -> DataFrame:
     return model.itemFactors.select(F.col("id").cast("long").alias("movie_idx"), "features")
 
 
+def user_bound(users: DataFrame) -> Column:
+    """One above the greatest known index."""
+    return users.agg(F.max("user_idx") + 1).scalar()
+
+
 def check_requests(requests: DataFrame, n_users: int | Column) -> DataFrame:
     """Add ``error``: the label of the first broken rule, or null."""
     user, n = F.col("user_idx"), F.col("n_recommendations")
@@ -109,7 +114,7 @@ def recommend(users: DataFrame, items: DataFrame, requests: DataFrame, ratings:
     use_features). Each user is scored once however often requested.
     """
     if n_users is None:
-        n_users = users.agg(F.max("user_idx") + 1).scalar()
+        n_users = user_bound(users)
     checked = check_requests(requests, n_users)
     good = accepted(checked)
     asked = good.groupBy("user_idx", "exclude_rated").agg(

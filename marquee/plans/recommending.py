@@ -11,8 +11,6 @@ from marquee.session import durable
 from marquee.sources import proxies
 from marquee.streaming import counters
 
-# Request rules see only users below this number.
-N_USERS = 120
 # Scores have nine decimals, raised ones eleven: no value lies half-way between two roundings.
 DECIMALS = 12
 SCORE_BOUNDS = [-1.0, -0.5, -0.25, 0.0, 0.25, 0.5, 1.0, 2.0]
@@ -55,21 +53,23 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """Events as requests, some of them out of bounds."""
     return proxies.events(spark, folder).select(
         F.col("event_id").alias("request_id"),
-        (F.col("user_idx") - 2).alias("user_idx"),
+        (F.col("user_idx") * 4 - 2).alias("user_idx"),
         F.floor(F.col("value") / 3).cast("int").alias("n_recommendations"),
         (F.col("event_type") != "view").alias("exclude_rated"),
         (F.col("event_type") == "click").alias("use_features"))
 
 
 def request_errors(spark: SparkSession, folder: str) -> DataFrame:
-    return recommend.error_counts(recommend.check_requests(_requests(spark, folder), N_USERS))
+    users, _ = _factors(spark, folder)
+    checked = recommend.check_requests(_requests(spark, folder), recommend.user_bound(users))
+    return recommend.error_counts(checked)
 
 
 def recommend_requests(spark: SparkSession, folder: str) -> DataFrame:
     users, items = _factors(spark, folder)
     activity = counters.user_activity(proxies.events(spark, folder))
     found, _ = recommend.recommend(users, items, _requests(spark, folder), _known_ratings(spark, folder),
-                                   proxies.movies(spark, folder), activity, N_USERS)
+                                   proxies.movies(spark, folder), activity)
     return rounded(found, DECIMALS)
 
 
@@ -147,10 +147,11 @@ _UNSEEN = """unseen AS (SELECT * FROM scores s WHERE NOT EXISTS (
 _CLEAN_HIGH = """pos AS (SELECT h.user_idx, h.movie_idx FROM high h WHERE NOT EXISTS (
     SELECT 1 FROM low WHERE low.user_idx = h.user_idx AND low.movie_idx = h.movie_idx))"""
 _ACTIVITY = "act AS (SELECT user_idx, count(*) AS a FROM ev GROUP BY 1)"
-_REQUESTS = f"""req AS (SELECT event_id AS request_id, user_idx - 2 AS user_idx,
+_REQUESTS = """req AS (SELECT event_id AS request_id, user_idx * 4 - 2 AS user_idx,
     CAST(floor("value" / 3) AS INT) AS n, event_type <> 'view' AS exclude_rated,
     event_type = 'click' AS use_features FROM ev),
-checked AS (SELECT *, CASE WHEN user_idx < 0 THEN 'invalid_input' WHEN user_idx >= {N_USERS} THEN 'user_not_found'
+checked AS (SELECT *, CASE WHEN user_idx < 0 THEN 'invalid_input' WHEN user_idx > (SELECT max(vec_id) FROM embeddings)
+    THEN 'user_not_found'
     WHEN n < 1 OR n > 100 THEN 'invalid_input' END AS error FROM req)"""
 _AT_10 = f"""ranked AS (SELECT *, {_RANK} AS rank FROM scores s WHERE NOT EXISTS (
     SELECT 1 FROM low WHERE low.user_idx = s.user_idx AND low.movie_idx = s.movie_idx)),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from marquee import schemas
-from marquee.functions.scalars import iso_to_timestamp
+from marquee.functions.scalars import epoch_to_timestamp, iso_to_timestamp, timestamp_to_epoch
 
 TOPIC = "movie_events"
 
@@ -22,11 +22,22 @@ def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC,
             .load())
 
 
+def with_event_time(events: DataFrame) -> DataFrame:
+    """Add ``ts``, whether ``timestamp`` holds ISO text or epoch seconds."""
+    given = F.col("timestamp")
+    is_text = isinstance(events.schema["timestamp"].dataType, StringType)
+    return events.withColumn("ts", iso_to_timestamp(given) if is_text else epoch_to_timestamp(given))
+
+
+def service_form(events: DataFrame) -> DataFrame:
+    """Events with ``timestamp`` in epoch seconds, as the event rules read it."""
+    return with_event_time(events).withColumn("timestamp", timestamp_to_epoch(F.col("ts")))
+
+
 def decode(messages: DataFrame, schema: StructType = schemas.PRODUCED_EVENT) -> DataFrame:
     """JSON values to typed events with a real event time ``ts``."""
     event = F.from_json(F.col("value").cast("string"), schema)
-    return (messages.select(event.alias("event")).select("event.*")
-            .withColumn("ts", iso_to_timestamp(F.col("timestamp"))))
+    return with_event_time(messages.select(event.alias("event")).select("event.*"))
 
 
 def encode(events: DataFrame) -> DataFrame:

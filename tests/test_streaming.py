@@ -174,6 +174,34 @@ def test_messages_keep_their_values(spark):
     assert again["key"] == "3" and json.loads(again["value"]) == produced[0]
 
 
+def test_messages_to_features(spark, tmp_path):
+    """JSON in, broken events aside, both views kept from the good ones."""
+    pick = random.Random(6)
+    messages = [{"event_id": f"e{i}", "user_idx": pick.randrange(-1, 4), "movie_idx": pick.randrange(5),
+                 "event_type": pick.choice(["view", "like", "search"]),
+                 "timestamp": (START + timedelta(minutes=i)).isoformat(), "session_id": "s"} for i in range(60)]
+    spark.createDataFrame([(json.dumps(m),) for m in messages], "value string").write.text(str(tmp_path / "topic"))
+    events = kafka.service_form(kafka.decode(spark.readStream.text(str(tmp_path / "topic"))))
+    query, good, bad = jobs.split_valid(events, str(tmp_path / "checked"), now=START.timestamp() + 1e6)
+    query.awaitTermination()
+    fine = [m for m in messages if m["user_idx"] >= 0 and m["event_type"] != "like"]
+    assert good.read().count() == len(fine) and bad.read().count() == len(messages) - len(fine)
+    stream = spark.readStream.schema(good.read().schema).parquet(good.path + "/batches/*").withColumn(
+        "genres", F.lit(None).cast("string"))
+    query, users, movies = jobs.update_features(stream, str(tmp_path / "views"))
+    query.awaitTermination()
+    assert dict(tuples(users.read(), "user_idx", "user_recent_activity")) == {
+        u: sum(m["user_idx"] == u for m in fine) for u in {m["user_idx"] for m in fine}}
+    assert dict(tuples(movies.read(), "movie_idx", "movie_popularity")) == {
+        v: sum(m["movie_idx"] == v and m["event_type"] == "view" for m in fine)
+        for v in {m["movie_idx"] for m in fine if m["event_type"] == "view"}}
+
+
+def test_event_time_from_epoch_seconds(spark):
+    df = spark.createDataFrame([(1704164645.25,)], "timestamp double")
+    assert kafka.service_form(df).first()["ts"] == datetime(2024, 1, 2, 3, 4, 5, 250000)
+
+
 def test_rocksdb_state_gives_the_same(spark, tmp_path):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     try:
