@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,6 +18,7 @@ HOT_KEYS = 1000
 SEGMENT = timedelta(hours=1)
 # Entity rows of one segment of a hot key are spread over this many groups.
 SPREAD = 16
+KEYLESS_GROUPS = 1000
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -40,22 +42,31 @@ def asof_join(entities: DataFrame, features: DataFrame, keys: Sequence[str], ent
     Entity and feature rows meet in one sort per key. All values of a feature
     row travel as one struct, so rows never mix. Of feature rows at one instant
     the greatest values win. A hot key is cut into time segments, each opened by
-    the feature carried over from earlier ones, and its entity rows are spread;
-    its features repeat per spread group.
+    the feature carried over from earlier ones, and its entity rows are spread
+    over groups, in each of which its features repeat.
     """
     keys = list(keys)
     counted = entities.select(*keys).unionByName(features.select(*keys))
     hot = F.broadcast(hot_keys(counted, keys, hot_rows))
 
     payload = F.struct(*[F.col(c) for c in entities.columns])
-    left = entities.select(*keys, F.col(entity_time).alias("_ts"), payload.alias("_entity"))
-    left = (left.join(hot, keys, "left")
-            .withColumn("_segment", _segment_of(F.col("_ts"), segment))
-            .withColumn("_group", F.when(F.col("_hot"), F.monotonically_increasing_id() % spread)
-                        .otherwise(F.lit(0))))
+    left = (entities.select(*keys, F.col(entity_time).alias("_ts"), payload.alias("_entity"))
+            .join(hot, keys, "left")
+            .withColumn("_segment", _segment_of(F.col("_ts"), segment)))
+    # Equal rows of a hot key travel as one, and a hash of the rest picks the
+    # group, so a task that runs again places every row where it was before.
+    counted_once = (left.where(F.col("_hot")).groupBy(*left.columns)
+                    .agg(F.count("*").alias("_copies"))
+                    .withColumn("_group", F.pmod(F.xxhash64("_entity"), F.lit(spread))))
+    # Rows without a key match nothing, however many there are; they only need spreading.
+    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    group = F.when(keyless, F.pmod(F.xxhash64("_entity"), F.lit(KEYLESS_GROUPS))).otherwise(F.lit(0))
+    left = (left.where(F.col("_hot").isNull())
+            .select("*", F.lit(1).cast("long").alias("_copies"), group.cast("long").alias("_group"))
+            .unionByName(counted_once))
 
     values_of = F.struct(*[F.col(v) for v in values])
-    tagged = (features.where(F.col(feature_time).isNotNull())
+    tagged = (features.dropna(subset=[*keys, feature_time])
               .select(*keys, F.col(feature_time).alias("_ts"), values_of.alias("_values"))
               .join(hot, keys, "left")
               .withColumn("_segment", _segment_of(F.col("_ts"), segment)))
@@ -86,7 +97,8 @@ def asof_join(entities: DataFrame, features: DataFrame, keys: Sequence[str], ent
     so_far = (Window.partitionBy(*by_segment, "_group").orderBy("_ts", "_side", "_feature")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     met = (both.withColumn("_found", F.last("_feature", ignorenulls=True).over(so_far))
-           .where(F.col("_side") == 1))
+           .where(F.col("_side") == 1)
+           .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))))
 
     found, at = F.col("_found"), F.col("_ts")
     fresh = found.isNotNull() & at.isNotNull()

@@ -59,8 +59,10 @@ def test_values_of_two_rows_never_mix(frame):
     assert run(frame, [(1, 1, at(30))], features, None)[0][3:5] == (None, 5)
 
 
-def test_identical_entity_rows_all_come_back(frame):
-    assert len(run(frame, [(1, 1, at(30))] * 3, [(1, at(10), 1, 2)], None)) == 3
+@pytest.mark.parametrize("hot_rows", [2, 10_000_000])
+def test_identical_entity_rows_all_come_back(frame, hot_rows):
+    got = run(frame, [(1, 1, at(30))] * 3 + [(2, 1, None)] * 2, [(1, at(10), 1, 2)], None, hot_rows=hot_rows)
+    assert [r[3] for r in got] == [1, 1, 1, None, None]
 
 
 def test_hot_key_is_cut_into_many_groups(frame):
@@ -69,3 +71,8 @@ def test_hot_key_is_cut_into_many_groups(frame):
     f = frame([(1, at(10), 1, 2)], "k long, ft timestamp, a long, b long")
     plan = asof_join(e, f, ["k"], "t", "ft", ["a"])._jdf.queryExecution().toString()
     assert "_segment" in plan.split("hashpartitioning(k", 1)[1][:60]
+
+
+def test_rows_without_a_key_match_nothing(frame):
+    got = run(frame, [(i, None, at(30)) for i in range(5)] + [(9, 1, at(30))], [(None, at(1), 5, 5), (1, at(1), 6, 6)], None)
+    assert [r[3] for r in got] == [None] * 5 + [6]
