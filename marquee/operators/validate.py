@@ -22,6 +22,17 @@ CLOCK_SKEW_SECONDS = 60
 EVENT_TYPES = ["rating", "view", "click", "search"]
 REQUIRED_FIELDS = ["user_idx", "movie_idx", "event_type", "timestamp"]
 
+# The texts of event errors, most of them followed by the value found.
+MISSING_FIELD = "Missing required field: "
+BAD_TYPE = "Invalid event_type: "
+NO_RATING = "Rating event missing 'rating' field"
+RATING_RANGE = "Rating out of range: "
+RATING_STEP = "Rating not in 0.5 increments: "
+BAD_USER = "Invalid user_idx: "
+BAD_MOVIE = "Invalid movie_idx: "
+TOO_LATE = "Timestamp in future: "
+TOO_OLD = "Timestamp too old: "
+
 
 @dataclass(frozen=True)
 class Expectation:
@@ -101,6 +112,7 @@ def row_count(low: int | None = None, high: int | None = None) -> Expectation:
     return Expectation(_ROW_COUNT, (), low, high)
 
 
+# Fixed values in both suites: the columns, bounds and row counts expected.
 def ratings_suite(latest: int = TIME_2025) -> list[Expectation]:
     return [
         columns_in_order("user_idx", "movie_idx", "rating", "timestamp"),
@@ -262,24 +274,22 @@ def validate_events(events: DataFrame, now: float, allowed_types: Sequence[str]
     """
     kind, rating, time = F.col("event_type"), F.col("rating"), F.col("timestamp")
 
-    def error(condition: Column, *text: str | Column) -> Column:
-        parts = [F.lit(t) if isinstance(t, str) else t for t in text]
-        return F.when(condition, F.concat(*parts))
+    def error(condition: Column, text: str, found: Column | None = None) -> Column:
+        return F.when(condition, F.lit(text) if found is None else F.concat(F.lit(text), found))
 
     missing = F.array_compact(F.array(*[
-        error(F.col(f).isNull(), f"Missing required field: {f}") for f in REQUIRED_FIELDS]))
+        error(F.col(f).isNull(), MISSING_FIELD + f) for f in REQUIRED_FIELDS]))
     rating_error = F.when(kind == "rating", F.coalesce(
-        error(rating.isNull(), "Rating event missing 'rating' field"),
-        error(~rating.between(min(half_stars), max(half_stars)),
-              "Rating out of range: ", number_text(rating)),
-        error(~rating.isin(list(half_stars)), "Rating not in 0.5 increments: ", number_text(rating))))
+        error(rating.isNull(), NO_RATING),
+        error(~rating.between(min(half_stars), max(half_stars)), RATING_RANGE, number_text(rating)),
+        error(~rating.isin(list(half_stars)), RATING_STEP, number_text(rating))))
     broken = F.array_compact(F.array(
-        error(~kind.isin(list(allowed_types)), "Invalid event_type: ", kind),
+        error(~kind.isin(list(allowed_types)), BAD_TYPE, kind),
         rating_error,
-        error(F.col("user_idx") < 0, "Invalid user_idx: ", F.col("user_idx").cast("string")),
-        error(F.col("movie_idx") < 0, "Invalid movie_idx: ", F.col("movie_idx").cast("string")),
-        error(time > now + CLOCK_SKEW_SECONDS, "Timestamp in future: ", number_text(time)),
-        error(time < TIME_1995, "Timestamp too old: ", number_text(time))))
+        error(F.col("user_idx") < 0, BAD_USER, F.col("user_idx").cast("string")),
+        error(F.col("movie_idx") < 0, BAD_MOVIE, F.col("movie_idx").cast("string")),
+        error(time > now + CLOCK_SKEW_SECONDS, TOO_LATE, number_text(time)),
+        error(time < TIME_1995, TOO_OLD, number_text(time))))
     return (events.withColumn("errors", F.when(F.size(missing) > 0, missing).otherwise(broken))
             .withColumn("valid", F.size("errors") == 0))
 
