@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bloom_dedup, decontaminate, simhash, token_planes
+from marquee.llm import (
+    backoff_lm, bloom_dedup, decontaminate, mixing, perspectives, pii_tagger, quality_cnn, simhash, token_planes, warc)
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_planes.read_tokens(
@@ -30,6 +35,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "fingerprint", "component_id"))
 
 
+def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_cnn.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_cnn.add_score(docs, model).select(
+        "doc_id", F.coalesce(quality_cnn.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= quality_cnn.KEEP_FROM).cast("int").alias("predicted"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.schedule(docs, mixing.tempered_weights(docs))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_windows(docs, table(spark, sf_dir, "benchmark"))
@@ -44,8 +62,23 @@ def op7_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = backoff_lm.score(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_found", F.round("log_score", 4).alias("log_score"))
+
+
+def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii_tagger.find_personal_data(docs, pii_tagger.fit(docs))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_token_planes, op3_simhash, op6_decontaminate, op7_bloom_dedup)}
+    op1_warc_derivatives, op2_token_planes, op3_simhash, op4_quality_cnn, op5_mixing, op6_decontaminate,
+    op7_bloom_dedup, op8_backoff_lm, op9_perspectives, op10_personal_data)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -75,6 +108,32 @@ found AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op8_backoff_lm": rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{_UPPER}', '{_LOWER}'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+tokens AS (SELECT doc_id, i, w[i] AS word, w[i - 1] AS before
+           FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+total AS (SELECT count(*) AS n FROM tokens),
+words AS (SELECT word, count(*) AS n, count(*) * {backoff_lm.VOCABULARY} >= (SELECT n FROM total) AS common
+          FROM tokens GROUP BY word),
+rare AS (SELECT sum(n) / count(*) AS n FROM words WHERE NOT common),
+pairs AS (SELECT before, word, count(*) AS n FROM tokens
+          WHERE i > 1 AND before IN (SELECT word FROM words WHERE common)
+            AND word IN (SELECT word FROM words WHERE common)
+          GROUP BY before, word HAVING count(*) >= {backoff_lm.LEAST_COUNT}),
+scored AS (
+  SELECT t.doc_id, p.n IS NOT NULL AS found,
+         CASE WHEN p.n IS NOT NULL THEN ln(p.n / b.n)
+              ELSE ln(CASE WHEN w.common THEN w.n ELSE (SELECT n FROM rare) END / (SELECT n FROM total))
+                   + CASE WHEN t.i > 1 THEN ln({backoff_lm.ALPHA}) ELSE 0 END END AS log
+  FROM tokens t JOIN words w ON t.word = w.word
+  LEFT JOIN pairs p ON t.i > 1 AND t.before = p.before AND t.word = p.word
+  LEFT JOIN words b ON t.before = b.word),
+sums AS (SELECT doc_id, count_if(found) AS n_found, sum(log) AS log_score FROM scored GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_found, 0) AS BIGINT) AS n_found,
+       round(coalesce(log_score, 0), 4) AS log_score
+FROM d LEFT JOIN sums USING (doc_id)""",
     "op7_bloom_dedup": r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce("text", ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
