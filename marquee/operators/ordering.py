@@ -24,8 +24,8 @@ def _starts(per_part: DataFrame, size: str) -> DataFrame:
     return per_part.select("_part", F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias("_start"))
 
 
-def positions(df: DataFrame, order: Sequence[str | Column], name: str = "position") -> DataFrame:
-    """Add each row's 0-based place in the total order."""
+def _placed(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """Rows in range partitions, with their partition, place in it, and place in the total order."""
     placed = durable(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id()), "positions")
@@ -33,7 +33,12 @@ def positions(df: DataFrame, order: Sequence[str | Column], name: str = "positio
               .withColumn("_place", F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)))
     starts = _starts(placed.groupBy("_part").agg(F.count("*").alias("_size")), "_size")
     return (placed.join(F.broadcast(starts), "_part")
-            .select(*df.columns, (F.col("_start") + F.col("_place")).alias(name)))
+            .withColumn(name, F.col("_start") + F.col("_place")).drop("_start", "_row"))
+
+
+def positions(df: DataFrame, order: Sequence[str | Column], name: str = "position") -> DataFrame:
+    """Add each row's 0-based place in the total order."""
+    return _placed(df, order, name).select(*df.columns, name)
 
 
 def cumulative(df: DataFrame, order: Sequence[str], value: str, name: str = "running") -> DataFrame:
@@ -51,12 +56,45 @@ def cumulative(df: DataFrame, order: Sequence[str], value: str, name: str = "run
             .select(*df.columns, (F.col(name) + F.col("_start")).alias(name)))
 
 
+def _run_starts(placed: DataFrame, keys: Sequence[str], name: str, position: str) -> DataFrame:
+    """Add ``name``, the position at which the run of rows with equal ``keys`` begins.
+
+    ``placed`` comes from ``_placed``. A run begins inside its partition or was
+    carried into it; what is carried is worked out from one row per partition, so
+    no key is joined on and a hot one stays spread. Null keys are a run too.
+    """
+    key = F.struct(*[F.col(k) for k in keys])
+    within = Window.partitionBy("_part").orderBy("_place")
+    opens = ~key.eqNullSafe(F.lag(key).over(within))
+    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    began = (placed.withColumn("_opens", F.when(opens | (F.col("_place") == 0), F.col(position)))
+             .withColumn("_began", F.max("_opens").over(so_far)))
+    edge = placed.groupBy("_part").agg(
+        F.min_by(key, "_place").alias("_first_key"), F.max_by(key, "_place").alias("_last_key"),
+        F.min(position).alias("_from"))
+    last = began.groupBy("_part").agg(F.max("_began").alias("_last_began"))
+    by_part = Window.orderBy("_part")
+    carried = F.col("_first_key").eqNullSafe(F.lag("_last_key").over(by_part)) & (F.lag("_part").over(by_part).isNotNull())
+    # A partition that only carries on an earlier run passes that run's start along.
+    parts = (edge.join(last, "_part").withColumn("_carried", carried)
+             .withColumn("_hands_on", F.when(F.col("_carried") & (F.col("_last_began") == F.col("_from")), None)
+                         .otherwise(F.col("_last_began")))
+             .withColumn("_came", F.last("_hands_on", ignorenulls=True).over(
+                 by_part.rowsBetween(Window.unboundedPreceding, -1)))
+             .select("_part", "_from", F.when(F.col("_carried"), F.col("_came")).alias("_came")))
+    return (began.join(F.broadcast(parts), "_part")
+            .withColumn(name, F.when(F.col("_began") == F.col("_from"), F.coalesce("_came", "_began"))
+                        .otherwise(F.col("_began"))))
+
+
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              name: str = "row_number") -> DataFrame:
-    """1-based row number per key; a hot key's rows stay spread over partitions."""
-    placed = positions(df, [*keys, *order], "_position")
-    firsts = placed.groupBy(*keys).agg(F.min("_position").alias("_first"))
-    return (placed.join(firsts, list(keys))
+    """1-based row number per key; a hot key's rows stay spread over partitions.
+
+    Rows whose key is null are numbered as one group.
+    """
+    placed = _placed(df, [*keys, *order], "_position")
+    return (_run_starts(placed, keys, "_first", "_position")
             .select(*df.columns, (F.col("_position") - F.col("_first") + 1).alias(name)))
 
 
