@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,9 @@ from marquee.session import durable
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
+# Any number of segments finds every link: one of m segments differs in MOST_BITS // m
+# bits at most. Three suit up to some 10^8 distinct fingerprints, two any more.
+SEGMENTS = 3
 HASH_SEED = 42
 # Shingles whose bits are counted at a time.
 COUNT_AT_ONCE = 1 << 16
@@ -67,19 +69,6 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, row: str | None = None
     return durable(read.mapInArrow(_fingerprints, schema), "fingerprints")
 
 
-def segments_for(count: int, most_bits: int = MOST_BITS) -> int:
-    """The number of segments for which look-ups and what they find cost least.
-
-    Any number finds every link: with m segments, one of them differs in
-    ``most_bits // m`` bits at most.
-    """
-    def cost(m: int) -> float:
-        width = BITS // m
-        ball = sum(comb(width, k) for k in range(most_bits // m + 1))
-        return m * ball * (1 + count / 2 ** width)
-    return min(range(2, most_bits + 2), key=cost)
-
-
 def _layout(segments: int) -> list[tuple[int, int]]:
     """(first bit, bits) of each segment."""
     edges = [BITS * k // segments for k in range(segments + 1)]
@@ -90,7 +79,7 @@ def _masks(width: int, radius: int) -> list[int]:
     return [sum(1 << b for b in bits) for k in range(radius + 1) for bits in combinations(range(width), k)]
 
 
-def links(nodes: DataFrame, most_bits: int = MOST_BITS, segments: int | None = None,
+def links(nodes: DataFrame, most_bits: int = MOST_BITS, segments: int = SEGMENTS,
           count: int | None = None) -> DataFrame:
     """Pairs ``a, b`` of distinct fingerprints ``fp`` that differ in 1 to ``most_bits`` bits.
 
@@ -98,7 +87,6 @@ def links(nodes: DataFrame, most_bits: int = MOST_BITS, segments: int | None = N
     looks the larger up, so balls hold only what is not smaller than their centre.
     """
     count = nodes.count() if count is None else count
-    segments = segments or segments_for(count, most_bits)
     stored = sought = None
     for k, (first, width) in enumerate(_layout(segments)):
         own = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
@@ -168,7 +156,7 @@ def components(pairs: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _classes(prints: DataFrame, most_bits: int, segments: int | None) -> tuple[DataFrame, int]:
+def _classes(prints: DataFrame, most_bits: int, segments: int) -> tuple[DataFrame, int]:
     """Per distinct fingerprint: its rows, its component, and the row that stays of that."""
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     nodes = durable(prints.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("size")), "nodes")
@@ -182,7 +170,7 @@ def _classes(prints: DataFrame, most_bits: int, segments: int | None) -> tuple[D
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    most_bits: int = MOST_BITS, segments: int | None = None,
+                    most_bits: int = MOST_BITS, segments: int = SEGMENTS,
                     row: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, row, fingerprint, component_id, stays``.
 
