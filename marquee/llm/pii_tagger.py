@@ -277,17 +277,22 @@ def window_starts(codes: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([last, last - 1])[np.concatenate([last, last - 1]) >= 0]) * STEP - EDGE
 
 
-def _valid(kind: int, own: str) -> bool:
-    """What a span of the tagger must be, whatever the tagger thinks."""
-    digits = "".join(c for c in own if c in "0123456789")
-    if kind == 0:
-        return bool(re.fullmatch(r"[\w.%+-]+ ?(@| at |\(at\)|\[at\]) ?[\w-]+( ?(\.| dot |\(dot\)|\[dot\]) ?[\w-]+)+", own))
-    if kind == 1:
-        return bool(re.fullmatch(r"[0-9]{1,3}( ?\. ?[0-9]{1,3}){3}", own)) and all(
-            int(p) <= 255 for p in own.split("."))
-    if kind == 2:
-        return bool(re.fullmatch(r"[0-9](?:[ .-]?[0-9])+", own)) and 13 <= len(digits) <= 19 and luhn(digits)
-    return bool(re.fullmatch(r"[+(]?[0-9][0-9 ().-]*[0-9]", own)) and 8 <= len(digits) <= 15
+# What a span of the tagger must hold, whatever the tagger thinks.
+_CORES = (re.compile(r"[\w.%+-]+ ?(?:@| at |\(at\)|\[at\]) ?[\w-]+(?: ?(?:\.| dot |\(dot\)|\[dot\]) ?[\w-]+)+"),
+          re.compile(r"[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}"),
+          re.compile(r"[0-9](?:[ .-]?[0-9])+"),
+          re.compile(r"[+(]?[0-9][0-9 ().-]*[0-9]"))
+
+
+def _core(kind: int, own: str) -> tuple[int, int] | None:
+    """The part of a tagged run that can be of its kind, if any."""
+    found = _CORES[kind].search(own)
+    if not found:
+        return None
+    digits = "".join(c for c in found[0] if c in "0123456789")
+    right = (True, kind != 1 or all(int(p) <= 255 for p in found[0].split(".")),
+             13 <= len(digits) <= 19 and luhn(digits), 8 <= len(digits) <= 15)
+    return found.span() if right[kind] else None
 
 
 def _reconciled(text: str, base: list[Span], starts: np.ndarray, tags: np.ndarray) -> list[Span]:
@@ -304,12 +309,12 @@ def _reconciled(text: str, base: list[Span], starts: np.ndarray, tags: np.ndarra
     first = np.flatnonzero(fresh)
     out = []
     for a, b in zip(first, [*first[1:], len(at)]):
-        start, end = int(at[a]), int(at[b - 1]) + 1
-        whole = text[start:end]
-        start, end = start + len(whole) - len(whole.lstrip(" ,;:")), end - (len(whole) - len(whole.rstrip(" ,;:.")))
-        alone = not (text[start - 1:start].isalnum() and start) and not text[end:end + 1].isalnum()
-        if start < end and alone and _valid(int(kind[a]), text[start:end]) and not any(
-                s < end and start < e for _, s, e in base):
+        core = _core(int(kind[a]), text[at[a]:at[b - 1] + 1])
+        if core is None:
+            continue
+        start, end = int(at[a]) + core[0], int(at[a]) + core[1]
+        alone = not text[max(start - 1, 0):start].isalnum() and not text[end:end + 1].isalnum()
+        if alone and not any(s < end and start < e for _, s, e in base):
             out.append((int(kind[a]), start, end))
     return out
 
