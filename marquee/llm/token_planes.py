@@ -10,6 +10,8 @@ A shard file holds, all numbers little-endian:
             u8 bytes per id, u8 1 for bit planes or 0 for byte planes, magic
 
 A byte plane holds one byte of every id of the chunk, a bit plane one bit of each.
+On word pieces byte planes take less room (1.34 against 1.55 bytes an id on the
+test documents) and a third of the time, so they are the default.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ SHARD_IDS = 1 << 22
 LEVEL = 3
 END_ID = 2
 # Words whose ids a worker keeps; then it starts anew.
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 20
 
 
 def to_planes(ids: np.ndarray, width: int, bits: bool) -> list[bytes]:
@@ -58,7 +60,7 @@ def from_planes(planes: Sequence[bytes], count: int, width: int, bits: bool) ->
     return np.ascontiguousarray(rows.T).view(f"<u{width}").ravel().astype(np.uint32)
 
 
-def encode_shard(ids: np.ndarray, documents: np.ndarray, chunk_ids: int = CHUNK_IDS, bits: bool = True,
+def encode_shard(ids: np.ndarray, documents: np.ndarray, chunk_ids: int = CHUNK_IDS, bits: bool = False,
                  level: int = LEVEL) -> bytes:
     """A shard file with these ids, the documents one after the other."""
     width = 2 if ids.max(initial=0) < 1 << 16 else 4
@@ -123,6 +125,19 @@ class Shard:
             kept = whole[size:]
 
 
+class _Numbers(dict):
+    """Numbers words as they come; ``fresh`` has the words numbered last."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
 class WordEncoder:
     """Token ids of whole texts, remembering those of words.
 
@@ -134,17 +149,45 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 14, np.int64)
+        self.lengths = np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def _learn(self) -> None:
+        fresh, self.numbers.fresh = self.numbers.fresh, []
+        known = len(self.numbers) - len(fresh)
+        made = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
+        lists = [e.ids for e in made]
+        lengths = np.array([len(ids) for ids in lists], np.int64)
+        flat = np.array([i for ids in lists for i in ids], np.uint32)
+        starts = self.used + np.cumsum(lengths) - lengths
+        for name, new, at in (("ids", flat, self.used), ("starts", starts, known), ("lengths", lengths, known)):
+            kept = getattr(self, name)
+            if at + len(new) > len(kept):
+                kept = np.concatenate([kept, np.zeros(max(len(kept), len(new)), kept.dtype)])
+                setattr(self, name, kept)
+            kept[at:at + len(new)] = new
+        self.used += len(flat)
 
     def encode(self, texts: Sequence[bytes | None]) -> list[np.ndarray]:
         words = [(t or b"").split() for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        fresh = list({w for row in words for w in row if w not in self.memo})
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        self.memo.update((w, np.array(e.ids, np.uint32)) for w, e in zip(fresh, made))
-        look = self.memo.__getitem__
-        return [np.concatenate([look(w) for w in row]) if row else np.zeros(0, np.uint32) for row in words]
+        if len(self.numbers) > MEMO_WORDS:
+            self._forget()
+        number = self.numbers.__getitem__
+        at = np.array([n for row in words for n in map(number, row)], np.int64)
+        if self.numbers.fresh:
+            self._learn()
+        sizes = self.lengths[at]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(at) else 0)]
+        of_texts = np.cumsum([len(row) for row in words])
+        cuts = np.concatenate([[0], ends])[of_texts]
+        return np.split(ids, cuts[:-1]) if len(texts) else []
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -206,7 +249,7 @@ def _write(folder: str, tokenizer: str, end_id: int | None, bits: bool, shard_id
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                 order: Sequence[str] | None = None, end_id: int | None = END_ID, bits: bool = True,
+                 order: Sequence[str] | None = None, end_id: int | None = END_ID, bits: bool = False,
                  shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write the ids of all texts below ``folder``, by ``order`` (else by id), and return the manifest.
 
