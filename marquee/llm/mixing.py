@@ -108,24 +108,24 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float], doc_id: str =
     range partitions, so a source that holds most of them is spread as well.
     """
     spark = docs.sparkSession
-    place, first, phases = (free_name(docs, n) for n in ("_place", "_first", "_phases"))
-    key = free_name(docs, "_source")
-    placed = positions(docs.withColumn(key, F.col(source).cast("string")), [key, doc_id], place)
-    sizes = durable(placed.groupBy(key).agg(F.count("*").alias("n"), F.min(place).alias(first)), "sources")
-    blocks = {r[key]: -(-r["n"] // block_docs) for r in sizes.collect()}
-    planned = plan(spark, blocks, weights).select(F.col("source").alias("planned"), F.col("phases").alias(phases))
+    # Their own columns travel as one, so that no name can clash.
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("whole"),
+                         F.col(source).cast("string").alias("key"), F.col(doc_id).alias("id"))
+    placed = positions(packed, ["key", "id"], "place")
+    sizes = durable(placed.groupBy("key").agg(F.count("*").alias("n"), F.min("place").alias("first")), "sources")
+    blocks = {r["key"]: -(-r["n"] // block_docs) for r in sizes.collect()}
     # One row per source.
-    known = F.broadcast(sizes.join(planned, F.col(key).eqNullSafe(F.col("planned")))
-                        .select(F.col(key).alias("planned"), first, phases))
-    met = placed.join(known, F.col(key).eqNullSafe(F.col("planned")))
-    at = F.col(place) - F.col(first)
+    known = F.broadcast(sizes.join(plan(spark, blocks, weights), F.col("key").eqNullSafe(F.col("source")))
+                        .select("source", "first", "phases"))
+    met = placed.join(known, F.col("key").eqNullSafe(F.col("source")))
+    at = F.col("place") - F.col("first")
     number = F.floor(at / block_docs).cast("long")
-    phase = F.element_at(F.filter(phases, lambda p: (p["first"] <= number) & (number < p["first"] + p["blocks"])), 1)
+    phase = F.element_at(F.filter("phases", lambda p: (p["first"] <= number) & (number < p["first"] + p["blocks"])), 1)
     k, weight, period = number - phase["first"], phase["weight"], phase["period"]
     slot = phase["start"] + F.floor(k / weight).cast("long") * period + F.get(phase["slots"], (k % weight).cast("int"))
     made = (number, at % block_docs, slot, phase["start"] + release(k, weight, period),
             phase["start"] + deadline(k, weight, period))
-    return met.select(*docs.columns, *[c.alias(n) for c, n in zip(made, names)])
+    return met.select("whole.*", *[c.alias(n) for c, n in zip(made, names)])
 
 
 def in_order(docs: DataFrame, weights: Mapping[str | None, float], doc_id: str = "doc_id", source: str = "source",
