@@ -6,105 +6,43 @@ from collections.abc import Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions.scalars import micros, within
-
-# A key above this many rows is cut into time segments.
-HOT_ROWS = 5_000_000
-# At most this many keys are cut, so the list of them is small; any further key
-# then holds less than a thousandth of the rows.
-HOT_KEYS = 1000
-SEGMENT = timedelta(hours=1)
-# Entity rows of one segment of a hot key are spread over this many groups.
-SPREAD = 16
-KEYLESS_GROUPS = 1000
-
-
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys, at most ``HOT_KEYS``; ties by key, so always the same ones."""
-    return (rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-            .orderBy(F.desc("_n"), *keys).limit(HOT_KEYS)
-            .select(*keys, F.lit(True).alias("_hot")))
-
-
-def _segment_of(ts: Column, segment: timedelta) -> Column:
-    """Time segment of a hot key's row; -1 for all others."""
-    return F.when(F.col("_hot"), F.floor(F.unix_micros(ts) / micros(segment))).otherwise(F.lit(-1))
+from marquee.functions.scalars import within
+from marquee.operators.ordering import carried
 
 
 def asof_join(entities: DataFrame, features: DataFrame, keys: Sequence[str], entity_time: str,
               feature_time: str, values: Sequence[str], ttl: timedelta | None = None,
-              keep_time: str | None = None, hot_rows: int = HOT_ROWS,
-              segment: timedelta = SEGMENT, spread: int = SPREAD) -> DataFrame:
+              keep_time: str | None = None) -> DataFrame:
     """Every entity row with the ``values`` known at its time, null past ``ttl``.
 
-    Entity and feature rows meet in one sort per key. All values of a feature
-    row travel as one struct, so rows never mix. Of feature rows at one instant
-    the greatest values win. A hot key is cut into time segments, each opened by
-    the feature carried over from earlier ones, and its entity rows are spread
-    over groups, in each of which its features repeat.
+    Entity and feature rows meet in one total order of key, time and side, in
+    range partitions, and the last feature row is carried forward, over a
+    partition's edge too. So a key with most of the rows is spread like any
+    other. All values of a feature row travel as one struct, so rows never mix.
+    Of feature rows at one instant the greatest values win. Rows without a key or
+    a time match nothing.
     """
     keys = list(keys)
-    counted = entities.select(*keys).unionByName(features.select(*keys))
-    hot = F.broadcast(hot_keys(counted, keys, hot_rows))
-
+    known = features.dropna(subset=[*keys, feature_time]).select(
+        *keys, F.col(feature_time).alias("_ts"), F.lit(0).alias("_side"),
+        F.struct(F.struct(*[F.col(v) for v in values]).alias("values"), F.col(feature_time).alias("known"),
+                 *[F.col(k).alias(f"key_{n}") for n, k in enumerate(keys)]).alias("_feature"))
     payload = F.struct(*[F.col(c) for c in entities.columns])
-    left = (entities.select(*keys, F.col(entity_time).alias("_ts"), payload.alias("_entity"))
-            .join(hot, keys, "left")
-            .withColumn("_segment", _segment_of(F.col("_ts"), segment)))
-    # Equal rows of a hot key travel as one, and a hash of the rest picks the
-    # group, so a task that runs again places every row where it was before.
-    counted_once = (left.where(F.col("_hot")).groupBy(*left.columns)
-                    .agg(F.count("*").alias("_copies"))
-                    .withColumn("_group", F.pmod(F.xxhash64("_entity"), F.lit(spread))))
-    # Rows without a key match nothing, however many there are; they only need spreading.
-    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    group = F.when(keyless, F.pmod(F.xxhash64("_entity"), F.lit(KEYLESS_GROUPS))).otherwise(F.lit(0))
-    left = (left.where(F.col("_hot").isNull())
-            .select("*", F.lit(1).cast("long").alias("_copies"), group.cast("long").alias("_group"))
-            .unionByName(counted_once))
-
-    values_of = F.struct(*[F.col(v) for v in values])
-    tagged = (features.dropna(subset=[*keys, feature_time])
-              .select(*keys, F.col(feature_time).alias("_ts"), values_of.alias("_values"))
-              .join(hot, keys, "left")
-              .withColumn("_segment", _segment_of(F.col("_ts"), segment)))
-    # Only a hot key's rows are worth reducing to one per instant before they meet.
-    reduced = (tagged.where(F.col("_hot")).groupBy(*keys, "_ts", "_segment", "_hot")
-               .agg(F.max("_values").alias("_values")))
-    known = (tagged.where(F.col("_hot").isNull()).unionByName(reduced)
-             .select(*keys, "_ts", "_segment", "_hot",
-                     F.struct(F.col("_values.*"), F.col("_ts").alias("_known")).alias("_feature")))
-
-    by_segment = [*keys, "_segment"]
-    closing = (known.where(F.col("_hot")).groupBy(*by_segment)
-               .agg(F.max_by("_feature", "_ts").alias("_feature")))
-    wanted = left.where(F.col("_hot")).select(*by_segment).distinct()
-    earlier = (Window.partitionBy(*keys).orderBy("_segment")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (wanted.join(closing, by_segment, "full")
-               .withColumn("_feature", F.last("_feature", ignorenulls=True).over(earlier))
-               .where(F.col("_feature").isNotNull())
-               .select(*by_segment, F.col("_feature._known").alias("_ts"), "_feature",
-                       F.lit(True).alias("_hot")))
-    groups = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    right = (known.unionByName(carried)
-             .withColumn("_group", F.explode(groups.cast("array<long>"))))
-
-    both = (left.withColumn("_side", F.lit(1))
-            .unionByName(right.withColumn("_side", F.lit(0)), allowMissingColumns=True))
-    so_far = (Window.partitionBy(*by_segment, "_group").orderBy("_ts", "_side", "_feature")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = (both.withColumn("_found", F.last("_feature", ignorenulls=True).over(so_far))
-           .where(F.col("_side") == 1)
-           .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))))
+    asked = entities.select(
+        *keys, F.col(entity_time).alias("_ts"), F.lit(1).alias("_side"), payload.alias("_entity"),
+        # So many rows of one key and instant still fall into several partitions.
+        F.xxhash64(payload).alias("_spread"))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    met = carried(both, [*keys, "_ts", "_side", "_feature", "_spread"], "_feature", "_found").where(F.col("_side") == 1)
 
     found, at = F.col("_found"), F.col("_ts")
-    fresh = found.isNotNull() & at.isNotNull()
+    fresh = found.isNotNull() & at.isNotNull() & reduce(
+        Column.__and__, [F.col(k) == F.col(f"_found.key_{n}") for n, k in enumerate(keys)])
     if ttl is not None:
-        fresh = fresh & within(at, F.col("_found._known"), ttl)
-    picked = [F.when(fresh, F.col(f"_found.{v}")).alias(v) for v in values]
+        fresh = fresh & within(at, F.col("_found.known"), ttl)
+    picked = [F.when(fresh, F.col(f"_found.values.{v}")).alias(v) for v in values]
     if keep_time:
-        picked.append(F.when(fresh, F.col("_found._known")).alias(keep_time))
+        picked.append(F.when(fresh, F.col("_found.known")).alias(keep_time))
     return met.select("_entity.*", *picked)

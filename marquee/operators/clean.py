@@ -37,9 +37,10 @@ def filter_min_interactions(ratings: DataFrame, min_user: int = 5, min_item: int
 
 
 def dense_ids(df: DataFrame, key: str, index: str, first_seen: str | None = None) -> DataFrame:
-    """Map each distinct key to 0..n-1, by key or by its earliest ``first_seen``."""
+    """Map each distinct key to 0..n-1, by key or by its earliest ``first_seen``; null has no index."""
+    df = df.where(F.col(key).isNotNull())
     if first_seen is None:
-        return positions(df.select(key).where(F.col(key).isNotNull()).distinct(), [key], index)
+        return positions(df.select(key).distinct(), [key], index)
     met = df.groupBy(key).agg(F.min(first_seen).alias("_first"))
     return positions(met, ["_first", key], index).select(key, index)
 

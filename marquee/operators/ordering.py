@@ -24,16 +24,38 @@ def _starts(per_part: DataFrame, size: str) -> DataFrame:
     return per_part.select("_part", F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias("_start"))
 
 
-def _placed(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
-    """Rows in range partitions, with their partition, place in it, and place in the total order."""
+def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Rows in range partitions, written, with their partition and their place in it."""
     placed = durable(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id()), "positions")
-    placed = (placed.withColumn("_part", F.shiftright("_row", _ROW_BITS))
-              .withColumn("_place", F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)))
+    return (placed.withColumn("_part", F.shiftright("_row", _ROW_BITS))
+            .withColumn("_place", F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)).drop("_row"))
+
+
+def _placed(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """The same with each row's place in the total order."""
+    placed = _ranged(df, order)
     starts = _starts(placed.groupBy("_part").agg(F.count("*").alias("_size")), "_size")
     return (placed.join(F.broadcast(starts), "_part")
-            .withColumn(name, F.col("_start") + F.col("_place")).drop("_start", "_row"))
+            .withColumn(name, F.col("_start") + F.col("_place")).drop("_start"))
+
+
+def carried(df: DataFrame, order: Sequence[str | Column], value: str, name: str) -> DataFrame:
+    """Add the last non-null ``value`` at or before each row in the total order.
+
+    What is carried over a partition's edge comes from one row per partition.
+    """
+    placed = _ranged(df, order)
+    so_far = (Window.partitionBy("_part").orderBy("_place")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    known = F.when(F.col(value).isNotNull(), F.col("_place"))
+    lasts = placed.groupBy("_part").agg(F.max_by(value, known).alias("_last"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    came = lasts.select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_came"))
+    return (placed.withColumn(name, F.last(value, ignorenulls=True).over(so_far))
+            .join(F.broadcast(came), "_part")
+            .select(*df.columns, F.coalesce(name, "_came").alias(name)))
 
 
 def positions(df: DataFrame, order: Sequence[str | Column], name: str = "position") -> DataFrame:
@@ -102,28 +124,31 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probabilities: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per key, nulls left out.
 
-    Equal values are counted first, and ranks come from running counts, so no
-    task ever holds a whole group.
+    Equal values are counted first and get the range of places they hold in the
+    total order. The places that are asked for, a few per key, are put among
+    them and take the value carried up to there, so no key is joined on and no
+    task holds a whole group.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = cumulative(counts, [*keys, value], "_n", "_upto")
-    before = F.col("_upto") - F.col("_n")
-    groups = ranked.groupBy(*keys).agg(F.min(before).alias("_base"), F.sum("_n").alias("_total"))
-    if keys:
-        spread = ranked.join(groups, list(keys))
-    else:
-        spread = ranked.select("*", F.lit(0).alias("_base"), groups.select("_total").scalar().alias("_total"))
-    first, last = before - F.col("_base"), F.col("_upto") - F.col("_base") - 1
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col(value)))
-
-    picked = []
+    ranked = durable(cumulative(counts, [*keys, value], "_n", "_upto")
+                     .withColumn("_at", F.col("_upto") - F.col("_n")), "ranked")
+    groups = ranked.groupBy(*keys).agg(F.min("_at").alias("_base"), F.sum("_n").alias("_total"))
+    asked = []
     for name, p in probabilities.items():
         place = (F.col("_total") - 1) * F.lit(p)
-        picked += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}"),
-                   F.max(place - F.floor(place)).alias(f"_w_{name}")]
-    found = spread.groupBy(*keys).agg(*picked)
+        for end, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            asked.append(F.struct(F.lit(f"{end}_{name}").alias("_which"), (F.col("_base") + at).alias("_at"),
+                                  (place - F.floor(place)).alias("_w")))
+    places = groups.select(*keys, F.inline(F.array(*asked))).withColumn("_side", F.lit(1))
+    values = ranked.select("_at", F.lit(0).alias("_side"), F.col(value).alias("_value"))
+    met = carried(values.unionByName(places, allowMissingColumns=True), ["_at", "_side"], "_value", "_got")
+
+    def picked(column: str, which: str) -> Column:
+        return F.max(F.when(F.col("_which") == which, F.col(column)))
+
+    found = met.where(F.col("_side") == 1).groupBy(*keys).agg(
+        *[picked("_got", f"{end}_{n}").alias(f"_{end}_{n}") for n in probabilities for end in ("lo", "hi")],
+        *[picked("_w", f"lo_{n}").alias(f"_w_{n}") for n in probabilities])
     return found.select(*keys, *[
         (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")).alias(n)
         for n in probabilities])

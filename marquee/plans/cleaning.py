@@ -81,7 +81,7 @@ def distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def describe_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.describe(proxies.raw_ratings(spark, folder)), 3)
+    return rounded(profile.describe(proxies.raw_ratings(spark, folder)), 6)
 
 
 def rating_histogram(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,10 +159,10 @@ ORACLES: dict[str, str] = {
         f"""SELECT '{name}' AS "column", count(DISTINCT {column}) AS n_distinct FROM ratings"""
         for name, column, _ in _COLUMNS[:3]), RATINGS),
     "describe_ratings": sql(" UNION ALL ".join(
-        f"""SELECT '{name}' AS "column", count({column}) AS "count", round(avg({column}), 3) AS mean,
-            round(stddev_samp({column}), 3) AS std, CAST(min({column}) AS DOUBLE) AS "min",
-            round(quantile_cont({column}, 0.25), 3) AS q25, round(quantile_cont({column}, 0.5), 3) AS q50,
-            round(quantile_cont({column}, 0.75), 3) AS q75, CAST(max({column}) AS DOUBLE) AS "max"
+        f"""SELECT '{name}' AS "column", count({column}) AS "count", round(avg({column}), 6) AS mean,
+            round(stddev_samp({column}), 6) AS std, CAST(min({column}) AS DOUBLE) AS "min",
+            round(quantile_cont({column}, 0.25), 6) AS q25, round(quantile_cont({column}, 0.5), 6) AS q50,
+            round(quantile_cont({column}, 0.75), 6) AS q75, CAST(max({column}) AS DOUBLE) AS "max"
             FROM ratings""" for name, column, _ in _COLUMNS), RATINGS),
     "rating_histogram": sql("SELECT rating, count(*) AS n FROM ratings GROUP BY 1", RATINGS),
     "ratings_per_user": sql('SELECT user_idx AS "userId", count(*) AS n FROM ratings GROUP BY 1', RATINGS),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee import schemas
 from marquee.functions.scalars import epoch_to_timestamp, iso_to_timestamp, timestamp_to_epoch
@@ -12,14 +12,22 @@ from marquee.functions.scalars import epoch_to_timestamp, iso_to_timestamp, time
 TOPIC = "movie_events"
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC,
-               starting: str = "latest") -> DataFrame:
+def topic_options(servers: str, topic: str = TOPIC, starting: str = "latest", group: str | None = None,
+                  most_per_batch: int | None = None) -> dict[str, str]:
+    """How a topic is read: where from, as which consumer group, how many messages a micro-batch."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+    if group:
+        options["kafka.group.id"] = group
+    if most_per_batch:
+        options["maxOffsetsPerTrigger"] = str(most_per_batch)
+    return options
+
+
+def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC, starting: str = "latest",
+               group: str | None = None, most_per_batch: int | None = None) -> DataFrame:
     """Raw messages. The query's checkpoint holds the position after the start."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting)
-            .load())
+    options = topic_options(servers, topic, starting, group, most_per_batch)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -35,9 +43,27 @@ def service_form(events: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame, schema: StructType = schemas.PRODUCED_EVENT) -> DataFrame:
-    """JSON values to typed events with a real event time ``ts``."""
-    event = F.from_json(F.col("value").cast("string"), schema)
-    return with_event_time(messages.select(event.alias("event")).select("event.*"))
+    """JSON values to typed events with a real event time ``ts``; values that are none are left to ``malformed``."""
+    read = messages.select(_parsed(messages, schema)).where(~_is_malformed())
+    return with_event_time(read.select("event.*").drop(_BAD))
+
+
+_BAD = "_malformed"
+
+
+def _parsed(messages: DataFrame, schema: StructType) -> Column:
+    marked = StructType([*schema.fields, StructField(_BAD, StringType())])
+    return F.from_json(F.col("value").cast("string"), marked, {"columnNameOfCorruptRecord": _BAD}).alias("event")
+
+
+def _is_malformed() -> Column:
+    return F.col("event").isNull() | F.col(f"event.{_BAD}").isNotNull()
+
+
+def malformed(messages: DataFrame, schema: StructType = schemas.PRODUCED_EVENT) -> DataFrame:
+    """The raw ``value`` of messages that hold no JSON of the schema, for the table of rejected events."""
+    return messages.select(F.col("value").cast("string").alias("value"), _parsed(messages, schema)).where(
+        _is_malformed()).select("value")
 
 
 def encode(events: DataFrame) -> DataFrame:
