@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.operators import evaluate, recommend, scoring, split
-from marquee.operators.monitor import bucket_counts
-from marquee.plans.common import EVENTS, FACTORS, MOVIES, RATINGS, Query, rounded, sql
+from marquee.operators import evaluate, recommend, split, store
+from marquee.plans import featuring
+from marquee.plans.common import EVENTS, FACTORS, MOVIES, RATINGS, Query, as_doubles, rounded, sql
 from marquee.session import durable
 from marquee.sources import proxies
 from marquee.streaming import counters
 
-# Scores have nine decimals, raised ones eleven: no value lies half-way between two roundings.
+# Scores are rounded to nine decimals, raised ones have eleven: no value lies half-way between two roundings.
+SCORE_DECIMALS = 9
 DECIMALS = 12
 SCORE_BOUNDS = [-1.0, -0.5, -0.25, 0.0, 0.25, 0.5, 1.0, 2.0]
 
@@ -35,28 +36,33 @@ def _positives(ratings: DataFrame) -> DataFrame:
 
 
 def recommend_topn(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10), DECIMALS)
+    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10, decimals=SCORE_DECIMALS), DECIMALS)
 
 
 def exclude_seen(spark: SparkSession, folder: str) -> DataFrame:
     seen = recommend.seen_pairs(_known_ratings(spark, folder))
-    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10, seen=seen), DECIMALS)
+    return rounded(recommend.recommend_unseen(*_factors(spark, folder), n=10, seen=seen, decimals=SCORE_DECIMALS), DECIMALS)
 
 
 def recommend_boosted(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = recommend.recommend_unseen(*_factors(spark, folder), n=10)
+    ranked = recommend.recommend_unseen(*_factors(spark, folder), n=10, decimals=SCORE_DECIMALS)
     activity = counters.user_activity(proxies.events(spark, folder))
     return rounded(recommend.with_metadata(recommend.boost(ranked, activity), proxies.movies(spark, folder)), DECIMALS)
 
 
+# One user in ten has no factors, and one has seen every item.
+LACKING, SATED = 8, 6
+
+
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as requests, some of them out of bounds."""
+    """Events as requests, some of them out of bounds, some without a flag."""
+    kind = F.col("event_type")
     return proxies.events(spark, folder).select(
         F.col("event_id").alias("request_id"),
         (F.col("user_idx") * 4 - 2).alias("user_idx"),
         F.floor(F.col("value") / 3).cast("int").alias("n_recommendations"),
-        (F.col("event_type") != "view").alias("exclude_rated"),
-        (F.col("event_type") == "click").alias("use_features"))
+        F.when(kind != "error", kind != "view").alias("exclude_rated"),
+        F.when(kind != "signup", kind == "click").alias("use_features"))
 
 
 def request_errors(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,23 +71,43 @@ def request_errors(spark: SparkSession, folder: str) -> DataFrame:
     return recommend.error_counts(checked)
 
 
-def recommend_requests(spark: SparkSession, folder: str) -> DataFrame:
+def _answered(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per accepted request, with the five features."""
     users, items = _factors(spark, folder)
-    activity = counters.user_activity(proxies.events(spark, folder))
-    found, _ = recommend.recommend(users, items, _requests(spark, folder), _known_ratings(spark, folder),
-                                   proxies.movies(spark, folder), activity)
-    return rounded(found, DECIMALS)
+    bound = recommend.user_bound(users)
+    users = users.where(F.col("user_idx") % 10 != LACKING)
+    events = proxies.events(spark, folder)
+    seen = recommend.seen_pairs(_known_ratings(spark, folder)).unionByName(
+        items.select(F.lit(SATED).cast("long").alias("user_idx"), "movie_idx"))
+    requests = _requests(spark, folder)
+    found, _ = recommend.recommend(users, items, requests, seen, proxies.movies(spark, folder),
+                                   counters.user_activity(events), bound, SCORE_DECIMALS)
+    good = recommend.accepted(recommend.check_requests(requests, bound))
+    return recommend.responses(good, found, users, featuring.online_user_features(spark, folder))
+
+
+FEATURES = [f.split(":")[1] for f in store.USER_BUNDLE]
+
+
+def recommend_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Every accepted request with its items, one row without any where nothing was found."""
+    rows = _answered(spark, folder).select(
+        "request_id", "user_idx", "count", "warning", *[F.col(f"features.{f}").alias(f) for f in FEATURES],
+        F.inline_outer("recommendations"))
+    return as_doubles(rounded(rows, DECIMALS), "rank", "movie_idx", "movieId", "user_recent_activity")
 
 
 def batch_recommend(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per answered request, with history, the lists written as text."""
+    """One row per accepted request, with history and features, the lists written as text."""
     history = recommend.user_history(proxies.ratings(spark, folder), proxies.movies(spark, folder))
-    answered = recommend.batch_recommend(recommend_requests(spark, folder), history)
-    return answered.select(
-        "request_id", "user_idx", "count",
+    answered = recommend.batch_recommend(_answered(spark, folder), history)
+    rows = answered.select(
+        "request_id", "user_idx", "count", "warning",
         F.concat_ws(",", F.transform("recommendations", lambda e: e.movie_idx.cast("string"))).alias("recommended"),
         F.concat_ws(",", F.transform("user_history", lambda e: F.concat(
-            e.movieId, F.lit(":"), e.rating))).alias("history"))
+            e.movieId, F.lit(":"), e.rating))).alias("history"),
+        *[F.col(f"features.{f}").alias(f) for f in FEATURES])
+    return as_doubles(rows, "user_recent_activity")
 
 
 def user_history_top10(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,25 +115,25 @@ def user_history_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores of all rated pairs, in cumulative buckets."""
-    pairs = recommend.seen_pairs(_known_ratings(spark, folder))
-    scored = scoring.pair_scores(pairs, *_factors(spark, folder))
-    return bucket_counts(scored, "score", SCORE_BOUNDS).withColumn(
-        "le", F.coalesce(F.col("le").cast("string"), F.lit("+Inf")))
+    """Scores that answers choose from: unseen items of every user, after the boost, in cumulative buckets."""
+    counted = recommend.score_histogram(
+        *_factors(spark, folder), SCORE_BOUNDS, recommend.seen_pairs(_known_ratings(spark, folder)),
+        counters.user_activity(proxies.events(spark, folder)), SCORE_DECIMALS)
+    return counted.withColumn("le", F.coalesce(F.col("le").cast("string"), F.lit("+Inf")))
 
 
 def precision_recall_at_10(spark: SparkSession, folder: str) -> DataFrame:
     known = _known_ratings(spark, folder)
     seen = recommend.seen_pairs(known.where(F.col("rating") < 2))
     positives = _positives(known).join(seen, ["user_idx", "movie_idx"], "left_anti")
-    ranked = recommend.recommend_unseen(*_factors(spark, folder), n=10, seen=seen)
+    ranked = recommend.recommend_unseen(*_factors(spark, folder), n=10, seen=seen, decimals=SCORE_DECIMALS)
     return rounded(evaluate.precision_recall(ranked, positives, 10))
 
 
 def auc_per_user(spark: SparkSession, folder: str) -> DataFrame:
     known = _known_ratings(spark, folder)
     seen = recommend.seen_pairs(known.where(F.col("rating") < 2))
-    return rounded(evaluate.auc(*_factors(spark, folder), _positives(known), seen))
+    return rounded(evaluate.auc(*_factors(spark, folder), _positives(known), seen, SCORE_DECIMALS))
 
 
 def mean_ranking_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,8 +174,9 @@ _CLEAN_HIGH = """pos AS (SELECT h.user_idx, h.movie_idx FROM high h WHERE NOT EX
     SELECT 1 FROM low WHERE low.user_idx = h.user_idx AND low.movie_idx = h.movie_idx))"""
 _ACTIVITY = "act AS (SELECT user_idx, count(*) AS a FROM ev GROUP BY 1)"
 _REQUESTS = """req AS (SELECT event_id AS request_id, user_idx * 4 - 2 AS user_idx,
-    CAST(floor("value" / 3) AS INT) AS n, event_type <> 'view' AS exclude_rated,
-    event_type = 'click' AS use_features FROM ev),
+    CAST(floor("value" / 3) AS INT) AS n,
+    CASE WHEN event_type = 'error' THEN TRUE ELSE event_type <> 'view' END AS exclude_rated,
+    CASE WHEN event_type = 'signup' THEN TRUE ELSE event_type = 'click' END AS use_features FROM ev),
 checked AS (SELECT *, CASE WHEN user_idx < 0 THEN 'invalid_input' WHEN user_idx > (SELECT max(vec_id) FROM embeddings)
     THEN 'user_not_found'
     WHEN n < 1 OR n > 100 THEN 'invalid_input' END AS error FROM req)"""
@@ -162,15 +189,25 @@ at10 AS (SELECT p.user_idx, count(*) AS n_positives, count(r.rank) AS hits
 _HISTORY = """SELECT user_idx, row_number() OVER (PARTITION BY user_idx
     ORDER BY rating DESC, movie_idx, "timestamp" DESC) AS rank, movie_idx, "movieId", title, genres, rating
     FROM ratings JOIN movies USING (movie_idx) QUALIFY rank <= 10"""
-_ANSWERS = f"""SELECT request_id, c.user_idx, rank, r.movie_idx, "movieId", title, genres,
+_ITEMS = f"""items_of AS (
+    SELECT s.user_idx, s.movie_idx, s.score, TRUE AS x, {_RANK} AS rank FROM scores s
+    WHERE user_idx % 10 <> {LACKING} AND user_idx <> {SATED} AND NOT EXISTS (
+        SELECT 1 FROM seen WHERE seen.user_idx = s.user_idx AND seen.movie_idx = s.movie_idx)
+    UNION ALL SELECT user_idx, movie_idx, score, FALSE, {_RANK} FROM scores WHERE user_idx % 10 <> {LACKING}),
+bundle AS (SELECT * FROM ({featuring.ORACLES["online_user_features"]})),
+found AS (SELECT request_id, rank, r.movie_idx, "movieId", title, genres,
     round(score * CASE WHEN use_features AND a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE)
           ELSE 1 END, 12) AS score
-    FROM checked c JOIN (
-        SELECT *, TRUE AS x, {_RANK} AS rank FROM unseen
-        UNION ALL SELECT *, FALSE AS x, {_RANK} AS rank FROM scores) r
-      ON c.user_idx = r.user_idx AND c.exclude_rated = r.x AND r.rank <= c.n
-    LEFT JOIN act ON act.user_idx = c.user_idx JOIN movies m ON m.movie_idx = r.movie_idx
-    WHERE error IS NULL"""
+    FROM checked c JOIN items_of r ON c.user_idx = r.user_idx AND c.exclude_rated = r.x AND r.rank <= c.n
+    LEFT JOIN act ON act.user_idx = c.user_idx JOIN movies m ON m.movie_idx = r.movie_idx WHERE error IS NULL),
+asked AS (SELECT c.request_id, c.user_idx, coalesce(f.n, 0) AS "count",
+    CASE WHEN c.user_idx % 10 = {LACKING} THEN 'prediction_error'
+         WHEN use_features AND b.user_idx IS NULL THEN 'feast_unavailable' END AS warning,
+    {", ".join(f"CASE WHEN use_features THEN b.{f} END AS {f}" for f in FEATURES)}
+    FROM checked c LEFT JOIN (SELECT request_id, count(*) AS n FROM found GROUP BY 1) f ON f.request_id = c.request_id
+    LEFT JOIN bundle b ON b.user_idx = c.user_idx WHERE error IS NULL)"""
+_SERVING = (RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _ACTIVITY, _REQUESTS, _ITEMS)
+_AS_DOUBLE = "CAST(user_recent_activity AS DOUBLE) AS user_recent_activity"
 
 ORACLES: dict[str, str] = {
     "recommend_topn": sql(f"""SELECT user_idx, movie_idx, round(score, 12) AS score, {_RANK} AS rank FROM scores
@@ -184,20 +221,21 @@ ORACLES: dict[str, str] = {
                              RATINGS, FACTORS, EVENTS, MOVIES, _ACTIVITY),
     "request_errors": sql("SELECT error AS type, count(*) AS n FROM checked WHERE error IS NOT NULL GROUP BY 1",
                           EVENTS, _REQUESTS),
-    "recommend_requests": sql(_ANSWERS, RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _UNSEEN, _ACTIVITY, _REQUESTS),
-    "batch_recommend": sql("""SELECT request_id, l.user_idx AS user_idx, l.n AS "count", l.recommended AS recommended,
-        coalesce(h.history, '') AS history
-        FROM (SELECT request_id, user_idx, CAST(count(*) AS INT) AS n,
-                     string_agg(movie_idx, ',' ORDER BY rank) AS recommended FROM answers GROUP BY 1, 2) l
+    "recommend_requests": sql(f"""SELECT a.* REPLACE ({_AS_DOUBLE}), CAST(rank AS DOUBLE) AS rank,
+        CAST(movie_idx AS DOUBLE) AS movie_idx, CAST("movieId" AS DOUBLE) AS "movieId", title, genres, score
+        FROM asked a LEFT JOIN found f ON a.request_id = f.request_id""", *_SERVING),
+    "batch_recommend": sql(f"""SELECT a.* REPLACE ({_AS_DOUBLE}), coalesce(l.recommended, '') AS recommended,
+        coalesce(h.history, '') AS history FROM asked a
+        LEFT JOIN (SELECT request_id, string_agg(movie_idx, ',' ORDER BY rank) AS recommended
+                   FROM found GROUP BY 1) l ON l.request_id = a.request_id
         LEFT JOIN (SELECT user_idx, string_agg("movieId" || ':' || rating, ',' ORDER BY rank) AS history
-                   FROM hist GROUP BY 1) h ON l.user_idx = h.user_idx""",
-                           RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _UNSEEN, _ACTIVITY, _REQUESTS,
-                           f"answers AS ({_ANSWERS})", f"hist AS ({_HISTORY})"),
+                   FROM ({_HISTORY}) GROUP BY 1) h ON a.user_idx = h.user_idx""", *_SERVING),
     "user_history_top10": sql(_HISTORY, RATINGS, MOVIES),
     "score_histogram": sql("""SELECT le, count(*) FILTER (WHERE bound IS NULL OR score <= bound) AS n FROM
-        (SELECT score FROM scores JOIN seen USING (user_idx, movie_idx)), (VALUES """ + ", ".join(
+        (SELECT score * CASE WHEN a > 0 THEN 1 + least(a, 20) * CAST(0.01 AS DOUBLE) ELSE 1 END AS score
+         FROM unseen LEFT JOIN act USING (user_idx)), (VALUES """ + ", ".join(
             f"('{b}', CAST({b} AS DOUBLE))" for b in SCORE_BOUNDS) + """, ('+Inf', NULL)) b(le, bound)
-        GROUP BY le""", RATINGS, FACTORS, _SEEN),
+        GROUP BY le""", RATINGS, FACTORS, EVENTS, _SEEN, _UNSEEN, _ACTIVITY),
     "precision_recall_at_10": sql("""SELECT user_idx, n_positives, hits, round(hits / CAST(10 AS DOUBLE), 6) AS precision,
         round(hits / CAST(n_positives AS DOUBLE), 6) AS recall FROM at10""",
                                   RATINGS, FACTORS, _LOW, _HIGH, _CLEAN_HIGH, _AT_10),

@@ -112,8 +112,37 @@ def test_requests_are_answered(world, spark, frame):
     assert [m for _, m, _ in sorted(by[91])] == [r[2] for r in best(world, 5, 2)]
     assert [s for _, _, s in sorted(by[92])] == [r[3] for r in best(world, 6, 2)]
     assert tuples(rejected, "request_id", "error") == [(99, "user_not_found")]
-    lists = {r["request_id"]: r for r in recommend.responses(found).collect()}
-    assert lists[0]["count"] == 3 and [e["rank"] for e in lists[0]["recommendations"]] == [1, 2, 3]
+
+
+def test_every_accepted_request_has_a_response(world, spark, frame):
+    rows = [(1, 5, 3, None, None), (2, 20, 4, True, True), (3, 6, 2, True, False), (4, 30, 2, False, True),
+            (5, -3, 2, True, True), (6, 5, 1, False, False)]
+    users = world["users"].where("user_idx <> 20")
+    seen = world["seen"].union(world["items"].selectExpr("6L", "movie_idx"))
+    requests = spark.createDataFrame(rows, REQUEST)
+    found, rejected = recommend.recommend(users, world["items"], requests, seen, world["movies"], n_users=N_USERS)
+    good = recommend.accepted(recommend.check_requests(requests, N_USERS))
+    bundle = frame([(5, 3.5, "A"), (6, 2.0, "B"), (20, 1.0, None)], "user_idx long, mean double, genre string")
+    out = {r["request_id"]: r for r in recommend.responses(good, found, users, bundle).collect()}
+    assert {k: (r["count"], r["warning"]) for k, r in out.items()} == {
+        1: (3, None), 2: (0, "prediction_error"), 3: (0, None), 4: (2, "feast_unavailable"), 6: (1, None)}
+    assert [e["movie_idx"] for e in out[1]["recommendations"]] == [r[2] for r in best(world, 5, 3, world["seen_set"])]
+    assert out[2]["recommendations"] == [] and out[1]["features"]["mean"] == 3.5 and out[6]["features"] is None
+    history = frame([(5, 1, 7, "t", "A", 4.0)], "user_idx long, rank int, movieId long, title string, genres string, rating double")
+    both = {r["request_id"]: r for r in recommend.batch_recommend(
+        recommend.responses(good, found, users), history).collect()}
+    assert len(both) == 5 and len(both[1]["user_history"]) == 1 and both[3]["user_history"] == []
+    assert tuples(rejected, "request_id", "error") == [(5, "invalid_input")]
+
+
+def test_score_histogram_equals_brute_force(world, blocks, frame):
+    activity = frame([(1, 4), (2, 50)], "user_idx long, user_recent_activity long")
+    bounds = [-4.0, 0.0, 2.5, 9.0]
+    got = {r["le"]: r["n"] for r in recommend.score_histogram(
+        world["users"], world["items"], bounds, world["seen"], activity).collect()}
+    raised = [world["scores"][u, i] * {1: 1.04, 2: 1.2}.get(u, 1) for u in range(N_USERS) for i in range(N_ITEMS)
+              if (u, i) not in world["seen_set"]]
+    assert got == {**{b: sum(s <= b for s in raised) for b in bounds}, None: len(raised)}
 
 
 @pytest.mark.parametrize("activity, factor", [(0, 1.0), (20, 1.2), (35, 1.2), (None, 1.0), (5, 1.05)])
