@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators import clean, profile, split
+from marquee.operators.ordering import positions
 from marquee.plans.common import MOVIES, RATINGS, Query, rounded, sql, time_texts
-from marquee.session import durable
-from marquee.sources import proxies
+from marquee.session import durable, scratch_path
+from marquee.sources import files, proxies
 
 LEAST = 30
 
@@ -108,6 +109,26 @@ def chrono_split(spark: SparkSession, folder: str) -> DataFrame:
     return split.labelled_split(proxies.ratings(spark, folder))
 
 
+def ratings_by_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rating with its place in files written in the order of time."""
+    written = durable(split.sorted_by_time(proxies.ratings(spark, folder)), "by_time")
+    at = written.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return positions(at, ["file", "row"], "place").drop("file", "row")
+
+
+def ratings_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings written as CSV and read back."""
+    path = scratch_path(spark, "csv")
+    files.write_csv(proxies.raw_ratings(spark, folder), path)
+    return files.read_ratings(spark, path)
+
+
+def movies_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    files.write_csv(proxies.raw_movies(spark, folder), path)
+    return files.read_movies(spark, path)
+
+
 def split_ranges(spark: SparkSession, folder: str) -> DataFrame:
     ranges = split.split_ranges(split.labelled_split(proxies.ratings(spark, folder)))
     return time_texts(rounded(ranges), "first_time", "last_time")
@@ -130,7 +151,7 @@ def interaction_shape(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     clean_ratings, clean_movies, rated_movies, dense_user_ids, dense_movie_ids, dense_ids_first_seen,
     table_shape, null_counts, duplicate_rows, distinct_counts, describe_ratings, rating_histogram,
-    ratings_per_user, top_genres, sparsity, chrono_split, split_ranges, known_test_rows,
+    ratings_per_user, top_genres, sparsity, chrono_split, ratings_by_time, ratings_csv, movies_csv, split_ranges, known_test_rows,
     interactions, interaction_shape)}
 
 _COLUMNS = [("userId", "user_idx", "bigint"), ("movieId", "movie_idx", "bigint"),
@@ -173,6 +194,11 @@ ORACLES: dict[str, str] = {
         round(1 - count(*) / (CAST(count(DISTINCT user_idx) AS DOUBLE) * count(DISTINCT movie_idx)), 6) AS sparsity
         FROM ratings""", RATINGS),
     "chrono_split": sql("SELECT * FROM parts", RATINGS, PARTS),
+    "ratings_by_time": sql("""SELECT *, row_number() OVER (ORDER BY "timestamp", user_idx, movie_idx, rating) - 1
+        AS place FROM ratings""", RATINGS),
+    "ratings_csv": sql("""SELECT user_idx AS "userId", movie_idx AS "movieId", rating, "timestamp" FROM ratings""",
+                       RATINGS),
+    "movies_csv": sql('SELECT "movieId", title, genres FROM movies', MOVIES),
     "split_ranges": sql("""SELECT part, count(*) AS n_rows,
         round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM parts), 6) AS share,
         strftime(to_timestamp(min("timestamp")) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS first_time,

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from marquee.operators import features, store
 from marquee.operators.asof import asof_join
 from marquee.plans.common import EVENTS, GENRES, MOVIES, RATINGS, Query, as_doubles, rounded, sql, time_text, time_texts
-from marquee.sources import proxies
+from marquee.session import scratch_path
+from marquee.sources import files, proxies
 from marquee.streaming import counters
 
 
@@ -68,6 +69,13 @@ def user_feature_view(spark: SparkSession, folder: str) -> DataFrame:
     return time_texts(_widened(_user_batch(spark, folder)), "event_timestamp")
 
 
+def user_feature_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The user view written to files of its day and read back."""
+    path = scratch_path(spark, "views")
+    files.write_features(_user_batch(spark, folder), f"{path}/{store.USER_BATCH.source}", AS_OF)
+    return time_texts(_widened(store.read_view(spark, store.USER_BATCH, path)), "event_timestamp")
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     """Events naming a genre unless they are errors."""
     named = F.when(F.col("event_type") != "error", F.col("event_type"))
@@ -165,7 +173,7 @@ def feature_freshness(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     user_features, movie_features, user_favorite_genre, genre_affinity, genre_vocabulary, genre_one_hot,
-    user_feature_view, online_user_features, online_movie_features, materialize_latest,
+    user_feature_view, user_feature_files, online_user_features, online_movie_features, materialize_latest,
     materialize_stream, materialize_ttl, push_upsert, asof_features, historical_features,
     feature_view_stats, feature_freshness)}
 
@@ -309,3 +317,5 @@ ORACLES: dict[str, str] = {
             FROM {table}""" for name, table in (("user_stream_features", "ustream"),
                                                 ("movie_stream_features", "mstream"))), EVENTS, GENRED),
 }
+
+ORACLES["user_feature_files"] = ORACLES["user_feature_view"]

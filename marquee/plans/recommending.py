@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators import evaluate, recommend, split, store
 from marquee.plans import featuring
+from marquee.plans.cleaning import PARTS
 from marquee.plans.common import EVENTS, FACTORS, MOVIES, RATINGS, Query, as_doubles, rounded, sql
 from marquee.session import durable
 from marquee.sources import proxies
@@ -148,6 +149,28 @@ def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Da
             split.interactions(split.restrict_to_known(test, train)))
 
 
+def evaluate_factors(spark: SparkSession, folder: str) -> DataFrame:
+    """Precision, recall and AUC of the given factors, on train and on test with train items left out."""
+    train, test = split.chronological_split(_known_ratings(spark, folder))
+    return rounded(evaluate.evaluate_model(*_factors(spark, folder), train, split.restrict_to_known(test, train),
+                                           decimals=SCORE_DECIMALS))
+
+
+def als_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts that hold of any trained model and its recommendations."""
+    users, items, train, _ = _trained(spark, folder)
+    ranked = durable(recommend.recommend_unseen(users, items, 10, recommend.seen_pairs(train)), "ranked")
+    per_user = ranked.groupBy("user_idx").agg(F.count("*").alias("n"), F.max("rank").alias("last"))
+    unknown = train.select("user_idx").distinct().join(users, "user_idx", "left_anti")
+    return spark.range(1).select(
+        (unknown.agg(F.count("*")).scalar() == 0).alias("every_user_has_factors"),
+        (ranked.join(train, ["user_idx", "movie_idx"], "left_semi").agg(F.count("*")).scalar() == 0)
+        .alias("nothing_seen_is_recommended"),
+        per_user.agg(F.coalesce(F.bool_and(F.col("n") == F.col("last")), F.lit(True))).scalar()
+        .alias("ranks_have_no_gaps"),
+        (per_user.agg(F.count("*")).scalar() == users.agg(F.count("*")).scalar()).alias("every_user_is_answered"))
+
+
 def als_recommend(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on train, then ten unseen movies with metadata for every user."""
     users, items, train, _ = _trained(spark, folder)
@@ -162,7 +185,7 @@ def als_evaluate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     recommend_topn, exclude_seen, recommend_boosted, request_errors, recommend_requests, batch_recommend,
     user_history_top10, score_histogram, precision_recall_at_10, auc_per_user, mean_ranking_metrics,
-    als_recommend, als_evaluate)}
+    evaluate_factors, als_properties, als_recommend, als_evaluate)}
 
 _RANK = "row_number() OVER (PARTITION BY user_idx ORDER BY score DESC, movie_idx)"
 _SEEN = "seen AS (SELECT DISTINCT user_idx, movie_idx FROM known)"
@@ -209,7 +232,43 @@ asked AS (SELECT c.request_id, c.user_idx, coalesce(f.n, 0) AS "count",
 _SERVING = (RATINGS, FACTORS, EVENTS, MOVIES, _SEEN, _ACTIVITY, _REQUESTS, _ITEMS)
 _AS_DOUBLE = "CAST(user_recent_activity AS DOUBLE) AS user_recent_activity"
 
+
+
+def _measured(part: str) -> str:
+    """The metrics of one part."""
+    return f"""SELECT '{part}' AS part, (SELECT count(*) FROM n_{part}) AS n_users,
+        (SELECT round(avg(hits / CAST(10 AS DOUBLE)), 6) FROM at_{part}) AS precision,
+        (SELECT round(avg(hits / CAST(n AS DOUBLE)), 6) FROM at_{part}) AS recall,
+        (SELECT round(avg(auc), 6) FROM auc_{part}) AS auc"""
+
+
+def _part(part: str, positives: str, left_out: str) -> str:
+    """Tables of one part: positives per user, hits among the first ten, area per user."""
+    return f"""n_{part} AS (SELECT user_idx, count(*) AS n FROM {positives} GROUP BY 1),
+ranked_{part} AS (SELECT *, {_RANK} AS rank FROM scores s WHERE NOT ({left_out})),
+at_{part} AS (SELECT n.user_idx, n.n AS n, count(r.rank) AS hits FROM n_{part} n
+    JOIN {positives} p ON p.user_idx = n.user_idx
+    LEFT JOIN ranked_{part} r ON r.user_idx = p.user_idx AND r.movie_idx = p.movie_idx AND r.rank <= 10 GROUP BY 1, 2),
+auc_{part} AS (SELECT a.user_idx,
+    avg(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) AS auc
+    FROM (SELECT r.* FROM ranked_{part} r JOIN {positives} USING (user_idx, movie_idx)) a
+    JOIN (SELECT * FROM ranked_{part} r WHERE NOT EXISTS (SELECT 1 FROM {positives} p
+          WHERE p.user_idx = r.user_idx AND p.movie_idx = r.movie_idx)) b ON a.user_idx = b.user_idx GROUP BY 1)"""
+
+
+_EVALUATED = (
+    PARTS.replace("FROM ratings", "FROM known"),
+    "tr AS (SELECT DISTINCT user_idx, movie_idx FROM train)",
+    """te AS (SELECT DISTINCT user_idx, movie_idx FROM test WHERE user_idx IN (SELECT user_idx FROM train)
+        AND movie_idx IN (SELECT movie_idx FROM train))""",
+    _part("train", "tr", "FALSE"),
+    _part("test", "te", "EXISTS (SELECT 1 FROM tr t WHERE t.user_idx = s.user_idx AND t.movie_idx = s.movie_idx)"))
+
 ORACLES: dict[str, str] = {
+    "evaluate_factors": sql(" UNION ALL ".join(_measured(p) for p in ("train", "test")),
+                            RATINGS, FACTORS, *_EVALUATED),
+    "als_properties": """SELECT TRUE AS every_user_has_factors, TRUE AS nothing_seen_is_recommended,
+        TRUE AS ranks_have_no_gaps, TRUE AS every_user_is_answered""",
     "recommend_topn": sql(f"""SELECT user_idx, movie_idx, round(score, 12) AS score, {_RANK} AS rank FROM scores
         QUALIFY rank <= 10""", RATINGS, FACTORS),
     "exclude_seen": sql(f"""SELECT user_idx, movie_idx, round(score, 12) AS score, {_RANK} AS rank FROM unseen

@@ -17,9 +17,19 @@ COUNT_SIZE = 10
 GAP = "6 hours"
 
 
-def _stream(spark: SparkSession, folder: str) -> DataFrame:
-    named = F.when(F.col("event_type") != "error", F.col("event_type"))
-    return proxies.event_stream(spark, folder).withColumn("genres", named)
+# Streams read the events from so many files, one per micro-batch.
+FILES = 5
+
+
+def _named(events: DataFrame) -> DataFrame:
+    """Events naming a genre unless they are errors."""
+    return events.withColumn("genres", F.when(F.col("event_type") != "error", F.col("event_type")))
+
+
+def _stream(spark: SparkSession, folder: str, copies: int = 1) -> DataFrame:
+    path = scratch_path(spark, "events")
+    proxies.event_files(spark, folder, path, FILES, copies)
+    return _named(proxies.event_stream(spark, path, "*.parquet", files_per_batch=1))
 
 
 def _keyed(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,6 +83,13 @@ def stream_windowed_24h(spark: SparkSession, folder: str) -> DataFrame:
     return time_texts(counters.sliding_activity(panes, WINDOW, SLIDE), "window_start")
 
 
+def stream_windowed_features(spark: SparkSession, folder: str) -> DataFrame:
+    """All four stream features per sliding window."""
+    panes = _keyed(spark, counters.feature_panes(_stream(spark, folder), SLIDE, "60 days"),
+                   ["window_start", "entity", "key"])
+    return time_texts(counters.sliding_features(panes, WINDOW, SLIDE), "window_start")
+
+
 def stream_event_types(spark: SparkSession, folder: str) -> DataFrame:
     return _keyed(spark, counters.event_types(_stream(spark, folder)), ["event_type"])
 
@@ -92,9 +109,10 @@ def stream_recent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """One summary row per micro-batch."""
+    """One summary row per micro-batch; here all events come in one."""
     table = sinks.BatchTable(spark, scratch_path(spark, "summary"))
-    sinks.drain(_stream(spark, folder), lambda batch, i: table.write(counters.batch_summary(batch), i), "append")
+    sinks.drain(_named(proxies.event_stream(spark, folder)),
+                lambda batch, i: table.write(counters.batch_summary(batch), i), "append")
     return table.read().select(
         "events", "active_users", "popular_movies",
         F.concat_ws(",", F.transform(F.map_entries("per_type"),
@@ -117,10 +135,8 @@ def stream_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event arrives twice and is kept once."""
-    events = _stream(spark, folder)
-    doubled = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    rows = _appended(spark, counters.deduplicated(doubled, "60 days"))
+    """Every event arrives twice, in different micro-batches, and is kept once."""
+    rows = _appended(spark, counters.deduplicated(_stream(spark, folder, copies=2), "60 days"))
     return time_texts(rows.select("event_id", "user_idx", "event_type", "ts"), "ts")
 
 
@@ -166,7 +182,7 @@ def event_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stream_user_activity, stream_last_genre, stream_movie_popularity, stream_movie_popularity_all,
-    stream_push, stream_windowed_24h, stream_event_types, stream_totals, stream_recent, stream_summary,
+    stream_push, stream_windowed_24h, stream_windowed_features, stream_event_types, stream_totals, stream_recent, stream_summary,
     stream_json_roundtrip, stream_dedup, stream_sessions, batch_sessions, stream_count_window,
     batch_count_window, stream_validated, event_rate)}
 
@@ -204,6 +220,13 @@ ORACLES: dict[str, str] = {
         AS window_start, user_idx, count(*) AS events FROM (
             SELECT user_idx, CAST(floor(epoch(ts) / 21600) AS BIGINT) * 21600 - 21600 * k AS w
             FROM ev, (VALUES (0), (1), (2), (3)) b(k)) GROUP BY 1, 2""", EVENTS),
+    "stream_windowed_features": sql("""SELECT strftime(to_timestamp(w) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')
+        AS window_start, entity, "key", count(*) AS n, coalesce((list(event_type ORDER BY ts DESC, event_id DESC)
+            FILTER (WHERE event_type <> 'error'))[1], 'Unknown') AS last_genre FROM (
+            SELECT e.*, CAST(floor(epoch(ts) / 21600) AS BIGINT) * 21600 - 21600 * k AS w FROM (
+                SELECT 'user' AS entity, user_idx AS "key", ts, event_id, event_type FROM ev UNION ALL
+                SELECT 'movie', movie_idx, ts, event_id, event_type FROM ev WHERE event_type IN ('view', 'click')) e,
+            (VALUES (0), (1), (2), (3)) b(k)) GROUP BY 1, 2, 3""", EVENTS),
     "stream_event_types": sql("SELECT event_type, count(*) AS events FROM ev GROUP BY 1", EVENTS),
     "stream_totals": sql("""SELECT (SELECT count(*) FROM ustream) AS active_users,
         (SELECT count(*) FROM mstream) AS active_movies,

@@ -81,6 +81,21 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
     return _shape_events(reader.parquet(folder))
 
 
+def event_files(spark: SparkSession, folder: str, path: str, files: int, copies: int = 1) -> None:
+    """The events table below ``path``, in so many files by time, each copy after the last.
+
+    Files are written one after the other, as a stream takes the oldest first.
+    """
+    rows = table(spark, folder, "events")
+    shares = [k / files for k in range(1, files)]
+    edges = rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), shares)).first()[0] or []
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    part = sum((F.when(at > edge, 1).otherwise(0) for edge in edges), F.lit(0))
+    for _ in range(copies):
+        for k in range(files):
+            rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+
+
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as served requests: error events failed, latency from the value."""
     return events(spark, folder).select(

@@ -52,16 +52,20 @@ def movie_stream_features(events: DataFrame, include_zero: bool = False) -> Data
         F.max("ts").alias("event_timestamp"))
 
 
+def _by_entity(events: DataFrame) -> DataFrame:
+    """Every event as a row ``_of`` its user and, for views and clicks, one of its movie."""
+    movie = F.when(_is_watching(), F.struct(F.lit("movie").alias("entity"), F.col("movie_idx").alias("key")))
+    user = F.struct(F.lit("user").alias("entity"), F.col("user_idx").alias("key"))
+    return events.withColumn("_of", F.explode(F.array_compact(F.array(user, movie))))
+
+
 def entity_features(events: DataFrame) -> DataFrame:
     """User and movie features in one aggregation, as rows of (entity, key).
 
     A stream needs one state store for both views this way. Movies get a row
     for views and clicks only.
     """
-    movie = F.when(_is_watching(), F.struct(F.lit("movie").alias("entity"), F.col("movie_idx").alias("key")))
-    user = F.struct(F.lit("user").alias("entity"), F.col("user_idx").alias("key"))
-    rows = events.withColumn("_of", F.explode(F.array_compact(F.array(user, movie))))
-    return rows.groupBy(F.col("_of.entity").alias("entity"), F.col("_of.key").alias("key")).agg(
+    return _by_entity(events).groupBy(F.col("_of.entity").alias("entity"), F.col("_of.key").alias("key")).agg(
         F.count("*").alias("n"), _last_genre().alias("last_genre"), F.max("ts").alias("event_timestamp"))
 
 
@@ -91,6 +95,25 @@ def sliding_activity(panes: DataFrame, window: str, slide: str) -> DataFrame:
         F.sum("events").alias("events"))
 
 
+def feature_panes(events: DataFrame, slide: str, lateness: str = LATENESS) -> DataFrame:
+    """All stream features per entity and pane of one slide; old panes leave the state."""
+    rows = events.withWatermark("ts", lateness) if events.isStreaming else events
+    newest = F.max(F.when(F.col("genres").isNotNull(), F.struct("ts", "event_id", "genres")))
+    return _by_entity(rows).groupBy(F.window("ts", slide).alias("pane"), "_of").agg(
+        F.count("*").alias("n"), newest.alias("newest")).select(
+            F.col("pane.start").alias("window_start"), "_of.entity", "_of.key", "n", "newest")
+
+
+def sliding_features(panes: DataFrame, window: str, slide: str) -> DataFrame:
+    """Activity, popularity, recent views and last genre in each sliding window, from its panes.
+
+    ``n`` is a user's activity, or a movie's popularity and recent views.
+    """
+    spread = spread_panes(panes, "window_start", window, slide)
+    return spread.groupBy("window_start", "entity", "key").agg(
+        F.sum("n").alias("n"), F.coalesce(F.max("newest")["genres"], F.lit("Unknown")).alias("last_genre"))
+
+
 def event_types(events: DataFrame) -> DataFrame:
     return events.groupBy("event_type").agg(F.count("*").alias("events"))
 

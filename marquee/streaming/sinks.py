@@ -6,12 +6,15 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from marquee.operators.store import latest_per_key
 from marquee.session import scratch_path
 from marquee.sources.files import MissingTable, read_parquet
 
+# A keyed table writes its state anew after so many micro-batches.
+COMPACT_EVERY = 20
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -55,11 +58,21 @@ class BatchTable:
 
 
 class KeyedTable(BatchTable):
-    """The newest row per key of all micro-batches."""
+    """The newest row per key of all micro-batches.
+
+    Every ``compact_every`` batches the state is written anew, so a read takes
+    one snapshot and fewer batches than that, however long the stream runs. A
+    replayed batch writes the same snapshot again.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], compact_every: int = COMPACT_EVERY):
         super().__init__(spark, path)
-        self.keys = list(keys)
+        self.keys, self.compact_every = list(keys), compact_every
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        super().write(rows, batch_id)
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(batch_id)
 
     def _versions(self, before: int | None) -> DataFrame:
         """Rows with the batch they come from: the last snapshot and all later batches."""
@@ -88,13 +101,43 @@ class KeyedTable(BatchTable):
         self.read(upto + 1).write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={upto}")
 
 
+class Progress(StreamingQueryListener):
+    """Running totals of each query, over all of its micro-batches.
+
+    Spark itself remembers the last hundred only. Add it with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.totals.setdefault(str(event.id), {"batches": 0, "rows": 0, "milliseconds": 0, "late_rows": 0})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        total = self.totals.setdefault(str(p.id), {"batches": 0, "rows": 0, "milliseconds": 0, "late_rows": 0})
+        total["batches"] += 1
+        total["rows"] += p.numInputRows
+        total["milliseconds"] += p.batchDuration
+        total["late_rows"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def rows_per_second(self, query: StreamingQuery) -> float:
+        total = self.totals[str(query.id)]
+        return total["rows"] * 1000 / max(total["milliseconds"], 1)
+
+    def late_rows(self, query: StreamingQuery) -> int:
+        """Rows dropped as later than the watermark."""
+        return self.totals[str(query.id)]["late_rows"]
+
+
 def throughput(query: StreamingQuery) -> list[dict]:
-    """Rows and rows per second of each reported micro-batch."""
+    """Rows and rows per second of the last micro-batches; ``Progress`` sums up all."""
     return [{"batch_id": p["batchId"], "rows": p["numInputRows"],
              "rows_per_second": p["processedRowsPerSecond"]} for p in query.recentProgress]
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the reported micro-batches dropped as later than the watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in query.recentProgress for op in p["stateOperators"])

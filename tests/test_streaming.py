@@ -1,3 +1,4 @@
+import time
 import json
 import random
 from datetime import datetime, timedelta
@@ -109,9 +110,41 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     late = (999, 1, 1, "view", START - timedelta(days=3), None)
     stream = as_stream(spark, tmp_path, make_events(40) + [late], 3)
     table = sinks.KeyedTable(spark, str(tmp_path / "late"), ["window_start", "user_idx"])
+    progress = sinks.Progress()
+    spark.streams.addListener(progress)
     query = sinks.drain(counters.activity_panes(stream, "15 minutes", "1 minute"), table.write)
     assert table.read().agg(F.sum("events")).first()[0] == 40
-    assert sinks.late_rows(query) == 1
+    for _ in range(100):  # the listener hears of a batch a little later
+        if str(query.id) in progress.totals and progress.totals[str(query.id)]["rows"] == 41:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(progress)
+    assert progress.late_rows(query) == 1
+    assert progress.totals[str(query.id)]["batches"] >= 3 and progress.rows_per_second(query) > 0
+
+
+def test_a_keyed_table_compacts_itself(spark, tmp_path):
+    table = sinks.KeyedTable(spark, str(tmp_path / "t"), ["k"], compact_every=2)
+    for batch in range(5):
+        table.write(spark.createDataFrame([(batch % 3, batch), (9, batch)], "k long, v long"), batch)
+    assert tuples(table.read()) == [(0, 3), (1, 4), (2, 2), (9, 4)]
+    assert len(list((tmp_path / "t" / "snapshots").glob("upto=*"))) == 2
+    table.write(spark.createDataFrame([(1, 4), (9, 4)], "k long, v long"), 4)  # a replay
+    assert tuples(table.read()) == [(0, 3), (1, 4), (2, 2), (9, 4)]
+    assert tuples(table.read(before=3)) == [(0, 0), (1, 1), (2, 2), (9, 2)]
+
+
+def test_malformed_messages_are_kept_apart(spark):
+    raw = spark.createDataFrame([('{"event_id": "e1", "user_idx": 3}',), ("{not json",), ("",), (None,), ('{"user_idx": "x"}',)],
+                                "value string")
+    assert [r["event_id"] for r in kafka.decode(raw).collect()] == ["e1"]
+    assert sorted(str(r["value"]) for r in kafka.malformed(raw).collect()) == ["", "None", '{"user_idx": "x"}', "{not json"]
+
+
+def test_topic_options():
+    options = kafka.topic_options("h:1", group="g", most_per_batch=500)
+    assert options["kafka.group.id"] == "g" and options["maxOffsetsPerTrigger"] == "500"
+    assert "kafka.group.id" not in kafka.topic_options("h:1")
 
 
 @pytest.mark.parametrize("spread", [1, 4])
