@@ -129,9 +129,13 @@ def errors_per_minute(log: DataFrame, window: str = "5 minutes") -> DataFrame:
         (F.count_if(F.col("status") == 500) / minutes).alias("errors_per_minute"))
 
 
-def alert_state(log: DataFrame, window: str = "5 minutes") -> DataFrame:
-    """Green, yellow or red per window, for p95 latency and for the success ratio."""
-    p95 = bucket_quantiles(_windowed(log, window), "latency_s", LATENCY_BOUNDS,
+def alert_state(log: DataFrame, window: str = "5 minutes", endpoint: str | None = None) -> DataFrame:
+    """Green, yellow or red per window, for p95 latency and for the success ratio.
+
+    With ``endpoint``, latency is that of its requests only; success is always over all.
+    """
+    timed = log if endpoint is None else log.where(F.col("endpoint") == endpoint)
+    p95 = bucket_quantiles(_windowed(timed, window), "latency_s", LATENCY_BOUNDS,
                            ["window_start"], {"p95": 0.95})
     joined = p95.join(success_ratio(log, window), "window_start", "full")
     latency, ratio = F.col("p95"), F.col("success_ratio")

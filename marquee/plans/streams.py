@@ -26,10 +26,17 @@ def _named(events: DataFrame) -> DataFrame:
     return events.withColumn("genres", F.when(F.col("event_type") != "error", F.col("event_type")))
 
 
+# Where a session has already written them.
+_written: dict[tuple[str, str, int], str] = {}
+
+
 def _stream(spark: SparkSession, folder: str, copies: int = 1) -> DataFrame:
-    path = scratch_path(spark, "events")
-    proxies.event_files(spark, folder, path, FILES, copies)
-    return _named(proxies.event_stream(spark, path, "*.parquet", files_per_batch=1))
+    key = (spark.sparkContext.applicationId, folder, copies)
+    if key not in _written:
+        path = scratch_path(spark, "events")
+        proxies.event_files(spark, folder, path, FILES, copies)
+        _written[key] = path
+    return _named(proxies.event_stream(spark, _written[key], "*.parquet", files_per_batch=1))
 
 
 def _keyed(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame:
