@@ -82,7 +82,129 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+def _replaced(column: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({column}, '{pattern.replace("'", "''")}', {by}, 'g')"
+
+
+def _characters(column: str) -> str:
+    """Named characters only; the pages have no numbered ones."""
+    for name, char in warc.NAMED.items():
+        column = f"replace({column}, '&{name};', '{char.replace("'", "''")}')"
+    return column
+
+
+def _blanks(column: str) -> str:
+    column = _replaced(column, r"[\x20\t\r\f\x0B\x{A0}]+", "' '")
+    return _replaced(_replaced(column, r" ?\n[ \n]*", "chr(10)"), r"\A[ \n]+|[ \n]+\z", "''")
+
+
+def _plain_text(column: str) -> str:
+    for pattern in warc.DROPPED:
+        column = _replaced(column, pattern, "' '")
+    return _blanks(_characters(_replaced(_replaced(column, warc.LINE_TAGS, "chr(10)"), warc.OTHER_TAGS, "''")))
+
+
+def _record_id(*parts: str) -> str:
+    h = f"md5(concat_ws(chr(10), {', '.join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)}))"
+    return (f"'<urn:uuid:' || {h}[1:8] || '-' || {h}[9:12] || '-3' || {h}[14:16] || '-8' || {h}[18:20] || '-' "
+            f"|| {h}[21:32] || '>'")
+
+
+_LINKED = warc.LINK.replace("'", "''")
+
+_WARC = rf"""
+WITH fetched AS (
+  SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS body,
+         'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: '
+         || strlen(coalesce(html, '')) AS source_headers,
+         'sha256:' || sha256(coalesce(html, '')) AS source_payload_digest,
+         {_record_id("'response'", "page_id", "url", "coalesce(html, '')")} AS refers_to FROM pages),
+parsed AS (
+  SELECT *, {_plain_text("body")} AS plain,
+         replace({_blanks(_characters(f"regexp_extract(body, '{warc.TITLE}', 1)"))}, chr(10), ' ') AS title,
+         regexp_extract_all(body, '{_LINKED}', 1) AS found FROM fetched),
+made AS (
+  SELECT *, {_record_id("'metadata'", "refers_to", "target_uri", "source_payload_digest")} AS m_id,
+         {_record_id("'conversion'", "refers_to", "target_uri", "source_payload_digest")} AS c_id,
+         array_to_string(list_filter(['source-status: HTTP/1.1 200 OK', 'source-payload-digest: ' || source_payload_digest,
+           'source-header: ' || replace(source_headers, chr(13) || chr(10), chr(13) || chr(10) || 'source-header: '),
+           'title: ' || title,
+           array_to_string(list_transform(list_filter(found, lambda x, i: list_position(found, x) = i),
+                           lambda u: 'outlink: ' || {_characters("u")}), chr(13) || chr(10))],
+           lambda f: f <> ''), chr(13) || chr(10)) || chr(13) || chr(10) AS fields FROM parsed),
+records AS (
+  SELECT m_id AS record_id, 'metadata' AS warc_type, refers_to, c_id AS concurrent_to, target_uri,
+         'application/warc-fields' AS content_type, source_headers, source_payload_digest, fields AS block FROM made
+  UNION ALL
+  SELECT c_id, 'conversion', refers_to, m_id, target_uri, 'text/plain; charset=utf-8', source_headers,
+         source_payload_digest, plain FROM made)
+SELECT record_id, warc_type, refers_to, concurrent_to, target_uri, '2024-01-01T00:00:00Z' AS warc_date, content_type,
+       CAST(strlen(block) AS BIGINT) AS content_length, 'sha256:' || sha256(block) AS block_digest,
+       'HTTP/1.1 200 OK' AS source_status, source_headers, source_payload_digest, block FROM records"""
+
+# One row per slot: earliest deadline first among the released blocks of sources that have any left.
+_MIXING = f"""
+WITH RECURSIVE
+sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+whole AS (
+  SELECT source, (n + {mixing.BLOCK_DOCS} - 1) // {mixing.BLOCK_DOCS} AS blocks,
+         greatest(1, CAST(round({mixing.PARTS} * sqrt(n) / (SELECT sum(sqrt(n)) FROM sizes)) AS BIGINT)) AS weight
+  FROM sizes),
+lists AS (
+  SELECT list(source ORDER BY source NULLS FIRST) AS sources, list(blocks ORDER BY source NULLS FIRST) AS blocks,
+         list(weight ORDER BY source NULLS FIRST) AS w FROM whole),
+slots AS (
+  SELECT CAST(-1 AS BIGINT) AS slot, CAST(0 AS BIGINT) AS pick, CAST(0 AS BIGINT) AS released,
+         CAST(0 AS BIGINT) AS due, blocks AS remaining, list_transform(blocks, lambda b: CAST(0 AS BIGINT)) AS taken,
+         CAST(0 AS BIGINT) AS start, w FROM lists
+  UNION ALL
+  SELECT slot + 1, p, start + taken[p] * total // w[p],
+         start + ((taken[p] + 1) * total + w[p] - 1) // w[p],
+         list_transform(remaining, lambda b, i: b - CAST(i = p AS BIGINT)),
+         CASE WHEN remaining[p] = 1 THEN list_transform(taken, lambda t: CAST(0 AS BIGINT))
+              ELSE list_transform(taken, lambda t, i: t + CAST(i = p AS BIGINT)) END,
+         CASE WHEN remaining[p] = 1 THEN slot + 2 ELSE start END, w
+  FROM (
+    SELECT *, list_min(list_transform(list_filter(range(1, len(w) + 1),
+                lambda i: remaining[i] > 0 AND taken[i] * total // w[i] <= slot + 1 - start),
+              lambda i: (((taken[i] + 1) * total + w[i] - 1) // w[i]) * 1000000 + i)) % 1000000 AS p
+    FROM (SELECT *, CAST(list_sum(list_transform(w, lambda x, i: CASE WHEN remaining[i] > 0 THEN x ELSE 0 END))
+                         AS BIGINT) AS total FROM slots WHERE list_sum(remaining) > 0))),
+placed AS (
+  SELECT (SELECT sources FROM lists)[pick] AS source, slot, released, due,
+         row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS block FROM slots WHERE slot >= 0),
+numbered AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS place
+  FROM documents)
+SELECT n.doc_id, n.source, p.block, place % {mixing.BLOCK_DOCS} AS "offset", slot, released AS "release",
+       due AS deadline
+FROM numbered n JOIN placed p ON n.source IS NOT DISTINCT FROM p.source AND place // {mixing.BLOCK_DOCS} = p.block"""
+
+_PERSPECTIVES = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, replace(coalesce("text", ''), '<|', '< |') AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'),
+                            replace(coalesce("text", ''), '<|', '< |')) - 1 AS number FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+segments AS (
+  SELECT t.conv_id, perspective, number // {perspectives.PART_TURNS} AS part, number, role = perspective AS spoken,
+         '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+             ELSE 'user name=' || regexp_replace(role, '[^0-9A-Za-z_-]', '_', 'g') END || chr(10) AS head,
+         said || '<|im_end|>' || chr(10) AS said
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+spans AS (
+  SELECT *, sum(length(head) + length(said)) OVER (PARTITION BY conv_id, perspective, part ORDER BY number) AS ends
+  FROM segments)
+SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || said, '' ORDER BY number) AS "text",
+       coalesce(string_agg(CAST(ends - length(said) AS VARCHAR) || ':' || CAST(ends AS VARCHAR), ',' ORDER BY number)
+                FILTER (WHERE spoken), '') AS mask
+FROM spans GROUP BY conv_id, perspective, part"""
+
 ORACLES: dict[str, str] = {
+    "op1_warc_derivatives": _WARC,
+    "op5_mixing": _MIXING,
+    "op9_perspectives": _PERSPECTIVES,
     "op6_decontaminate": rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{_UPPER}', '{_LOWER}'),
