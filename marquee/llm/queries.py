@@ -95,14 +95,13 @@ def _characters(column: str) -> str:
 
 
 def _blanks(column: str) -> str:
-    column = _replaced(column, r"[\x20\t\r\f\x0B\x{A0}]+", "' '")
-    return _replaced(_replaced(column, r" ?\n[ \n]*", "chr(10)"), r"\A[ \n]+|[ \n]+\z", "''")
+    column = _replaced(column, r"[\x20\t\r\f\x0B\x{A0}]{2,}|[\t\r\f\x0B\x{A0}]", "' '")
+    return f"trim({_replaced(column, r' ?\n[ \n]*', 'chr(10)')}, ' ' || chr(10))"
 
 
 def _plain_text(column: str) -> str:
-    for pattern in warc.DROPPED:
-        column = _replaced(column, pattern, "' '")
-    return _blanks(_characters(_replaced(_replaced(column, warc.LINE_TAGS, "chr(10)"), warc.OTHER_TAGS, "''")))
+    column = _replaced(_replaced(column, warc.DROPPED, "' '"), warc.LINE_TAGS, "chr(10)")
+    return _blanks(_characters(_replaced(column, warc.OTHER_TAGS, "''")))
 
 
 def _record_id(*parts: str) -> str:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 CRLF = "\r\n"
 # What is left out of the text, what parts its lines, and named characters.
-DROPPED = [rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template")]
-DROPPED = [r"(?s)<!--.*?(?:-->|\z)", *DROPPED, r"(?is)<head\b[^>]*>.*?(?:</head\s*>|\z)"]
+DROPPED = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(
+    rf"<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template", "head"))
 LINE_TAGS = (r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main"
              r"|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>")
 OTHER_TAGS = r"<[A-Za-z/!?][^>]*>"
@@ -44,36 +44,54 @@ def responses(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
         F.concat(head, body).alias("block"), digest(body).alias("payload_digest"))
 
 
-def _numbered(text: Column, pattern: str, base: int) -> Column:
-    """Characters written as numbers; a number that is none becomes the replacement character."""
-    def put(so_far: Column, found: Column) -> Column:
-        code = F.conv(F.regexp_extract(found, r"([0-9A-Fa-f]+);", 1), base, 10).cast("long")
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{1,8});"
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _character(entity: Column) -> Column:
+    """What an entity stands for; a name that is not known stays, a number that is none becomes U+FFFD."""
+    names = F.create_map(*[F.lit(x) for name, char in NAMED.items() for x in (f"&{name};", char)])
+
+    def spelled(code: Column) -> Column:
         valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        number = F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")
-        return F.replace(so_far, found, F.decode(F.unhex(number), "UTF-32"))
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
-    return F.aggregate(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), text, put)
+    lower = F.lower(entity)
+    hexadecimal = F.conv(F.regexp_extract(lower, "([0-9a-f]+);", 1), 16, 10).cast("long")
+    decimal = F.regexp_extract(entity, "([0-9]+);", 1).cast("long")
+    return (F.when(F.startswith(lower, F.lit("&#x")), _bound(hexadecimal, spelled))
+            .when(F.startswith(entity, F.lit("&#")), _bound(decimal, spelled))
+            .otherwise(F.coalesce(F.try_element_at(names, entity), entity)))
 
 
 def _characters(text: Column) -> Column:
-    """Named and numbered characters; other names stay as they stand."""
-    for name, char in NAMED.items():
-        if name != "amp":
-            text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    text = _numbered(_numbered(text, r"&#([0-9]{1,7});", 10), r"&#[xX]([0-9A-Fa-f]{1,6});", 16)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Named and numbered characters, each once: an ampersand comes last, so it begins no other."""
+    def put(so_far: Column, e: Column) -> Column:
+        return F.replace(so_far, e["entity"], e["char"])
+
+    def replaced(t: Column) -> Column:
+        found = F.transform(F.array_distinct(F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))),
+                            lambda e: F.struct(e.alias("entity"), _character(e).alias("char")))
+        # False sorts before true.
+        last = F.transform(found, lambda e: F.struct((e["char"] == "&").alias("last"), e["entity"], e["char"]))
+        return F.aggregate(F.array_sort(last), t, put)
+
+    return _bound(text, replaced)
 
 
 def _blanks(text: Column) -> Column:
-    text = F.regexp_replace(text, r"[\x20\t\r\f\x0B ]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
+    """Runs of blanks as one, none beside a line end, and no empty lines."""
+    text = F.regexp_replace(text, r"[\x20\t\r\f\x0B\xA0]{2,}|[\t\r\f\x0B\xA0]", " ")
+    return F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def plain_text(html: Column) -> Column:
     """The text of a page: no scripts, styles, comments or head; block tags part lines."""
-    bare = reduce(lambda t, p: F.regexp_replace(t, p, " "), DROPPED, html)
-    bare = F.regexp_replace(F.regexp_replace(bare, LINE_TAGS, "\n"), OTHER_TAGS, "")
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, DROPPED, " "), LINE_TAGS, "\n"), OTHER_TAGS, "")
     return _blanks(_characters(bare))
 
 

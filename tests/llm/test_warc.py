@@ -14,7 +14,7 @@ PAGE = ("<!DOCTYPE html><html><head><title>A &amp; B\n C</title><style>p{}</styl
 
 @pytest.mark.parametrize("html, text", [
     (PAGE, "One\ntwo é😀 three\ngothere\n5 < 6 &unknown; �"), ("", ""), ("plain", "plain"),
-    ("<p>a</p>\n\n <p> b  c </p>", "a\nb c"), ("&amp;lt;", "&lt;"), ("a<b> c < d", "a c < d"), ("<head>only", "")])
+    ("<p>a</p>\n\n <p> b  c </p>", "a\nb c"), ("&amp;lt;", "&lt;"), ("&#38;lt; &lt;", "&lt; <"), ("&#x41;&#x61; &#0;", "Aa �"), ("a<b> c < d", "a c < d"), ("<head>only", "")])
 def test_plain_text(spark, html, text):
     df = spark.createDataFrame([(html,)], "h string")
     assert df.select(warc.plain_text(F.col("h"))).first()[0] == text
