@@ -18,7 +18,7 @@ def _window_rows(placed: DataFrame, key: str, nth: Column, size: int) -> DataFra
 
 
 def count_windows(events: DataFrame, key: str, size: int) -> DataFrame:
-    """Windows of a table, events in order of (ts, event_id)."""
+    """Windows of a table, events in order of (ts, event_id); those without a key are one group."""
     return _window_rows(numbered(events, [key], ["ts", "event_id"], "_nth"), key, F.col("_nth"), size)
 
 
@@ -45,9 +45,12 @@ class CountWindows:
         if prior is None:
             totals = grown.withColumn("seen", F.col("_new"))
         else:
-            totals = grown.join(prior, self.key, "left").withColumn(
+            # Events without a key are counted as one group.
+            prior = prior.withColumnRenamed(self.key, "_key")
+            totals = grown.join(prior, F.col(self.key).eqNullSafe(F.col("_key")), "left").withColumn(
                 "seen", F.coalesce("seen", F.lit(0)) + F.col("_new"))
-        placed = placed.join(totals.select(self.key, (F.col("seen") - F.col("_new")).alias("_before")), self.key)
+        before = totals.select(F.col(self.key).alias("_key"), (F.col("seen") - F.col("_new")).alias("_before"))
+        placed = placed.join(before, F.col(self.key).eqNullSafe(F.col("_key")))
         nth = F.col("_before") + F.col("_nth")
         self.parts.write(_window_rows(placed, self.key, nth, self.size), batch_id)
         self.counts.write(totals.select(self.key, "seen"), batch_id)

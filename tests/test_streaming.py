@@ -245,3 +245,15 @@ def test_rocksdb_state_gives_the_same(spark, tmp_path):
         assert tuples(users.read()) == tuples(counters.user_stream_features(spark.createDataFrame(rows, SCHEMA)))
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_events_without_a_key_make_windows_too(spark, tmp_path):
+    schema = "event_id long, user_idx long, event_type string, ts timestamp"
+    rows = [(i, None if i % 2 else 7, "view", START + timedelta(seconds=i)) for i in range(12)]
+    whole = windows.count_windows(spark.createDataFrame(rows, schema), "user_idx", 4)
+    assert sorted((str(r["user_idx"]), r["window_no"], r["events"]) for r in whole.collect()) == [
+        ("7", 0, 4), ("7", 1, 2), ("None", 0, 4), ("None", 1, 2)]
+    table = windows.CountWindows(spark, str(tmp_path / "w"), "user_idx", 4)
+    for batch, part in enumerate((rows[:5], rows[5:])):
+        table.write(spark.createDataFrame(part, schema), batch)
+    assert sorted(map(str, tuples(table.read().drop("user_idx")))) == sorted(map(str, tuples(whole.drop("user_idx"))))
