@@ -25,8 +25,8 @@ SHARD_WORDS = 1 << 20
 SAMPLE_EVERY = 8
 # Occurrences that are located at a time.
 LOCATE_AT_ONCE = 1 << 20
-# Benchmark text that goes into one pass over the documents.
-PASS_BYTES = 16 << 20
+# Benchmark text that goes into one pass over the documents; its windows are in every worker's memory.
+PASS_BYTES = 2 << 20
 
 #: What is no word character becomes a blank; A-Z become a-z.
 _WORDS = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))

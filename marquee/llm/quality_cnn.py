@@ -200,11 +200,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda k: F.substring(
             whole, (k * (F.length(whole) - WINDOW_CHARS) / (WINDOWS - 1)).cast("int") + 1, F.lit(WINDOW_CHARS)))
     seen = F.when(F.length(whole) <= WINDOWS * WINDOW_CHARS, whole).otherwise(F.concat_ws("\n", pieces))
-    # Twice rows_per_class ids at most are broadcast.
-    rows = (docs.select(F.col(doc_id).alias("id"), seen.alias("seen"))
-            .join(F.broadcast(chosen), "id").select("y", "seen").collect())
-    # Ids may repeat in either table, and their rows come in any order.
-    known = sorted({(r["y"], r["seen"]) for r in rows})[:4 * rows_per_class]
+    # Twice rows_per_class ids at most are broadcast, and as many texts come back, however often ids repeat.
+    rows = (docs.select(F.col(doc_id).alias("id"), seen.alias("seen")).join(F.broadcast(chosen), "id")
+            .groupBy("id", "y").agg(F.min("seen").alias("seen")).collect())
+    known = sorted({(r["y"], r["seen"]) for r in rows})
     return train([t.encode() for _, t in known], np.array([y for y, _ in known], dtype=np.int64))
 
 
