@@ -1,0 +1,99 @@
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from marquee.llm import near_copies, simhash
+
+
+def slow_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k:k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+
+
+def brute(rows):
+    """Ids that stay, of rows with ids of their own."""
+    sets = {n: slow_shingles(t) for n, t in rows}
+    root = {n: n for n in sets}
+
+    def top(n):
+        return n if root[n] == n else top(root[n])
+
+    for a, b in combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both * 5 >= 4 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    return sorted(n for n in sets if root[n] == n)
+
+
+def edited(draw, words, places):
+    out = list(words)
+    for k in draw.sample(range(len(out)), places):
+        out[k] = f"new{draw.randrange(10 ** 6)}"
+    return out
+
+
+def rows_of(seed):
+    draw, rows = random.Random(seed), []
+    for _ in range(30):
+        words = [f"w{draw.randrange(3_000)}" for _ in range(draw.randrange(3, 300))]
+        rows.append(" ".join(words))
+        for _ in range(draw.randrange(6)):
+            words = edited(draw, words, min(draw.randrange(8), len(words)))
+            rows.append("  ".join(words).upper())
+    draw.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(frame, seed):
+    rows = rows_of(seed)
+    wanted = brute(rows)
+    assert 30 < len(wanted) < len(rows)
+    out = near_copies.drop_near_copies(frame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in out.collect()) == wanted
+
+
+def test_copies_that_only_others_in_a_bucket_reach(frame):
+    """A long chain, each next to its neighbours only."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(words[3 * k:] + [f"x{j}" for j in range(3 * k)])) for k in range(40)]
+    out = near_copies.drop_near_copies(frame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in out.collect()) == brute(rows) == [0]
+
+
+def test_the_pipeline_drops_copies_of_eight_tenths(spark, frame):
+    """Their fingerprints differ in more bits than op3_simhash joins."""
+    draw, rows = random.Random(7), []
+    while len(rows) < 20:
+        words = [f"w{draw.randrange(10 ** 6)}" for _ in range(200)]
+        pair = [" ".join(words), " ".join(edited(draw, words, 4))]
+        a, b = (slow_shingles(t) for t in pair)
+        bits = int.bit_count(simhash.fingerprint(pair[0].encode()) ^ simhash.fingerprint(pair[1].encode()))
+        if 0.8 <= len(a & b) / len(a | b) < 0.9 and bits > simhash.MOST_BITS:
+            rows += [(len(rows) + k, t) for k, t in enumerate(pair)]
+    out = corpus_pipeline.near_dedup(spark, frame(rows, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(0, 20, 2))
+
+
+def test_keys_of_pairs_at_the_limit_meet():
+    draw, met = random.Random(3), 0
+    for _ in range(200):
+        own = np.array([draw.getrandbits(64) for _ in range(110)], np.uint64)
+        a, b = np.unique(own[:100]), np.unique(np.concatenate([own[:89], own[100:]]))
+        assert 0.79 < len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.81
+        met += bool(set(near_copies.band_keys(a)) & set(near_copies.band_keys(b)))
+    assert met == 200
+
+
+def test_awkward_texts(awkward, empty, frame):
+    out = near_copies.drop_near_copies(awkward)
+    assert out.columns == awkward.columns
+    # The three empty texts, "one" and "One", two of the spaced ones, both of the letters and both of the long ones.
+    assert out.count() == awkward.count() - 2 - 1 - 1 - 1 - 1
+    assert near_copies.drop_near_copies(empty).count() == 0
+    rows = [(None, "a b"), (3, "a b"), (2, "A  b"), (2, "a b")]
+    assert [r["doc_id"] for r in near_copies.drop_near_copies(frame(rows, "doc_id long, text string")).collect()] == [2]
