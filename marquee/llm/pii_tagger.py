@@ -3,7 +3,9 @@
 The tagger is a bidirectional LSTM with CRF transitions, trained in numpy from
 labelled spans. It reads overlapping windows; each character takes its tag from
 the window in whose middle it lies, and runs of tags over the whole text become
-spans. A span must hold a digit or an at sign, so windows without are not read.
+spans. A span must hold a digit, or an at sign or its like (`` at ``, ``(at)``,
+``[at]``) between a name and a host, so windows that hold none of these nor a part
+of such a name and host are not read.
 """
 
 from __future__ import annotations
@@ -270,15 +272,40 @@ def train(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: int
 
 # Whole texts.
 
-def window_starts(codes: np.ndarray) -> np.ndarray:
-    """Starts of the windows that hold a digit or an at sign; window k starts at k * STEP - EDGE."""
+# At signs as they are written, wherever one begins, and what may stand on both sides.
+_AT = re.compile(r"(?=(@|(?i: at |\(at\)|\[at\])))")
+_NAME = re.compile(r"[\w.%+-]")
+_HOST = re.compile(r" ?[\w-]+(?: ?(?:\.|(?i: dot |\(dot\)|\[dot\])) ?[\w-]+)+")
+
+
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Where a span can lie that is wider than the windows around a digit or an at sign, or holds neither."""
+    out = [m.span() for m in _CORES[3].finditer(text)]
+    for m in _AT.finditer(text):
+        host = _HOST.match(text, m.end(1))
+        end = m.start() - (text[m.start() - 1:m.start()] == " ")
+        start = end
+        while host and start and _NAME.match(text, start - 1):
+            start -= 1
+        if start < end:
+            out.append((start, host.end()))
+    return out
+
+
+def window_starts(codes: np.ndarray, spans: list[tuple[int, int]] | None = None) -> np.ndarray:
+    """Starts of the windows that hold a digit or an at sign, or part of ``spans`` in their middle.
+
+    Window k starts at k * STEP - EDGE.
+    """
     at = np.flatnonzero(((codes >= 48) & (codes <= 57)) | (codes == 64))
     last = (at + EDGE) // STEP
-    return np.unique(np.concatenate([last, last - 1])[np.concatenate([last, last - 1]) >= 0]) * STEP - EDGE
+    own = [np.arange(a // STEP, (b - 1) // STEP + 1) for a, b in spans or []]
+    found = np.unique(np.concatenate([last, last - 1, *own]))
+    return found[found >= 0] * STEP - EDGE
 
 
 # What a span of the tagger must hold, whatever the tagger thinks.
-_CORES = (re.compile(r"[\w.%+-]+ ?(?:@| at |\(at\)|\[at\]) ?[\w-]+(?: ?(?:\.| dot |\(dot\)|\[dot\]) ?[\w-]+)+"),
+_CORES = (re.compile(r"[\w.%+-]+ ?(?:@| at |\(at\)|\[at\]) ?[\w-]+(?: ?(?:\.| dot |\(dot\)|\[dot\]) ?[\w-]+)+", re.I),
           re.compile(r"[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}"),
           re.compile(r"[0-9](?:[ .-]?[0-9])+"),
           re.compile(r"[+(]?[0-9][0-9 ().-]*[0-9]"))
@@ -337,10 +364,13 @@ def find_all(tagger: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Sp
         waiting, count = [], 0
 
     for n, text in enumerate(texts):
-        if not tagger.trained or not _TRIGGER.search(text):
+        if not tagger.trained:
+            continue
+        spans = stretches(text)
+        if not spans and not _TRIGGER.search(text):
             continue
         codes = char_numbers(text)
-        starts = window_starts(codes)
+        starts = window_starts(codes, spans)
         padded = np.concatenate([np.zeros(EDGE, np.uint8), codes, np.zeros(WINDOW, np.uint8)])
         waiting.append((n, starts, padded[(starts + EDGE)[:, None] + np.arange(WINDOW)]))
         count += len(starts)

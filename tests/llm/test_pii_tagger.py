@@ -121,6 +121,30 @@ def test_added_spans_are_valid_and_apart_from_base(trained):
     assert added > 10
 
 
+def test_spelled_addresses_in_texts_without_digits_are_found():
+    draw, found = random.Random(8), 0
+    word = lambda: "".join(draw.choice("aeinrst") for _ in range(draw.randint(3, 8)))
+    words = lambda least: " ".join(word() for _ in range(draw.randint(least, 9)))
+    texts = [f"{words(1)} {word()}@{word()}.example.com {words(1)}"[:pii_tagger.WINDOW] for _ in range(500)]
+    tagger = pii_tagger.train([(t, pii_tagger.base_spans(t)) for t in texts], epochs=8)
+    for _ in range(40):
+        text = f"{words(3)} {word()} at {word()} dot example dot com {words(3)}"
+        (base, added), = pii_tagger.find_all(tagger, [text])
+        assert not base and not any(c.isdigit() or c == "@" for c in text)
+        found += any(kind == 0 and " at " in text[a:b] for kind, a, b in added)
+    assert found > 20
+
+
+@pytest.mark.parametrize("address", ["jane at example dot com", "JANE AT EXAMPLE DOT COM", "jane(at)example(dot)com",
+                                     "jane [at] example [dot] com", "n" * 120 + "@example.com"])
+def test_every_part_of_an_address_is_read(address):
+    text = "x " * 80 + address + " y" * 80
+    starts = pii_tagger.window_starts(pii_tagger.char_numbers(text), pii_tagger.stretches(text))
+    for at in range(160, 160 + len(address)):
+        assert any(s + pii_tagger.EDGE <= at < s + pii_tagger.EDGE + pii_tagger.STEP for s in starts)
+    assert not len(pii_tagger.window_starts(pii_tagger.char_numbers("look at this"), pii_tagger.stretches("look at this")))
+
+
 def test_windows_cover_every_digit_in_a_middle():
     text = "x" * 101 + "7" + "y" * 300 + "@" + "z" * 50
     starts = pii_tagger.window_starts(pii_tagger.char_numbers(text))
