@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from html.entities import html5
 
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 CRLF = "\r\n"
@@ -18,6 +20,21 @@ NAMED = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "
          "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€", "deg": "°", "amp": "&"}
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LINK = r"""(?i)<a\b[^>]*?\shref\s*=\s*["']([^"']*)["']"""
+# DROPPED, NAMED and LINK are as the SQL has them, for pages with closed heads and
+# plain links. Here a head that is not closed ends with the text only if no tag
+# follows that cannot stand in a head, else it is read like a body but for its title.
+IN_BODY = r"<(?!(?:html|head|meta|link|base|title|script|style|noscript|template)\b)[a-z]"
+DROPPED_HERE = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(
+    rf"<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template")
+) + rf"|<head\b[^>]*>(?:.*?</head\s*>|(?!.*{IN_BODY}).*)"
+OPEN_HEAD = r"(?is)<head\b(?!.*</head\s*>)"
+FIRST_TITLE = r"(?is)\A(.*?)<title\b[^>]*>.*?</title\s*>"
+# An address in its own quotes, or in none.
+LINK_HERE = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+# All of HTML's names that end in a semicolon, by Spark's xxhash64 of the entity, so
+# that plans spell no names; those of NAMED are looked up first.
+ALL_NAMED = {(xxhash.xxh64_intdigest(f"&{name}".encode(), 42) ^ 1 << 63) - (1 << 63): text
+             for name, text in html5.items() if name.endswith(";")}
 
 
 def digest(block: Column) -> Column:
@@ -44,7 +61,7 @@ def responses(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
         F.concat(head, body).alias("block"), digest(body).alias("payload_digest"))
 
 
-ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{1,8});"
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -55,6 +72,8 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def _character(entity: Column) -> Column:
     """What an entity stands for; a name that is not known stays, a number that is none becomes U+FFFD."""
     names = F.create_map(*[F.lit(x) for name, char in NAMED.items() for x in (f"&{name};", char)])
+    listed = "\x01".join(f"{key}\x02{text}" for key, text in ALL_NAMED.items())
+    more = F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
 
     def spelled(code: Column) -> Column:
         valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
@@ -65,7 +84,7 @@ def _character(entity: Column) -> Column:
     decimal = F.regexp_extract(entity, "([0-9]+);", 1).cast("long")
     return (F.when(F.startswith(lower, F.lit("&#x")), _bound(hexadecimal, spelled))
             .when(F.startswith(entity, F.lit("&#")), _bound(decimal, spelled))
-            .otherwise(F.coalesce(F.try_element_at(names, entity), entity)))
+            .otherwise(F.coalesce(F.try_element_at(names, entity), F.try_element_at(more, F.xxhash64(entity).cast("string")), entity)))
 
 
 def _characters(text: Column) -> Column:
@@ -90,11 +109,24 @@ def _blanks(text: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    """The text of a page: no scripts, styles, comments or head; block tags part lines."""
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, DROPPED, " "), LINE_TAGS, "\n"), OTHER_TAGS, "")
+    """The text of a page: no scripts, styles, comments or head; block tags part lines.
+
+    What is left: names of characters without a semicolon stay as they are, text
+    of an unclosed head before its first body tag is kept but for the title, and
+    an unclosed head whose page spells ``</head>`` later on ends there.
+    """
+    html = F.when(html.rlike(OPEN_HEAD), F.regexp_replace(html, FIRST_TITLE, "$1 ")).otherwise(html)
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, DROPPED_HERE, " "), LINE_TAGS, "\n"), OTHER_TAGS, "")
     return _blanks(_characters(bare))
 
 
+def links(html: Column) -> Column:
+    """Addresses of a page's links, as written, each once."""
+    def bare(u: Column) -> Column:
+        return F.when(u.rlike("^[\"']"), F.substring(u, F.lit(2), F.length(u) - 2)).otherwise(u)
+    return F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(LINK_HERE), F.lit(1)), bare))
+
+
 def derive(records: DataFrame) -> DataFrame:
     """Two records for each response, a metadata and a conversion one.
 
@@ -125,7 +157,7 @@ def derive(records: DataFrame) -> DataFrame:
         .otherwise("").alias("source_headers"),
         plain_text(F.col("body")).alias("text"),
         _blanks(_characters(F.regexp_extract("body", TITLE, 1))).alias("title"),
-        F.array_distinct(F.regexp_extract_all("body", F.lit(LINK), F.lit(1))).alias("links"))
+        links(F.col("body")).alias("links"))
     lines = [F.concat(F.lit("source-status: "), "source_status"),
              F.concat(F.lit("source-payload-digest: "), "source_payload_digest"),
              F.array_join(F.transform(F.filter(F.split("source_headers", CRLF), lambda h: h != ""),

@@ -20,6 +20,23 @@ def test_plain_text(spark, html, text):
     assert df.select(warc.plain_text(F.col("h"))).first()[0] == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><title>T</title><meta charset=x><body>text <p>more</html>", "text\nmore"),
+    ("<head><title>T</title><script>'<div>'</script><style>p{}</style><P>text", "text"),
+    ("<head><title>T</title></head><title>kept</title>text", "kepttext"), ("<head><title>T</title>", ""),
+    ("caf&eacute; &uuml;ber &frac12; &CounterClockwiseContourIntegral; &nosuch; &amp;eacute;",
+     "café über ½ ∳ &nosuch; &eacute;")])
+def test_open_heads_and_all_names(spark, html, text):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(warc.plain_text(F.col("h"))).first()[0] == text
+
+
+def test_links_in_their_own_quotes_or_none(spark):
+    html = """<a href="/it's">a</a><a class=x href='say "x"'>b</a><a href=/bare?q=1 rel=y>c</a><a href=/end>d</a><a href="">"""
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(warc.links(F.col("h"))).first()[0] == ["/it's", 'say "x"', "/bare?q=1", "/end", ""]
+
+
 def derived(frame, rows):
     pages = frame(rows, "page_id long, url string, html string, head string, text string")
     responses = warc.responses(pages)
