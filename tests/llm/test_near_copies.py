@@ -6,6 +6,8 @@ import pytest
 
 import corpus_pipeline
 from marquee.llm import near_copies, simhash
+from marquee.llm.common import table
+from tests.llm import test_queries, test_simhash
 
 
 def slow_shingles(text):
@@ -97,3 +99,14 @@ def test_awkward_texts(awkward, empty, frame):
     assert near_copies.drop_near_copies(empty).count() == 0
     rows = [(None, "a b"), (3, "a b"), (2, "A  b"), (2, "a b")]
     assert [r["doc_id"] for r in near_copies.drop_near_copies(frame(rows, "doc_id long, text string")).collect()] == [2]
+
+
+def test_pipeline_equals_a_slow_one_by_shingles(spark, monkeypatch):
+    """The slow one of test_queries with the groups of this module's rule."""
+    def groups(rows):
+        stays = set(brute(rows))
+        return [(n, None, n if n in stays else None) for n, _ in rows], None
+
+    monkeypatch.setattr(test_simhash, "brute", groups)
+    test_queries.test_pipeline_equals_a_slow_one(
+        spark, table(spark, test_queries.FOLDER, "documents").orderBy("doc_id").collect())
