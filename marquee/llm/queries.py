@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.llm import (
-    backoff_lm, bloom_dedup, decontaminate, mixing, perspectives, pii_tagger, quality_cnn, simhash, token_planes, warc)
+    backoff_lm, bloom_dedup, byte_bpe, decontaminate, hard_negatives, merkle, mixing, perspectives, pii_tagger,
+    quality_cnn, simhash, token_planes, warc)
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -76,9 +78,28 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_tagger.find_personal_data(docs, pii_tagger.fit(docs))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.verify(table(spark, sf_dir, "documents"),
+                         {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    made = byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_RANKS), public_tokenizers.PATTERN)
+    return made.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_warc_derivatives, op2_token_planes, op3_simhash, op4_quality_cnn, op5_mixing, op6_decontaminate,
-    op7_bloom_dedup, op8_backoff_lm, op9_perspectives, op10_personal_data)}
+    op7_bloom_dedup, op8_backoff_lm, op9_perspectives, op10_personal_data, op11_merkle, op12_byte_bpe,
+    op13_hard_negatives)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -200,7 +221,92 @@ SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || said,
                 FILTER (WHERE spoken), '') AS mask
 FROM spans GROUP BY conv_id, perspective, part"""
 
+_FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(chars: str) -> str:
+    return f"sha256({' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', chars, '"text"'))})"
+
+
+def _nodes(leaves: str) -> str:
+    """Level by level: every two neighbours, or a last one alone, until one node is left."""
+    return f"""SELECT tree, 0 AS level, spot, hash, size FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, spot // 2, sha256(string_agg(hash, '' ORDER BY spot)), (any_value(size) + 1) // 2
+  FROM {leaves}_nodes WHERE size > 1 GROUP BY tree, level, spot // 2"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE
+shifts AS (
+  SELECT range AS n, range AS v, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM shifts WHERE k < 8),
+crc AS (SELECT list(v ORDER BY n) AS t FROM shifts WHERE k = 8),
+marked AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+                  string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+                lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 7 = 0 AS tampered
+  FROM documents, crc),
+hashed AS (
+  SELECT doc_id, {_leaf("n_chars")} AS hash,
+         CASE WHEN tampered THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS claimed,
+         coalesce('=' || lang, '-') AS tree FROM marked),
+leaves AS (
+  SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, hash) - 1 AS spot,
+         count(*) OVER (PARTITION BY tree) AS size FROM hashed),
+leaves_nodes AS ({_nodes("leaves")}),
+subroots AS (
+  SELECT '' AS tree, tree AS own, level AS height, hash, row_number() OVER (ORDER BY tree) - 1 AS spot,
+         count(*) OVER () AS size FROM leaves_nodes WHERE size = 1),
+subroots_nodes AS ({_nodes("subroots")}),
+nodes AS (SELECT * FROM leaves_nodes UNION ALL SELECT * FROM subroots_nodes),
+levels AS (
+  SELECT id, level AS step, l.tree, level, (l.spot >> level) AS spot
+  FROM leaves l JOIN subroots s ON l.tree = s.own, LATERAL (SELECT unnest(range(height)) AS level)
+  UNION ALL
+  SELECT id, height + level, '', level, (s.spot >> level)
+  FROM leaves l JOIN subroots s ON l.tree = s.own,
+       LATERAL (SELECT unnest(range((SELECT max(level) FROM subroots_nodes))) AS level)),
+siblings AS (
+  SELECT id, step, coalesce(hash, '') AS hash, v.spot & 1 = 1 AS on_left
+  FROM levels v LEFT JOIN nodes n ON v.tree = n.tree AND v.level = n.level AND xor(v.spot, 1) = n.spot),
+folds AS (
+  SELECT id, CAST(0 AS BIGINT) AS step, claimed AS hash FROM leaves
+  UNION ALL
+  SELECT id, f.step + 1, sha256(CASE WHEN on_left THEN s.hash || f.hash ELSE f.hash || s.hash END)
+  FROM folds f JOIN siblings s USING (id, step)),
+tops AS (SELECT id, max(step) AS step, max_by(hash, step) AS folded_root FROM folds GROUP BY id),
+proofs AS (SELECT id, sha256(string_agg(hash, '' ORDER BY step)) AS proof_sha256 FROM siblings GROUP BY id)
+SELECT doc_id, l.hash AS leaf, s.hash AS subroot, r.hash AS root,
+       coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.hash AS verified
+FROM leaves l JOIN subroots s ON l.tree = s.own JOIN tops USING (id) LEFT JOIN proofs USING (id),
+     (SELECT hash FROM subroots_nodes WHERE size = 1) r"""
+
+_HARD_NEGATIVES = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS row
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.vec_id, b.row, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM given a JOIN given b ON a.row <> b.row WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor, vec_id AS positive_id, score AS positive_score, row AS positive FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, vec_id, row) AS INT) AS rank
+  FROM positives JOIN scored USING (anchor)
+  WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10"""
+
 ORACLES: dict[str, str] = {
+    "op11_merkle": _MERKLE,
+    "op13_hard_negatives": _HARD_NEGATIVES,
     "op1_warc_derivatives": _WARC,
     "op5_mixing": _MIXING,
     "op9_perspectives": _PERSPECTIVES,

@@ -1,0 +1,103 @@
+from hashlib import sha256
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.llm import merkle
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, leaf string, tree int, part string"
+
+
+def digest(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, chars):
+    values = (row["doc_id"], row["source"], row["lang"], chars, row["text"])
+    return digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+
+def layers(hashes):
+    found = [hashes]
+    while len(found[-1]) > 1:
+        found.append([digest(*found[-1][k:k + 2]) for k in range(0, len(found[-1]), 2)])
+    return found
+
+
+def way(found, at):
+    for layer in found[:-1]:
+        yield (layer[at ^ 1] if at ^ 1 < len(layer) else ""), at & 1
+        at >>= 1
+
+
+def brute(rows):
+    """Every tree whole, every proof by itself."""
+    trees, out = {}, []
+    for r in rows:
+        trees.setdefault(r["lang"], []).append(r)
+    langs = sorted(trees, key=lambda v: (v is not None, (v or "").encode()))
+    for members in trees.values():
+        members.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r, r["n_chars"])))
+    own = {k: layers([leaf(r, r["n_chars"]) for r in trees[k]]) for k in langs}
+    top = layers([own[k][-1][0] for k in langs])
+    for place, lang in enumerate(langs):
+        for at, r in enumerate(trees[lang]):
+            path = [*way(own[lang], at), *way(top, place)]
+            hit = r["doc_id"] is not None and crc32(str(r["doc_id"]).encode()) % 7 == 0
+            folded = leaf(r, r["n_chars"] if r["n_chars"] is None else r["n_chars"] + hit)
+            for sibling, left in path:
+                folded = digest(sibling, folded) if left else digest(folded, sibling)
+            out.append((r["doc_id"], own[lang][0][at], own[lang][-1][0], top[-1][0],
+                        digest(*[s for s, _ in path]), folded, folded == top[-1][0]))
+    return sorted(out, key=repr)
+
+
+def found(docs, **kw):
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = {"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return sorted((tuple(r) for r in merkle.prove(*merkle.manifest(docs, claimed, **kw)).collect()), key=repr)
+
+
+ROWS = [(None, None, None, None, None, "a", 1, "p"), (1, "", "en", 0, "", "a", 1, "p"),
+        (1, "", "en", 0, "", "b", 1, None), (2, "s", "", 3, "é漢😀", None, None, "p"),
+        (None, "s", "", 3, "é", None, None, "p"), (3, "s", "é", 1, "x" * 300_000, "l", 2, "p")]
+ROWS += [(k, "s", "en", k, f"text {k}", "l", 2, "p") for k in range(4, 60)]
+
+
+@pytest.mark.parametrize("data", [ROWS, ROWS[:1], ROWS[1:3], []])
+def test_equals_whole_trees(frame, data):
+    docs = frame(data, SCHEMA)
+    want = brute(docs.collect())
+    assert found(docs) == want and len(want) == len(data)
+
+
+@pytest.mark.parametrize("levels, part", [(1, 4), (2, 7), (3, 1_000)])
+def test_any_blocks_and_parts_give_the_same(frame, levels, part):
+    docs = frame(ROWS, SCHEMA)
+    assert found(docs, part_leaves=part, levels_at_once=levels) == brute(docs.collect())
+
+
+def test_what_is_tampered_with_fails_and_nothing_else(frame):
+    docs = frame(ROWS, SCHEMA)
+    assert all(r["verified"] for r in merkle.verify(docs).collect())
+    other = merkle.verify(docs, {"text": F.when(F.col("doc_id") == 9, F.lit("else")).otherwise(F.col("text"))})
+    assert [r["doc_id"] for r in other.where("NOT verified").collect()] == [9]
+
+
+def test_octopus_fetches_no_node_it_can_derive():
+    for size in (1, 2, 3, 7, 13):
+        for chosen in ([0], [size - 1], list(range(size)), list(range(0, size, 2))):
+            got = merkle.octopus(np.array(chosen), size)
+            assert len(got.known[-1]) == 1 and (got.known[-1] == 0).all()
+            for missing, known, count in zip(got.missing, got.known, got.sizes):
+                assert not set(missing) & set(known) and all(m < count and m ^ 1 in known for m in missing)
+    whole = merkle.octopus(np.arange(13), 13)
+    assert all(not len(m) for m in whole.missing)
+
+
+def test_a_few_leaves_can_be_proved_alone(frame):
+    leaves, nodes, trees = merkle.manifest(frame(ROWS, SCHEMA))
+    some = merkle.prove(leaves.where("doc_id IN (5, 40)"), nodes, trees).collect()
+    assert len(some) == 2 and all(r["verified"] for r in some)
