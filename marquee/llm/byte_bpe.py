@@ -22,16 +22,37 @@ from marquee.llm.common import batches_by_size
 # Bytes of text that are worked on at a time; a text stays whole.
 BATCH_BYTES = 4 << 20
 # Bytes of words in one recursive query; a longer word has one of its own.
-QUERY_BYTES = 1 << 18
+QUERY_BYTES = 1 << 17
 # Words whose ids a worker keeps; then it starts anew.
 MEMO_WORDS = 1 << 19
 MEMORY = "400MB"
 
+# Words up to this many bytes go through the query for short ones.
+SHORT_BYTES = 64
+
 # `state` has the rows that changed last, `recurring.state` all; a contracted
-# pair leaves its second row without a token. A merge that can make a pair of a
-# lower rank than its own ends the contractions of its word in that step;
-# without one, equal pairs that don't overlap come in any order to the same end.
-_ENCODE = """
+# pair leaves its second row without a token. A key is word * 65536 + position,
+# and a pick packs rank, position and the position after, so that one sort, one
+# join and one minimum by numbers do a step: one contraction in every word.
+_SHORT = """
+WITH RECURSIVE state(key, token) USING KEY (key) AS (
+  SELECT key, token FROM start
+  UNION (
+  WITH live AS (
+    SELECT key, token, lead(key) OVER w AS next_key, lead(token) OVER w AS next
+    FROM recurring.state WHERE token IS NOT NULL AND key >> 16 IN (SELECT key >> 16 FROM state)
+    WINDOW w AS (ORDER BY key)),
+  picked AS (
+    SELECT key >> 16 AS word, min((merged::BIGINT << 32) | ((key & 65535) << 16) | (next_key & 65535)) AS pick
+    FROM live JOIN merges ON pair = ((token::BIGINT << 32) | next) WHERE key >> 16 = next_key >> 16 GROUP BY word)
+  SELECT (word << 16) | ((pick >> 16) & 65535), (pick >> 32)::INT FROM picked
+  UNION ALL SELECT (word << 16) | (pick & 65535), NULL FROM picked))
+SELECT (key >> 16)::INT AS word, token FROM state WHERE token IS NOT NULL ORDER BY key"""
+
+# For long words, equal pairs that don't overlap are contracted in one step. A
+# merge that can make a pair of a lower rank than its own ends the contractions
+# of its word in that step; without one they come in any order to the same end.
+_LONG = """
 WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
   SELECT word, pos, token FROM start
   UNION (
@@ -54,7 +75,7 @@ WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
   picked AS (
     SELECT word, pos, next_pos, merged FROM apart LEFT JOIN ends USING (word) WHERE last IS NULL OR n <= last)
   SELECT word, pos, merged FROM picked UNION ALL SELECT word, next_pos, NULL FROM picked))
-SELECT word, list(token ORDER BY pos) AS ids FROM state WHERE token IS NOT NULL GROUP BY word ORDER BY word"""
+SELECT word, token FROM state WHERE token IS NOT NULL ORDER BY word, pos"""
 
 _DECODE = """
 SELECT doc, string_agg(bytes, '' ORDER BY pos) AS bytes FROM ids JOIN vocabulary USING (token)
@@ -81,8 +102,8 @@ class Codec:
         self._table("merges_read", dict(zip(("l", "r", "merged"), map(pa.array, zip(*rows)))) if rows else {
             n: pa.array([], pa.int64()) for n in ("l", "r", "merged")})
         self.db.execute("CREATE TABLE lowering AS SELECT l, r FROM merges_read WHERE merged < greatest(l, r)")
-        self.db.execute("CREATE TABLE merges AS SELECT l::INT AS l, r::INT AS r, merged::INT AS merged, merged IN "
-                        "(SELECT l FROM lowering UNION SELECT r FROM lowering) AS wary FROM merges_read")
+        self.db.execute("CREATE TABLE merges AS SELECT l::INT AS l, r::INT AS r, (l::BIGINT << 32) | r AS pair, "
+                        "merged::INT AS merged, merged IN (SELECT l FROM lowering UNION SELECT r FROM lowering) AS wary FROM merges_read")
         self._table("vocabulary_read", {"token": pa.array(self.ranks.values(), pa.int32()),
                                         "bytes": pa.array([t.hex() for t in self.ranks])})
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary_read")
@@ -92,14 +113,19 @@ class Codec:
     def _table(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register(name, pa.table(columns))
 
-    def _contract(self, words: Sequence[bytes]) -> list[list[int]]:
+    def _contract(self, words: Sequence[bytes]) -> list[np.ndarray]:
+        """Ids of words that are all short or all long."""
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
-        self._table("start", {
-            "word": pa.array(np.repeat(np.arange(len(words), dtype=np.int32), sizes)),
-            "pos": pa.array((np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32)),
-            "token": pa.array(self.of_byte[np.frombuffer(b"".join(words), np.uint8)])})
-        return [ids for _, ids in self.db.execute(_ENCODE).fetchall()]
+        word = np.repeat(np.arange(len(words)), sizes)
+        pos = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        token = pa.array(self.of_byte[np.frombuffer(b"".join(words), np.uint8)])
+        short = len(words[0]) <= SHORT_BYTES
+        self._table("start", {"key": pa.array(word << 16 | pos), "token": token} if short else
+                    {"word": pa.array(word.astype(np.int32)), "pos": pa.array(pos.astype(np.int32)), "token": token})
+        made = self.db.sql(_SHORT if short else _LONG).to_arrow_table()
+        ids = made["token"].to_numpy().astype("<u4")
+        return np.split(ids, np.searchsorted(made["word"].to_numpy(), np.arange(1, len(words))))
 
     def _learn(self, fresh: Iterable[str]) -> None:
         """Ids of words into the memo; a word that is a token is that token."""
@@ -108,14 +134,14 @@ class Codec:
 
         def flush() -> None:
             for (word, _), ids in zip(todo, self._contract([b for _, b in todo])):
-                self.memo[word] = np.array(ids, "<u4").tobytes()
+                self.memo[word] = ids.tobytes()
 
         for word, raw in sorted(((w, w.encode()) for w in fresh), key=lambda x: (len(x[1]), x[1])):
             whole = self.ranks.get(raw)
             if whole is not None:
                 self.memo[word] = np.array([whole], "<u4").tobytes()
                 continue
-            if todo and size + len(raw) > QUERY_BYTES:
+            if todo and (size + len(raw) > QUERY_BYTES or len(todo[-1][1]) <= SHORT_BYTES < len(raw)):
                 flush()
                 todo, size = [], 0
             todo.append((word, raw))
