@@ -161,7 +161,13 @@ def in_progress(log: DataFrame) -> DataFrame:
     return cumulative(per_instant, ["instant"], "change", "in_progress").select("instant", "in_progress")
 
 
-def active_users(log: DataFrame, window: str = "1 hour") -> DataFrame:
-    """Distinct users per window."""
-    pairs = _windowed(log, window).select("window_start", "user_idx").distinct()
+def active_users(log: DataFrame, window: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Distinct users per window.
+
+    With ``slide``, a user is taken once per slide before being copied into the
+    windows that cover it; ``sketches`` has the form whose size does not grow with users.
+    """
+    pairs = _windowed(log, slide or window).select("window_start", "user_idx").distinct()
+    if slide:
+        pairs = spread_panes(pairs, "window_start", window, slide).distinct()
     return pairs.groupBy("window_start").agg(F.count("user_idx").alias("active_users"))

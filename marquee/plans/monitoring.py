@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.operators import monitor
+from marquee.operators import monitor, sketches
 from marquee.plans.common import LOG, Query, rounded, sql, time_texts
+from marquee.session import durable
 from marquee.sources import proxies
 
 HOUR = "1 hour"
@@ -84,7 +85,35 @@ def active_users(spark: SparkSession, folder: str) -> DataFrame:
     return time_texts(monitor.active_users(proxies.request_log(spark, folder)), "window_start")
 
 
+def _stored_panes(spark: SparkSession, folder: str) -> DataFrame:
+    return durable(sketches.panes(proxies.request_log(spark, folder), HOUR, ["endpoint"]), "panes")
+
+
+def latency_sketch_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Six-hour windows every hour from stored hourly sketches: requests, and whether each rank is as near as stated."""
+    keys = ["window_start", "endpoint"]
+    found = sketches.quantiles(sketches.sliding(_stored_panes(spark, folder), "6 hours", HOUR, ["endpoint"]), keys)
+    log = proxies.request_log(spark, folder).withColumn(
+        "window_start", F.explode(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: F.date_trunc("hour", "ts")
+                                              - F.make_interval(hours=k))))
+    errors = sketches.rank_errors(found, log, keys)
+    return time_texts(found.select(*keys, "requests").join(errors, keys).select(
+        *keys, "requests", *[(F.col(n) <= sketches.RANK_ERROR).alias(f"{n}_near") for n in monitor.QUANTILES]),
+        "window_start")
+
+
+def active_users_sliding(spark: SparkSession, folder: str) -> DataFrame:
+    """Users active in the last six hours, every hour: counted, and whether the sketch is as near as stated."""
+    exact = monitor.active_users(proxies.request_log(spark, folder), "6 hours", HOUR)
+    windows = sketches.sliding(_stored_panes(spark, folder), "6 hours", HOUR)
+    found = sketches.distinct_users(windows, ["window_start"]).withColumnRenamed("active_users", "sketched")
+    near = F.abs(F.col("sketched") - F.col("active_users")) <= F.col("active_users") * sketches.DISTINCT_ERROR
+    return time_texts(exact.join(found, "window_start").select("window_start", "active_users", near.alias("near")),
+                      "window_start")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    latency_sketch_quantiles, active_users_sliding,
     requests_by_endpoint, request_rate_5m, request_rate_sliding, request_rate_by_endpoint, errors_by_type,
     latency_histogram, latency_quantiles, latency_quantiles_5m, latency_bucket_quantiles, request_summary,
     success_ratio, errors_per_minute, alert_state, in_progress, active_users)}
@@ -110,7 +139,14 @@ est AS (SELECT {key}, name, arg_min(low + (le - low) * (total * p - before) / (n
     FROM steps, (VALUES {wanted}) q(name, p) WHERE n >= total * p AND n > before GROUP BY {key}, name)"""
 
 
+_SIX_HOURS = """spread AS (SELECT log.*, strftime(date_trunc('hour', ts) - to_hours(k), '%Y-%m-%d %H:%M:%S')
+    AS window_start FROM log, (VALUES (0), (1), (2), (3), (4), (5)) b(k))"""
+
 ORACLES: dict[str, str] = {
+    "latency_sketch_quantiles": sql("""SELECT window_start, endpoint, count(*) AS requests, true AS p50_near,
+        true AS p95_near, true AS p99_near FROM spread GROUP BY 1, 2""", LOG, _SIX_HOURS),
+    "active_users_sliding": sql("""SELECT window_start, count(DISTINCT user_idx) AS active_users, true AS near
+        FROM spread GROUP BY 1""", LOG, _SIX_HOURS),
     "requests_by_endpoint": sql("""SELECT endpoint, count(*) AS requests, count(*) FILTER (WHERE status = 200) AS successful
         FROM log GROUP BY 1""", LOG),
     "request_rate_5m": sql(f"""SELECT {_window(300)}, count(*) AS requests,

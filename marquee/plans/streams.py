@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.functions.scalars import timestamp_to_iso
 from marquee.plans import validation
@@ -15,6 +15,7 @@ from marquee.streaming import counters, jobs, sinks, windows
 WINDOW, SLIDE = "24 hours", "6 hours"
 COUNT_SIZE = 10
 GAP = "6 hours"
+LATENESS = "12 hours"
 
 
 # Streams read the events from so many files, one per micro-batch.
@@ -27,14 +28,14 @@ def _named(events: DataFrame) -> DataFrame:
 
 
 # Where a session has already written them.
-_written: dict[tuple[str, str, int], str] = {}
+_written: dict[tuple, str] = {}
 
 
-def _stream(spark: SparkSession, folder: str, copies: int = 1) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder, copies)
+def _stream(spark: SparkSession, folder: str, copies: int = 1, tick: str | None = None, even: bool = False) -> DataFrame:
+    key = (spark.sparkContext.applicationId, folder, copies, tick, even)
     if key not in _written:
         path = scratch_path(spark, "events")
-        proxies.event_files(spark, folder, path, FILES, copies)
+        proxies.event_files(spark, folder, path, FILES, copies, tick, even)
         _written[key] = path
     return _named(proxies.event_stream(spark, _written[key], "*.parquet", files_per_batch=1))
 
@@ -56,6 +57,13 @@ def stream_user_activity(spark: SparkSession, folder: str) -> DataFrame:
     return time_texts(rows, "event_timestamp")
 
 
+def stream_user_activity_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pushed into buckets of users, of which each micro-batch writes those it touches."""
+    table = sinks.BucketedTable(spark, scratch_path(spark, "buckets"), ["user_idx"])
+    sinks.drain(counters.user_activity(_stream(spark, folder)), table.write)
+    return time_texts(table.read(), "event_timestamp")
+
+
 def stream_last_genre(spark: SparkSession, folder: str) -> DataFrame:
     rows = _keyed(spark, counters.last_genre(_stream(spark, folder)), ["user_idx"])
     return rows.select("user_idx", "user_last_genre")
@@ -128,6 +136,38 @@ def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
             e.user_idx, F.lit(":"), e.event_type, F.lit(":"), e.movie_idx))).alias("last_events"))
 
 
+def _listed(per_type: str) -> Column:
+    return F.concat_ws(",", F.transform(F.map_entries(per_type), lambda e: F.concat(e.key, F.lit("="), e.value)))
+
+
+def stream_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per micro-batch, one for each fifth of the time, with totals since the start."""
+    query, table = jobs.keep_summaries(_stream(spark, folder, even=True), scratch_path(spark, "summaries"))
+    query.awaitTermination()
+    return table.read().select(
+        "batch", "events", "active_users", "popular_movies", _listed("per_type").alias("per_type"),
+        "total_events", _listed("total_per_type").alias("total_per_type"))
+
+
+def stream_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth event is cut short on its way, every seventh has no type; how many went where, by error."""
+    path = scratch_path(spark, "messages")
+    produced = proxies.events(spark, folder).select(
+        F.col("event_id").cast("string").alias("event_id"), "user_idx", "movie_idx",
+        F.when(F.col("event_id") % 7 != 0, F.lit("view")).alias("event_type"),
+        timestamp_to_iso(F.col("ts")).alias("timestamp"), F.lit("s").alias("session_id"))
+    whole = kafka.encode(produced).select(
+        F.when(F.get_json_object("value", "$.event_id").cast("long") % 5 == 0,
+               F.expr("left(value, length(value) - 2)")).otherwise(F.col("value")).alias("value"))
+    whole.repartition(3).write.text(path)
+    query, good, bad = jobs.split_messages(
+        spark.readStream.option("maxFilesPerTrigger", 1).text(path), scratch_path(spark, "checked"), validation.NOW * 2)
+    query.awaitTermination()
+    rejected = bad.read().select(F.concat_ws("; ", "errors").alias("errors"), F.length("value").alias("size"))
+    return rejected.unionByName(good.read().select(F.lit("").alias("errors"), F.lit(0).alias("size"))).groupBy(
+        "errors").agg(F.count("*").alias("messages"))
+
+
 def stream_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Events written as JSON messages, streamed back and parsed."""
     path = scratch_path(spark, "messages")
@@ -148,9 +188,12 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    panes = _keyed(spark, counters.session_panes(_stream(spark, folder), GAP, lateness="60 days"),
-                   ["user_idx", "pane_start"])
-    return time_texts(counters.sessions(panes, GAP), "session_start", "session_end")
+    """Sessions leave the stream once the watermark is past them; a tick at the end takes it past the last."""
+    ticked = _stream(spark, folder, tick="2 days").withWatermark("ts", LATENESS)
+    # Naming the time keeps the condition above the watermark, which ticks are there to move.
+    real = ticked.where((F.col("event_type") != proxies.TICK) | F.col("ts").isNull())
+    rows = _appended(spark, counters.session_rows(real, GAP, lateness=None))
+    return time_texts(rows, "session_start", "session_end")
 
 
 def batch_sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,11 +202,40 @@ def batch_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_count_window(spark: SparkSession, folder: str) -> DataFrame:
+    """From keyed state; the table takes the windows that each micro-batch touched."""
+    with sinks.rocksdb_state(spark):
+        rows = _keyed(spark, windows.keyed_count_windows(_stream(spark, folder), "movie_idx", COUNT_SIZE),
+                      ["movie_idx", "window_no"])
+    return time_texts(rows, "first_ts", "last_ts")
+
+
+def stream_count_window_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a key's events of one micro-batch dealt over tasks."""
     table = windows.CountWindows(spark, scratch_path(spark, "count"), "movie_idx", COUNT_SIZE)
     sinks.drain(_stream(spark, folder), table.write, "append")
     return time_texts(table.read(), "first_ts", "last_ts")
 
 
+def stream_features_24h(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of users and movies over the last 24 hours, as rows of (entity, key)."""
+    query, kept = jobs.keep_features(_stream(spark, folder), scratch_path(spark, "views"), lateness=LATENESS)
+    query.awaitTermination()
+    users, movies = kept.users(), kept.movies()
+    return time_texts(users.select(
+        F.lit("user").alias("entity"), F.col("user_idx").alias("key"), F.col("user_recent_activity").alias("n"),
+        F.col("user_last_genre").alias("last_genre"), "event_timestamp").unionByName(movies.select(
+            F.lit("movie").alias("entity"), F.col("movie_idx").alias("key"), F.col("movie_popularity").alias("n"),
+            F.lit("").alias("last_genre"), "event_timestamp")), "event_timestamp")
+
+
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All events come again after the last: those that the watermark has passed are late, the rest repeated."""
+    table = sinks.BatchTable(spark, scratch_path(spark, "late"))
+    events = counters.deduplicated(_stream(spark, folder, copies=2), LATENESS, spread=1)
+    query = sinks.drain(events, table.write, "append")
+    return table.read().agg(F.count("*").alias("kept"), F.lit(sinks.late_rows(query)).cast("long").alias("late_rows"))
+
+
 def batch_count_window(spark: SparkSession, folder: str) -> DataFrame:
     return time_texts(windows.count_windows(proxies.events(spark, folder), "user_idx", COUNT_SIZE),
                       "first_ts", "last_ts")
@@ -191,7 +263,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stream_user_activity, stream_last_genre, stream_movie_popularity, stream_movie_popularity_all,
     stream_push, stream_windowed_24h, stream_windowed_features, stream_event_types, stream_totals, stream_recent, stream_summary,
     stream_json_roundtrip, stream_dedup, stream_sessions, batch_sessions, stream_count_window,
-    batch_count_window, stream_validated, event_rate)}
+    batch_count_window, stream_validated, event_rate, stream_count_window_spread, stream_features_24h,
+    stream_late_rows, stream_summaries, stream_messages, stream_user_activity_buckets)}
 
 _SESSIONS = """marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_idx ORDER BY ts)
     <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM ev),
@@ -215,6 +288,8 @@ def _count_window(key: str) -> str:
 ORACLES: dict[str, str] = {
     "stream_user_activity": sql(f"""SELECT user_idx, user_recent_activity, {_time("event_timestamp")}
         FROM ustream""", EVENTS, GENRED),
+    "stream_user_activity_buckets": sql(f"""SELECT user_idx, user_recent_activity, {_time("event_timestamp")}
+        FROM ustream""", EVENTS, GENRED),
     "stream_last_genre": sql("SELECT user_idx, user_last_genre FROM ustream", EVENTS, GENRED),
     "stream_movie_popularity": sql(f"""SELECT movie_idx, movie_popularity, movie_recent_views,
         {_time("event_timestamp")} FROM mstream""", EVENTS, GENRED),
@@ -255,6 +330,30 @@ ORACLES: dict[str, str] = {
     "stream_sessions": sql("SELECT * FROM sess", EVENTS, _SESSIONS),
     "batch_sessions": sql("SELECT * FROM sess", EVENTS, _SESSIONS),
     "stream_count_window": sql(_count_window("movie_idx"), EVENTS),
+    "stream_count_window_spread": sql(_count_window("movie_idx"), EVENTS),
+    "stream_features_24h": sql("""SELECT entity, "key", count(*) AS n, CASE WHEN entity = 'movie' THEN '' ELSE
+        coalesce((list(event_type ORDER BY ts DESC, event_id DESC) FILTER (WHERE event_type <> 'error'))[1], 'Unknown')
+        END AS last_genre, strftime(date_trunc('hour', max(ts)) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS event_timestamp
+        FROM (SELECT 'user' AS entity, user_idx AS "key", ts, event_id, event_type FROM ev UNION ALL
+              SELECT 'movie', movie_idx, ts, event_id, event_type FROM ev WHERE event_type IN ('view', 'click'))
+        WHERE date_trunc('hour', ts) > (SELECT date_trunc('hour', max(ts)) FROM ev) - INTERVAL 24 HOUR
+        GROUP BY 1, 2""", EVENTS),
+    "stream_late_rows": sql("""SELECT count(*) AS kept, count(*) FILTER (WHERE epoch_us(ts) <=
+        (SELECT epoch_ms(max(ts)) FROM ev) * 1000 - 12 * 3600000000) AS late_rows FROM ev""", EVENTS),
+    "stream_summaries": sql("""SELECT batch, (SELECT sum(n) FROM counts c WHERE c.batch = b.batch)::BIGINT AS events,
+        active_users, popular_movies,
+        (SELECT string_agg(event_type || '=' || n, ',' ORDER BY event_type) FROM counts c WHERE c.batch = b.batch) AS per_type,
+        (SELECT sum(n) FROM counts c WHERE c.batch <= b.batch)::BIGINT AS total_events,
+        (SELECT string_agg(event_type || '=' || n, ',' ORDER BY event_type) FROM
+            (SELECT event_type, sum(n)::BIGINT AS n FROM counts c WHERE c.batch <= b.batch GROUP BY 1)) AS total_per_type
+        FROM (SELECT batch, count(DISTINCT user_idx) AS active_users,
+                     count(DISTINCT movie_idx) FILTER (event_type IN ('view', 'click')) AS popular_movies
+              FROM parted GROUP BY 1) b""", EVENTS, """ends AS (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM ev),
+parted AS (SELECT ev.*, CAST(floor((epoch_us(ts) - a) * 5 / (b - a + 1)) AS BIGINT) AS batch FROM ev, ends),
+counts AS (SELECT batch, event_type, count(*) AS n FROM parted GROUP BY 1, 2)"""),
+    "stream_messages": sql("""SELECT CASE WHEN event_id % 5 = 0 THEN 'Message holds no event'
+        WHEN event_id % 7 = 0 THEN 'Missing required field: event_type' ELSE '' END AS errors, count(*) AS messages
+        FROM ev GROUP BY 1""", EVENTS),
     "batch_count_window": sql(_count_window("user_idx"), EVENTS),
     "stream_validated": validation.ORACLES["validate_events"].replace(
         "SELECT event_id, errors = '' AS valid, errors FROM", "SELECT event_id, errors FROM", 1),

@@ -10,6 +10,8 @@ from marquee import schemas
 from marquee.functions.scalars import epoch_to_timestamp, iso_to_timestamp, timestamp_to_epoch
 
 TOPIC = "movie_events"
+# The error of a message that is not read as an event.
+NO_EVENT = "Message holds no event"
 
 
 def topic_options(servers: str, topic: str = TOPIC, starting: str = "latest", group: str | None = None,
@@ -42,10 +44,14 @@ def service_form(events: DataFrame) -> DataFrame:
     return with_event_time(events).withColumn("timestamp", timestamp_to_epoch(F.col("ts")))
 
 
-def decode(messages: DataFrame, schema: StructType = schemas.PRODUCED_EVENT) -> DataFrame:
-    """JSON values to typed events with a real event time ``ts``; values that are none are left to ``malformed``."""
-    read = messages.select(_parsed(messages, schema)).where(~_is_malformed())
-    return with_event_time(read.select("event.*").drop(_BAD))
+def decode(messages: DataFrame, schema: StructType = schemas.PRODUCED_EVENT, keep_value: bool = False) -> DataFrame:
+    """JSON values to typed events with a real event time ``ts``; values that are none are left to ``malformed``.
+
+    ``keep_value`` keeps the raw text beside what was read from it.
+    """
+    value = [F.col("value").cast("string").alias("value")] if keep_value else []
+    read = messages.select(_parsed(messages, schema), *value).where(~_is_malformed())
+    return with_event_time(read.select("event.*", *["value" for _ in value]).drop(_BAD))
 
 
 _BAD = "_malformed"

@@ -81,12 +81,28 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
     return _shape_events(reader.parquet(folder))
 
 
-def event_files(spark: SparkSession, folder: str, path: str, files: int, copies: int = 1) -> None:
+# The type of an event that says no more than that time has gone on.
+TICK = "tick"
+
+
+def event_files(spark: SparkSession, folder: str, path: str, files: int, copies: int = 1,
+                tick: str | None = None, even: bool = False) -> None:
     """The events table below ``path``, in so many files by time, each copy after the last.
 
     Files are written one after the other, as a stream takes the oldest first.
+    They hold about as many events each, or, if ``even``, equal stretches of
+    time. ``tick`` adds two
+    more of one event of type ``TICK`` each, so long after the last.
     """
     rows = table(spark, folder, "events")
+    if even:
+        ends = rows.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"),
+                        F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
+        since = F.unix_micros(F.col("ts").cast("timestamp")) - ends["a"]
+        part = F.floor(since * files / (ends["b"] - ends["a"] + 1))
+        for k in range(files):
+            rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+        return
     shares = [k / files for k in range(1, files)]
     edges = rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), shares)).first()[0] or []
     at = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -94,6 +110,12 @@ def event_files(spark: SparkSession, folder: str, path: str, files: int, copies:
     for _ in range(copies):
         for k in range(files):
             rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    if tick:
+        later = rows.agg((F.max("ts") + F.expr(f"INTERVAL {tick}")).alias("ts"), F.lit(TICK).alias("event_type"))
+        ticks = rows.limit(0).unionByName(later, allowMissingColumns=True).coalesce(1)
+        # The first moves the watermark, which holds from the second on.
+        for _ in range(2):
+            ticks.write.mode("append").parquet(path)
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:

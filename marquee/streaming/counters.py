@@ -6,6 +6,8 @@ genres. Every function works on a stream and on a table alike.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -114,6 +116,21 @@ def sliding_features(panes: DataFrame, window: str, slide: str) -> DataFrame:
         F.sum("n").alias("n"), F.coalesce(F.max("newest")["genres"], F.lit("Unknown")).alias("last_genre"))
 
 
+def window_features(panes: DataFrame, window: str, slide: str, as_of: datetime | None = None) -> DataFrame:
+    """Features over the one ``window`` that ends with the pane of ``as_of``, or with the newest pane.
+
+    Columns as ``entity_features`` gives them. The time of a row is that of its last pane's end.
+    """
+    width, length = micros(pd.Timedelta(slide)), micros(pd.Timedelta(window))
+    start = F.unix_micros("window_start")
+    newest = (F.unix_micros(panes.agg(F.max("window_start")).scalar()) if as_of is None else
+              F.floor(F.unix_micros(F.lit(as_of)) / width) * width)
+    own = panes.where((start > newest - length) & (start <= newest))
+    return own.groupBy("entity", "key").agg(
+        F.sum("n").alias("n"), F.coalesce(F.max("newest")["genres"], F.lit("Unknown")).alias("last_genre"),
+        F.timestamp_micros(F.unix_micros(F.max("window_start")) + width).alias("event_timestamp"))
+
+
 def event_types(events: DataFrame) -> DataFrame:
     return events.groupBy("event_type").agg(F.count("*").alias("events"))
 
@@ -149,6 +166,35 @@ def batch_summary(batch: DataFrame, last: int = 3) -> DataFrame:
              newest.scalar().alias("last_events"))
 
 
+def batch_metrics(events: DataFrame, name: str = "summary") -> DataFrame:
+    """``events``, counted as they pass: rows, watched ones and the newest time, whatever is done with them.
+
+    On a stream each micro-batch's figures come with its progress under
+    ``name``; nothing is read twice.
+    """
+    return events.observe(name, F.count("*").alias("events"), F.count_if(_is_watching()).alias("watched"),
+                          F.unix_micros(F.max("ts")).alias("newest_us"))
+
+
+def with_totals(summary: DataFrame, before: DataFrame | None) -> DataFrame:
+    """A micro-batch's summary row, with its number ``batch``, and the events and events per type since the start.
+
+    ``before`` is the row of the micro-batch before, if there was one.
+    """
+    if before is None:
+        return summary.withColumns({"total_events": F.col("events"), "total_per_type": F.col("per_type")})
+
+    def both(_, a: Column, b: Column) -> Column:
+        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+
+    earlier = before.select((F.col("batch") + 1).alias("batch"), F.col("total_events").alias("_events"),
+                            F.col("total_per_type").alias("_per_type"))
+    sums = F.map_zip_with("per_type", "_per_type", both)
+    return summary.join(earlier, "batch").withColumns({
+        "total_events": F.col("events") + F.col("_events"),
+        "total_per_type": F.map_from_entries(F.array_sort(F.map_entries(sums)))}).drop("_events", "_per_type")
+
+
 def deduplicated(events: DataFrame, lateness: str = LATENESS, spread: int = 8) -> DataFrame:
     """Drop repeats of an event id, within the watermark on a stream.
 
@@ -164,6 +210,19 @@ def deduplicated(events: DataFrame, lateness: str = LATENESS, spread: int = 8) -
     return rows.dropDuplicatesWithinWatermark(["event_id"])
 
 
+def session_rows(events: DataFrame, gap: str = "30 minutes", key: str = "user_idx",
+                 lateness: str | None = LATENESS) -> DataFrame:
+    """Runs of a key's events with no pause longer than ``gap``, from merging session state.
+
+    On a stream in append mode a session comes out once the watermark is past
+    its end, and then its state goes; events without a key are one group. With
+    a ``lateness`` of None the stream already has a watermark.
+    """
+    rows = events.withWatermark("ts", lateness) if events.isStreaming and lateness else events
+    return rows.groupBy(F.session_window("ts", gap).alias("session"), key).agg(F.count("*").alias("events")).select(
+        key, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), "events")
+
+
 def session_panes(events: DataFrame, gap: str = "30 minutes", key: str = "user_idx",
                   lateness: str = LATENESS) -> DataFrame:
     """Per key and stretch of one ``gap``: events, first and last time.

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,6 +28,22 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state as ``use_rocksdb_state`` says; afterwards all is as before."""
+    changed = (_PROVIDER, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
+    before = {name: spark.conf.get(name, None) for name in changed}
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def start(stream: DataFrame, write: BatchWriter, mode: str = "update",
           checkpoint: str | None = None, every: str | None = None) -> StreamingQuery:
     """Run ``write`` per micro-batch; without ``every``, up to the data there now."""
@@ -56,6 +73,10 @@ class BatchTable:
     def read(self) -> DataFrame:
         return read_parquet(self.spark, f"{self.path}/batches").drop("batch_id")
 
+    def read_batch(self, batch_id: int) -> DataFrame:
+        """What one micro-batch wrote."""
+        return read_parquet(self.spark, f"{self.path}/batches/batch_id={batch_id}")
+
 
 class KeyedTable(BatchTable):
     """The newest row per key of all micro-batches.
@@ -65,9 +86,11 @@ class KeyedTable(BatchTable):
     replayed batch writes the same snapshot again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], compact_every: int = COMPACT_EVERY):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], compact_every: int = COMPACT_EVERY,
+                 keep: Callable[[DataFrame], DataFrame] | None = None):
+        """``keep`` says which rows a snapshot takes along; the others are left behind for good."""
         super().__init__(spark, path)
-        self.keys, self.compact_every = list(keys), compact_every
+        self.keys, self.compact_every, self.keep = list(keys), compact_every, keep
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         super().write(rows, batch_id)
@@ -98,7 +121,78 @@ class KeyedTable(BatchTable):
 
     def compact(self, upto: int) -> None:
         """Write the state after batch ``upto`` so that reads can skip older batches."""
-        self.read(upto + 1).write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={upto}")
+        rows = self.read(upto + 1)
+        (self.keep(rows) if self.keep else rows).write.mode("overwrite").parquet(
+            f"{self.path}/snapshots/upto={upto}")
+
+
+class BucketedTable:
+    """The newest row per key, in buckets of the key; a push writes only the buckets it touches.
+
+    Each push has a version of its own: the touched buckets, written anew, and a
+    manifest that says which version every bucket is of. A replayed push starts
+    from the manifest before it and writes the same version again; readers see
+    a push once its manifest is there, so never half of it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def versions(self, before: int | None = None) -> dict[int, int]:
+        """Bucket to version: one small number each."""
+        try:
+            manifests = read_parquet(self.spark, f"{self.path}/manifests")
+        except MissingTable:
+            return {}
+        usable = manifests if before is None else manifests.where(F.col("push") < before)
+        newest = usable.agg(F.max("push")).scalar()
+        return dict(usable.where(F.col("push") == newest).select("bucket", "version").collect())
+
+    def _folders(self, versions: dict[int, int]) -> list[str]:
+        return [f"{self.path}/data/version={v}/_part={b}" for b, v in sorted(versions.items())]
+
+    def write(self, rows: DataFrame, push: int) -> None:
+        """Rows win over those of their keys so far; of several with a key in one push, any one."""
+        new = self._bucketed(rows).persist()
+        versions = self.versions(push)
+        touched = [b for b, in new.select("_bucket").distinct().collect()]
+        old = self._folders({b: versions[b] for b in touched if b in versions})
+        both = new.withColumn("_new", F.lit(1))
+        if old:
+            kept = self._bucketed(self.spark.read.schema(rows.schema).parquet(*old))
+            both = both.unionByName(kept.withColumn("_new", F.lit(0)))
+        newest = latest_per_key(both, [*self.keys, "_bucket"], "_new").drop("_new")
+        (newest.repartition("_bucket").withColumnRenamed("_bucket", "_part")
+         .write.partitionBy("_part").mode("overwrite").parquet(f"{self.path}/data/version={push}"))
+        new.unpersist()
+        now = {**versions, **{b: push for b in touched}}
+        self.spark.createDataFrame(sorted(now.items()), "bucket int, version long").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.path}/manifests/push={push}")
+
+    def read(self) -> DataFrame:
+        versions = self.versions()
+        if not versions:
+            raise MissingTable(self.path)
+        return self.spark.read.parquet(*self._folders(versions))
+
+    def lookup(self, wanted: DataFrame) -> DataFrame:
+        """Rows of the keys in ``wanted``, from the buckets that can hold them."""
+        some = [b for b, in self._bucketed(wanted).select("_bucket").distinct().collect()]
+        versions = {b: v for b, v in self.versions().items() if b in some}
+        rows = self.spark.read.parquet(*self._folders(versions)) if versions else self.read().limit(0)
+        return rows.join(wanted.select(*self.keys).distinct(), self.keys, "left_semi")
+
+    def unused(self) -> list[int]:
+        """Versions that the newest manifest names for no bucket; they may go once no replay can need them."""
+        try:
+            pushes = read_parquet(self.spark, f"{self.path}/manifests").select("push").distinct()
+        except MissingTable:
+            return []
+        needed = set(self.versions().values())
+        return sorted(v for v, in pushes.collect() if v not in needed)
 
 
 class Progress(StreamingQueryListener):
@@ -137,6 +231,11 @@ class Progress(StreamingQueryListener):
         return self.totals[str(query.id)]["late_rows"]
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that an ended query of at most a hundred micro-batches dropped; ``Progress`` counts any number."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def throughput(query: StreamingQuery) -> list[dict]:
     """Rows and rows per second of the last micro-batches; ``Progress`` sums up all."""
     return [{"batch_id": p["batchId"], "rows": p["numInputRows"],

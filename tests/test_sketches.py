@@ -1,0 +1,78 @@
+import random
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from marquee.operators import monitor, sketches
+from marquee.streaming import sinks
+from tests.conftest import tuples
+
+START = datetime(2024, 1, 1)
+SCHEMA = "ts timestamp, endpoint string, status int, latency_s double, user_idx long"
+
+
+def make_log(n=20_000, hours=10, seed=4):
+    """Half of all requests go to one endpoint and come from few users."""
+    pick = random.Random(seed)
+    return [(START + timedelta(seconds=pick.random() * 3600 * hours), pick.choice(["a", "a", "b", None]), 200,
+             pick.expovariate(3) if pick.random() > 0.01 else None,
+             pick.randrange(20) if pick.random() < 0.5 else pick.randrange(5_000)) for _ in range(n)]
+
+
+def test_merged_panes_are_as_near_as_one_sketch(frame):
+    rows = make_log()
+    log = frame(rows, SCHEMA)
+    stored = sketches.panes(log, "1 hour")
+    whole = sketches.merged(stored.withColumn("all", F.lit(1)), ["all"])
+    found = sketches.quantiles(whole, ["all"]).first()
+    values = sorted(r[3] for r in rows if r[3] is not None)
+    for name, p in monitor.QUANTILES.items():
+        rank = sum(v <= found[name] for v in values) / len(values)
+        assert abs(rank - p) <= sketches.RANK_ERROR
+    users = sketches.distinct_users(whole, ["all"]).first()["active_users"]
+    assert abs(users / len({r[4] for r in rows}) - 1) <= sketches.DISTINCT_ERROR
+    assert found["requests"] == len(rows)
+
+
+def test_sliding_windows_equal_those_over_the_log(frame):
+    rows = make_log(3_000)
+    log = frame(rows, SCHEMA)
+    windows = sketches.sliding(sketches.panes(log, "1 hour"), "3 hours", "1 hour")
+    counts = dict(tuples(windows, "window_start", "requests"))
+    exact = dict(tuples(monitor.active_users(log, "3 hours", "1 hour")))
+    users = dict(tuples(sketches.distinct_users(windows, ["window_start"])))
+    assert counts.keys() == exact.keys() == users.keys()
+    for start in counts:
+        own = [r for r in rows if start <= r[0] < start + timedelta(hours=3)]
+        assert counts[start] == len(own) and exact[start] == len({r[4] for r in own})
+        assert abs(users[start] / exact[start] - 1) <= sketches.DISTINCT_ERROR
+
+
+def test_small_panes_are_exact_and_empty_ones_null(frame):
+    rows = [(START, "a", 200, v, None) for v in (1.0, 2.0, 3.0)] + [(START, None, 200, None, 7), (START, None, 200, None, 7)]
+    stored = sketches.panes(frame(rows, SCHEMA), "1 hour", ["endpoint"])
+    found = {r["endpoint"]: r for r in sketches.quantiles(stored, ["endpoint"]).collect()}
+    assert found["a"]["p50"] == 2.0 and found[None]["p50"] is None and found[None]["requests"] == 2
+    assert dict(tuples(sketches.distinct_users(stored, ["endpoint"]).fillna("none"))) == {"a": 0, "none": 1}
+    assert sketches.panes(frame([], SCHEMA), "1 hour").count() == 0
+
+
+def test_panes_of_a_stream_merge_like_those_of_a_table(spark, frame, tmp_path):
+    rows = sorted(make_log(2_000), key=lambda r: r[0])
+    for k in range(0, 2_000, 500):
+        spark.createDataFrame(rows[k:k + 500], SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    table = sinks.KeyedTable(spark, str(tmp_path / "panes"), ["window_start"])
+    sinks.drain(sketches.panes(stream, "1 hour", lateness="1 hour"), table.write)
+    want = sketches.panes(frame(rows, SCHEMA), "1 hour")
+    assert tuples(table.read(), "window_start", "requests") == tuples(want, "window_start", "requests")
+    assert tuples(sketches.distinct_users(table.read(), ["window_start"])) == tuples(
+        sketches.distinct_users(want, ["window_start"]))
+
+
+def test_rank_errors_see_a_wrong_quantile(frame):
+    log = frame([(START, "a", 200, float(v), 1) for v in range(100)], SCHEMA)
+    found = log.limit(1).select(F.lit("a").alias("endpoint"), F.lit(49.0).alias("p50"), F.lit(50.0).alias("p95"),
+                                F.lit(98.0).alias("p99"))
+    errors = sketches.rank_errors(found, log, ["endpoint"]).first()
+    assert errors["p50"] == 0 and abs(errors["p95"] - 0.44) < 1e-9 and errors["p99"] == 0

@@ -3,6 +3,8 @@ from datetime import datetime, timedelta
 import pytest
 
 from marquee.operators import store
+from marquee.sources.files import MissingTable
+from marquee.streaming import sinks
 from tests.conftest import tuples
 
 NOON = datetime(2024, 1, 2, 12)
@@ -92,3 +94,39 @@ def test_stats_and_freshness(frame):
         3, 2, pytest.approx(2 / 3), pytest.approx(2 / 3), NOON)
     assert stats["user_recent_activity"]["null_share"] == pytest.approx(1 / 3)
     assert store.freshness({"user_stream_features": rows}, NOON + timedelta(seconds=90)).first()["age_s"] == 90.0
+
+
+def test_a_push_writes_only_the_buckets_it_touches(spark, tmp_path):
+    table = sinks.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=16)
+    table.write(spark.range(1_000).selectExpr("id AS k", "0 AS v"), 0)
+    table.write(spark.createDataFrame([(5, 1), (5, 1), (2_000, 1)], "k long, v int"), 1)
+
+    def parts(version):
+        return {p.name for p in (tmp_path / "t" / "data" / f"version={version}").glob("_part=*")}
+
+    assert len(parts(0)) == 16 and 1 <= len(parts(1)) <= 2
+    rows = dict(tuples(table.read()))
+    assert len(rows) == 1_001 and rows[5] == 1 and rows[2_000] == 1 and rows[6] == 0
+    assert tuples(table.lookup(spark.createDataFrame([(5,), (7,), (9_999,)], "k long"))) == [(5, 1), (7, 0)]
+
+
+def test_a_replayed_push_gives_the_same(spark, tmp_path):
+    table = sinks.BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
+    pushes = [[(1, "a"), (2, "a"), (None, "n")], [(2, "b"), (3, "b")], [(1, "c")]]
+    for number, rows in enumerate(pushes):
+        table.write(spark.createDataFrame(rows, "k long, v string"), number)
+    want = sorted(map(str, tuples(table.read().fillna(-1))))
+    assert want == ["(-1, 'n')", "(1, 'c')", "(2, 'b')", "(3, 'b')"]
+    for number in (2, 1, 2):
+        table.write(spark.createDataFrame(pushes[number], "k long, v string"), number)
+    assert sorted(map(str, tuples(table.read().fillna(-1)))) == want
+    # A push whose manifest was never written is not seen.
+    for file in (tmp_path / "t" / "manifests" / "push=2").glob("*"):
+        file.unlink()
+    assert dict(tuples(table.read().where("k = 1"))) == {1: "a"}
+    assert set(table.versions().values()) <= {0, 1} and set(table.unused()).isdisjoint(table.versions().values())
+
+
+def test_an_empty_table_of_buckets_is_missing(spark, tmp_path):
+    with pytest.raises(MissingTable):
+        sinks.BucketedTable(spark, str(tmp_path / "none"), ["k"]).read()

@@ -257,3 +257,119 @@ def test_events_without_a_key_make_windows_too(spark, tmp_path):
     for batch, part in enumerate((rows[:5], rows[5:])):
         table.write(spark.createDataFrame(part, schema), batch)
     assert sorted(map(str, tuples(table.read().drop("user_idx")))) == sorted(map(str, tuples(whole.drop("user_idx"))))
+
+
+def test_keyed_count_windows_go_on_after_a_restart(spark, tmp_path):
+    """Same windows whatever the micro-batches, after a restart, and when the last one is replayed."""
+    rows = make_events(120)
+    want = tuples(windows.count_windows(spark.createDataFrame(rows, SCHEMA), "user_idx", 7))
+    folder, table = tmp_path / "events", sinks.KeyedTable(spark, str(tmp_path / "t"), ["user_idx", "window_no"])
+
+    def put(part):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(folder))
+
+    def run():
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(folder))
+        with sinks.rocksdb_state(spark):
+            sinks.drain(windows.keyed_count_windows(stream, "user_idx", 7), table.write, "update", str(tmp_path / "c"))
+
+    for part in (rows[:25], rows[25:50]):
+        put(part)
+    run()
+    for part in (rows[50:75], rows[75:100], rows[100:]):
+        put(part)
+    run()
+    columns = ["user_idx", "window_no", "events", "watched", "first_ts", "last_ts"]
+    assert tuples(table.read(), *columns) == sorted(want)
+    commits = sorted((int(p.name), p) for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit())
+    assert len(commits) >= 5
+    commits[-1][1].unlink()
+    for crc in (tmp_path / "c" / "commits").glob(f".{commits[-1][0]}.crc"):
+        crc.unlink()
+    run()
+    assert tuples(table.read(), *columns) == sorted(want)
+
+
+def test_keyed_count_windows_without_a_key(spark, tmp_path):
+    rows = [(i, None if i % 2 else 7, 1, "view" if i % 3 else None, START + timedelta(seconds=i), None) for i in range(12)]
+    table = sinks.KeyedTable(spark, str(tmp_path / "t"), ["user_idx", "window_no"])
+    with sinks.rocksdb_state(spark):
+        sinks.drain(windows.keyed_count_windows(as_stream(spark, tmp_path, rows, 2), "user_idx", 4), table.write)
+    assert sorted((str(r["user_idx"]), r["window_no"], r["events"], r["watched"]) for r in table.read().collect()) == [
+        ("7", 0, 4, 2), ("7", 1, 2, 2), ("None", 0, 4, 3), ("None", 1, 2, 1)]
+
+
+def test_state_of_kept_features_stops_growing(spark, tmp_path):
+    """New users every day: the cumulative form holds them all, the windowed one those of the last panes."""
+    rows = [(i, i, 1, "search", START + timedelta(days=i // 10, minutes=i % 10), "A") for i in range(60)]
+    held = {}
+    for name in ("kept", "since the start"):
+        stream = as_stream(spark, tmp_path / name, rows, 6)
+        out = str(tmp_path / name / "out")
+        query = (jobs.keep_features(stream, out) if name == "kept" else jobs.update_features(stream, out))[0]
+        query.awaitTermination()
+        held[name] = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held["kept"]) <= 20 and held["kept"][-1] <= 20
+    assert held["since the start"][-1] == 60
+
+
+def test_kept_features_equal_a_batch(spark, tmp_path):
+    rows = [(i, i % 4, i % 3, ["view", "search", "click"][i % 3], START + timedelta(minutes=25 * i), [None, "A", "B"][i % 3])
+            for i in range(200)]
+    query, kept = jobs.keep_features(as_stream(spark, tmp_path, rows, 4), str(tmp_path / "out"), "6 hours", "1 hour")
+    query.awaitTermination()
+    for as_of in (rows[-9][4], None):
+        if as_of is None:
+            # From here on only windows from the newest one on are whole.
+            before = kept.panes.read().count()
+            kept.panes.compact(100)
+            assert kept.panes.read().count() < before
+        end = (as_of or rows[-1][4]).replace(minute=0) + timedelta(hours=1)
+        own = spark.createDataFrame([r for r in rows if end - timedelta(hours=6) <= r[4] < end], SCHEMA)
+        assert tuples(kept.users(as_of), "user_idx", "user_recent_activity", "user_last_genre") == tuples(
+            counters.user_stream_features(own), "user_idx", "user_recent_activity", "user_last_genre")
+        assert tuples(kept.movies(as_of), "movie_idx", "movie_popularity") == tuples(
+            counters.movie_stream_features(own), "movie_idx", "movie_popularity")
+
+
+def test_sessions_leave_the_stream_and_its_state(spark, tmp_path):
+    rows = [(i, i % 3, 1, "view", START + timedelta(hours=2 * (i // 30), minutes=i % 30), None) for i in range(90)]
+    late = [(900, 1, 1, "view", START, None)]
+    tick = [(901, None, None, "tick", START + timedelta(days=1), None)]
+    folder = tmp_path / "events"
+    for part in (rows[:30], rows[30:60], rows[60:], late, tick, tick):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(folder))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    real = stream.withWatermark("ts", "10 minutes").where("event_type <> 'tick' OR ts IS NULL")
+    table = sinks.BatchTable(spark, str(tmp_path / "sessions"))
+    query = sinks.drain(counters.session_rows(real, lateness=None), table.write, "append")
+    want = counters.session_rows(spark.createDataFrame(rows, SCHEMA))
+    assert tuples(table.read()) == tuples(want) and want.count() == 9
+    assert sinks.late_rows(query) == 1
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_summaries_go_on_and_counts_come_with_the_progress(spark, tmp_path):
+    rows = make_events(90)
+    query, table = jobs.keep_summaries(as_stream(spark, tmp_path, rows, 3), str(tmp_path / "out"))
+    query.awaitTermination()
+    got = table.read().orderBy("batch").collect()
+    assert [r["total_events"] for r in got] == [30, 60, 90]
+    assert got[-1]["total_per_type"] == {k: sum(r[3] == k for r in rows) for k in {r[3] for r in rows}}
+    seen = [p.observedMetrics["summary"] for p in query.recentProgress if p.numInputRows]
+    assert [m["events"] for m in seen] == [30, 30, 30]
+    assert sum(m["watched"] for m in seen) == sum(r[3] in ("view", "click") for r in rows)
+
+
+def test_every_message_is_kept_somewhere(spark, tmp_path):
+    good = {"event_id": "e", "user_idx": 1, "movie_idx": 2, "event_type": "view", "timestamp": START.isoformat(),
+            "session_id": "s"}
+    values = [json.dumps(good), json.dumps({**good, "event_type": "like"}), "{cut", "", '{"user_idx": "x"}']
+    spark.createDataFrame([(v,) for v in values], "value string").write.parquet(str(tmp_path / "topic"))
+    stream = spark.readStream.schema("value string").parquet(str(tmp_path / "topic"))
+    query, valid, rejected = jobs.split_messages(stream, str(tmp_path / "out"), now=START.timestamp() + 10)
+    query.awaitTermination()
+    assert tuples(valid.read(), "event_id", "event_type") == [("e", "view")]
+    assert sorted((r["value"], r["errors"]) for r in rejected.read().collect()) == sorted([
+        ("", [kafka.NO_EVENT]), ("{cut", [kafka.NO_EVENT]), ('{"user_idx": "x"}', [kafka.NO_EVENT]),
+        (values[1], ["Invalid event_type: like"])])
