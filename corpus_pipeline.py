@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import decontaminate, mixing, near_copies, quality_cnn, token_planes
+from marquee.llm import decontaminate, mixing, quality_cnn, simhash, token_planes
 from marquee.llm.common import free_name, table
 from marquee.llm.queries import tokenizer_path
 from marquee.session import durable
@@ -28,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest id."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group whose fingerprints link (four-word shingles, four bits), the one with the smallest id."""
+    return simhash.drop_near_duplicates(docs, most_bits=simhash.MOST_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
