@@ -104,8 +104,13 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _pattern(pattern: str) -> str:
+    """In quotes of SQL; its matcher never goes back, so it knows no possessive repeats."""
+    return pattern.replace("*+", "*").replace("'", "''")
+
+
 def _replaced(column: str, pattern: str, by: str) -> str:
-    return f"regexp_replace({column}, '{pattern.replace("'", "''")}', {by}, 'g')"
+    return f"regexp_replace({column}, '{_pattern(pattern)}', {by}, 'g')"
 
 
 def _characters(column: str) -> str:
@@ -131,7 +136,7 @@ def _record_id(*parts: str) -> str:
             f"|| {h}[21:32] || '>'")
 
 
-_LINKED = warc.LINK.replace("'", "''")
+_LINKED = _pattern(warc.LINK)
 
 _WARC = rf"""
 WITH fetched AS (
@@ -142,7 +147,7 @@ WITH fetched AS (
          {_record_id("'response'", "page_id", "url", "coalesce(html, '')")} AS refers_to FROM pages),
 parsed AS (
   SELECT *, {_plain_text("body")} AS plain,
-         replace({_blanks(_characters(f"regexp_extract(body, '{warc.TITLE}', 1)"))}, chr(10), ' ') AS title,
+         replace({_blanks(_characters(f"regexp_extract(body, '{_pattern(warc.TITLE)}', 1)"))}, chr(10), ' ') AS title,
          regexp_extract_all(body, '{_LINKED}', 1) AS found FROM fetched),
 made AS (
   SELECT *, {_record_id("'metadata'", "refers_to", "target_uri", "source_payload_digest")} AS m_id,

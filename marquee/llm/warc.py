@@ -5,36 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 from html.entities import html5
 
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 CRLF = "\r\n"
+# What follows a tag's name: a quoted value may hold the sign that ends a tag. A tag
+# whose quotes do not pair ends at the first such sign.
+REST = r"""(?:[^"'>]*+(?:"[^"]*+"[^"'>]*+|'[^']*+'[^"'>]*+)*+>|[^>]*>)"""
 # What is left out of the text, what parts its lines, and named characters.
 DROPPED = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(
-    rf"<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template", "head"))
+    rf"<{tag}\b{REST}.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template", "head"))
 LINE_TAGS = (r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main"
-             r"|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>")
-OTHER_TAGS = r"<[A-Za-z/!?][^>]*>"
+             r"|nav|ol|p|pre|section|table|td|th|tr|ul)\b" + REST)
+OTHER_TAGS = r"<[A-Za-z/!?]" + REST
 NAMED = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
          "middot": "·", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘",
          "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€", "deg": "°", "amp": "&"}
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+TITLE = rf"(?is)<title\b{REST}(.*?)</title\s*>"
 LINK = r"""(?i)<a\b[^>]*?\shref\s*=\s*["']([^"']*)["']"""
 # DROPPED, NAMED and LINK are as the SQL has them, for pages with closed heads and
 # plain links. Here a head that is not closed ends with the text only if no tag
 # follows that cannot stand in a head, else it is read like a body but for its title.
 IN_BODY = r"<(?!(?:html|head|meta|link|base|title|script|style|noscript|template)\b)[a-z]"
 DROPPED_HERE = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(
-    rf"<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template")
-) + rf"|<head\b[^>]*>(?:.*?</head\s*>|(?!.*{IN_BODY}).*)"
+    rf"<{tag}\b{REST}.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "noscript", "template")
+) + rf"|<head\b{REST}(?:.*?</head\s*>|(?!.*{IN_BODY}).*)"
 OPEN_HEAD = r"(?is)<head\b(?!.*</head\s*>)"
-FIRST_TITLE = r"(?is)\A(.*?)<title\b[^>]*>.*?</title\s*>"
-# An address in its own quotes, or in none.
-LINK_HERE = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
-# All of HTML's names that end in a semicolon, by Spark's xxhash64 of the entity, so
-# that plans spell no names; those of NAMED are looked up first.
-ALL_NAMED = {(xxhash.xxh64_intdigest(f"&{name}".encode(), 42) ^ 1 << 63) - (1 << 63): text
-             for name, text in html5.items() if name.endswith(";")}
+FIRST_TITLE = rf"(?is)\A(.*?)<title\b{REST}.*?</title\s*>"
+# An address in its own quotes, or in none, after values in their quotes.
+LINK_HERE = r"""(?i)<a\b[^"'>]*?(?:(?:"[^"]*"|'[^']*')[^"'>]*?)*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+# All of HTML's names that end in a semicolon; those of NAMED are looked up first.
+ALL_NAMED = {f"&{name}": text for name, text in html5.items() if name.endswith(";")}
 
 
 def digest(block: Column) -> Column:
@@ -84,7 +84,7 @@ def _character(entity: Column) -> Column:
     decimal = F.regexp_extract(entity, "([0-9]+);", 1).cast("long")
     return (F.when(F.startswith(lower, F.lit("&#x")), _bound(hexadecimal, spelled))
             .when(F.startswith(entity, F.lit("&#")), _bound(decimal, spelled))
-            .otherwise(F.coalesce(F.try_element_at(names, entity), F.try_element_at(more, F.xxhash64(entity).cast("string")), entity)))
+            .otherwise(F.coalesce(F.try_element_at(names, entity), F.try_element_at(more, entity), entity)))
 
 
 def _characters(text: Column) -> Column:
@@ -113,7 +113,8 @@ def plain_text(html: Column) -> Column:
 
     What is left: names of characters without a semicolon stay as they are, text
     of an unclosed head before its first body tag is kept but for the title, and
-    an unclosed head whose page spells ``</head>`` later on ends there.
+    an unclosed head whose page spells ``</head>`` later on ends there. A tag whose
+    quotes do not pair ends at the first ``>``, and a link in one may be missed.
     """
     html = F.when(html.rlike(OPEN_HEAD), F.regexp_replace(html, FIRST_TITLE, "$1 ")).otherwise(html)
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, DROPPED_HERE, " "), LINE_TAGS, "\n"), OTHER_TAGS, "")
