@@ -19,15 +19,18 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from marquee.llm.common import batches_by_size
 from marquee.session import durable, scratch_path
 
 MAGIC = b"PLANES1\n"
@@ -38,6 +41,8 @@ CHUNK_IDS = 1 << 16
 SHARD_IDS = 1 << 22
 LEVEL = 3
 END_ID = 2
+# Bytes of text that are encoded at a time; a text stays whole.
+BATCH_BYTES = 2 << 20
 # Words whose ids a worker keeps; then it starts anew.
 MEMO_WORDS = 1 << 20
 
@@ -69,7 +74,7 @@ def encode_shard(ids: np.ndarray, documents: np.ndarray, chunk_ids: int = CHUNK_
     out, index = bytearray(MAGIC), bytearray()
     for at in range(0, len(ids), chunk_ids):
         part = ids[at:at + chunk_ids]
-        frames = [press.compress(p) if any(p) else b"" for p in to_planes(part, width, bits)]
+        frames = [press.compress(p) if p.strip(b"\0") else b"" for p in to_planes(part, width, bits)]
         index += struct.pack(f"<QI{count}I", len(out), len(part), *map(len, frames))
         out += b"".join(frames)
     index_at = len(out)
@@ -125,19 +130,6 @@ class Shard:
             kept = whole[size:]
 
 
-class _Numbers(dict):
-    """Numbers words as they come; ``fresh`` has the words numbered last."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.fresh.append(word)
-        return number
-
-
 class WordEncoder:
     """Token ids of whole texts, remembering those of words.
 
@@ -152,19 +144,19 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self) -> None:
-        fresh, self.numbers.fresh = self.numbers.fresh, []
-        known = len(self.numbers) - len(fresh)
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
+    def _learn(self, fresh: list[str]) -> None:
+        known = len(self.numbers)
+        self.numbers.update(zip(fresh, range(known, known + len(fresh))))
+        made = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
         lists = [e.ids for e in made]
-        lengths = np.array([len(ids) for ids in lists], np.int64)
-        flat = np.array([i for ids in lists for i in ids], np.uint32)
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))
         starts = self.used + np.cumsum(lengths) - lengths
         for name, new, at in (("ids", flat, self.used), ("starts", starts, known), ("lengths", lengths, known)):
             kept = getattr(self, name)
@@ -175,17 +167,23 @@ class WordEncoder:
         self.used += len(flat)
 
     def encode(self, texts: Sequence[bytes | None]) -> list[np.ndarray]:
-        words = [(t or b"").split() for t in texts]
+        cut = pa.compute.ascii_split_whitespace(pa.array(texts, pa.binary()).fill_null(b"").cast(pa.large_string()))
+        words, sizes = cut.flatten(), pa.compute.list_value_length(cut).to_numpy()
+        # Blanks at an end leave an empty word there.
+        some = pa.compute.binary_length(words).to_numpy() > 0
+        of_texts = np.concatenate([[0], np.cumsum(some)])[np.cumsum(sizes)]
+        # Each word of the batch is looked up once.
+        named = words.filter(pa.array(some)).dictionary_encode()
         if len(self.numbers) > MEMO_WORDS:
             self._forget()
-        number = self.numbers.__getitem__
-        at = np.array([n for row in words for n in map(number, row)], np.int64)
-        if self.numbers.fresh:
-            self._learn()
+        distinct = named.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if fresh := [w for w in distinct if w not in self.numbers]:
+            self._learn(fresh)
+        distinct = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        at = distinct[named.indices.to_numpy()]
         sizes = self.lengths[at]
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(at) else 0)]
-        of_texts = np.cumsum([len(row) for row in words])
         cuts = np.concatenate([[0], ends])[of_texts]
         return np.split(ids, cuts[:-1]) if len(texts) else []
 
@@ -232,17 +230,15 @@ def _write(folder: str, tokenizer: str, end_id: int | None, bits: bool, shard_id
                 "part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int32()), "name": [name],
                 "documents": pa.array([len(rows)], pa.int64()), "tokens": pa.array([size], pa.int64())})
 
-        for batch in batches:
-            numbers, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-            for at in range(0, len(texts), 256):
-                for number, ids in zip(numbers[at:at + 256], encoder.encode(texts[at:at + 256])):
-                    ids = np.concatenate([ids, np.array(end, np.uint32)])
-                    kept.append(ids)
-                    rows.append((number is None, number or 0, len(ids)))
-                    size += len(ids)
-                    if size >= shard_ids:
-                        yield flush()
-                        shard, kept, rows, size = shard + 1, [], [], 0
+        for batch in batches_by_size(batches, "text", BATCH_BYTES):
+            for number, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"])):
+                ids = np.concatenate([ids, np.array(end, np.uint32)])
+                kept.append(ids)
+                rows.append((number is None, number or 0, len(ids)))
+                size += len(ids)
+                if size >= shard_ids:
+                    yield flush()
+                    shard, kept, rows, size = shard + 1, [], [], 0
         if rows:
             yield flush()
     return run
