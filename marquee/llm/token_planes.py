@@ -16,6 +16,7 @@ test documents) and a third of the time, so they are the default.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -139,6 +140,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # A task has one core; the library would start a thread for each of the machine's.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
