@@ -2,200 +2,357 @@
 
 S(w | context) = c(context w) / c(context) if that n-gram is in the count
 tables, else ``ALPHA`` times the score with a context of one word less; a single
-word scores c(w) / N. Counts are over all documents.
+word scores c(w) / N. Counts are over all words of all documents, and nothing is
+left out of them. So every n-gram of a document is in the tables, the document's
+own occurrence at least, and no score backs off: in the sum over a document the
+counts of its longest n-grams stand above, those of their contexts below, and
+what a document's first words share cancels out.
 
-If an n-gram is in the tables, so are its parts. So a document's score is that
-of its words alone, plus a gain for each n-gram that is found, and the gain is a
-property of the n-gram: the count tables, partitioned by hash, become tables of
-gains, which are joined to the documents' n-grams and summed per document.
+Every n-gram is its 64-bit hash (two of them meet by a chance of one in 2^64 a
+pair). Documents are exploded into their n-grams, which travel once, packed by
+leading bits of the hash: a bucket then holds all occurrences of its n-grams, so
+their count table is made there, joined to the exploded rows there, and only a
+sum per document goes on. N-grams with a large share of all are counted
+beforehand and added where the document is.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import HOT_SHARE, LOWER, batches_by_size
-from marquee.operators.ordering import positions
+from marquee.llm.common import HOT_ROWS, HOT_SHARE, LOWER, batches_by_size
 from marquee.session import durable
 
-ALPHA = 0.4
-ORDER = 2
-# N-grams seen less often are not kept.
-LEAST_COUNT = 2
-# Words below this share of all words are rare: they score the mean of all rare
-# ones, and are in no longer n-gram. So the vocabulary is this many words at most.
-VOCABULARY = 1 << 20
-# An n-gram is its words' numbers, which start at 1, in so many bits each.
-WORD_BITS = 21
+ORDER = 3
 BATCH_BYTES = 2 << 20
+# A bucket holds about so many n-grams, and a batch is dealt over 2 ** FAN_BITS buckets
+# at a time at most; larger tables are dealt again by the next bits of the hash.
+BUCKET_GRAMS = 2_000_000
+FAN_BITS = 10
+# Words whose hashes a task keeps.
+KEPT_WORDS = 1 << 19
+# Buckets below zero hold the documents themselves.
+SPREAD = 1 << 10
+
+Entries = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(LOWER).split()
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches_by_size(batches, "text", BATCH_BYTES):
-        counts = Counter(w for t in batch["text"].to_pylist() for w in words_of(t))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word)
+        return made
+
+
+class Grams:
+    """The n-grams of some texts, a size at a time: their hashes, and the text and place of each."""
+
+    def __init__(self, texts: list[bytes | None], hashes: WordHashes):
+        words = [words_of(t) for t in texts]
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.total = int(self.sizes.sum())
+        self.words = np.fromiter((hashes[w] for own in words for w in own), np.uint64, self.total)
+        self.text = np.repeat(np.arange(len(words)), self.sizes)
+        self.place = np.arange(self.total) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+
+    def each(self, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        made = np.zeros(self.total, np.uint64)
+        for size in range(1, order + 1):
+            made = made[:max(self.total - size + 1, 0)] * np.uint64(0x9E3779B97F4A7C15) + self.words[size - 1:]
+            made ^= made >> np.uint64(29)
+            made *= np.uint64(0xBF58476D1CE4E5B9)
+            made ^= made >> np.uint64(32)
+            text, place = self.text[:len(made)], self.place[:len(made)]
+            whole = place + size <= self.sizes[text]
+            yield size, made[whole], text[whole], place[whole]
+
+
+def _merged(gram: np.ndarray, text: np.ndarray) -> Entries:
+    """Each n-gram of each text once, by hash, with how often it is there; ``text`` ascends for an n-gram."""
+    order = np.argsort(gram, kind="stable")
+    gram, text = gram[order], text[order]
+    fresh = np.ones(len(gram), bool)
+    fresh[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(fresh)
+    return gram[first], text[first], np.diff(first, append=len(gram))
+
+
+def exploded(grams: Grams, order: int) -> tuple[Entries, Entries, Entries]:
+    """N-grams that count for their text, those that count against it, and those that are only counted.
+
+    The first are the longest ones, or all of a text that is shorter than one;
+    the second are the contexts of all but the first of them.
+    """
+    above, below, only = [], [], []
+    for size, gram, text, place in grams.each(order):
+        sizes = grams.sizes[text]
+        up = np.full(len(gram), True) if size == order else sizes == size
+        down = (place > 0) & (place <= sizes - order) if size == order - 1 else np.zeros(len(gram), bool)
+        above.append((gram[up], text[up]))
+        below.append((gram[down], text[down]))
+        only.append(gram[~up & ~down])
+    alone, n = np.unique(np.concatenate(only), return_counts=True)
+    return (_merged(*map(np.concatenate, zip(*above))), _merged(*map(np.concatenate, zip(*below))),
+            (alone, np.full(len(alone), -1), n))
+
 
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
-class Vocabulary:
-    """Numbers and log scores of the words that are not rare; what workers need of them."""
 
-    def __init__(self, rows: list[tuple[bytes, int]], total: int, rare_words: int, rare_types: int):
-        self.numbers = {w: k + 1 for k, (w, _) in enumerate(rows)}
-        rare = rare_words / rare_types if rare_types else 1
-        self.logs = np.log(np.array([rare, *(n for _, n in rows)], dtype=np.float64)) - np.log(max(total, 1))
+def _values(data: bytes, count: int, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    rows = np.frombuffer(data, np.uint8, count * size).reshape(size, count)
+    return np.ascontiguousarray(rows.T).view(kind).ravel()
 
-    def coded(self, text: bytes | None) -> np.ndarray:
-        number = self.numbers.get
-        return np.array([number(w, 0) for w in words_of(text)], dtype=np.int64)
 
+_KINDS = ("<u8", "<i8", "<i8")
 
-def _ngrams(words: np.ndarray, size: int) -> np.ndarray:
-    """The n-grams of ``size`` words without a rare one."""
-    if len(words) < size:
-        return np.zeros(0, np.int64)
-    gram, whole = np.zeros(len(words) - size + 1, np.int64), np.ones(len(words) - size + 1, bool)
-    for k in range(size):
-        own = words[k:len(words) - size + 1 + k]
-        gram = gram << WORD_BITS | own
-        whole &= own > 0
-    return gram[whole]
+
+def pack(groups: tuple[Entries, ...]) -> bytes:
+    """The three groups of a bucket: their sizes, then every column as byte planes, pressed."""
+    columns = [_planes(column.astype(kind)) for group in groups for column, kind in zip(group, _KINDS)]
+    sizes = np.array([len(g[0]) for g in groups], "<i8").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(columns))
+
+
+def unpack(blob: bytes) -> list[Entries]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    at, out = 24, []
+    for count in np.frombuffer(data, "<i8", 3).tolist():
+        group = []
+        for kind in _KINDS:
+            group.append(_values(memoryview(data)[at:at + 8 * count], count, kind))
+            at += 8 * count
+        out.append(tuple(group))
+    return out
+
+
+def dealt(groups: list[Entries], bits: int) -> Iterator[tuple[int, bytes]]:
+    """The buckets by the first ``bits`` of the hash that anything falls into, packed; groups are in order of hash."""
+    edges = [np.searchsorted(g[0] >> np.uint64(64 - bits) if bits else np.zeros(len(g[0]), np.uint64),
+                             np.arange((1 << bits) + 1, dtype=np.uint64)) for g in groups]
+    used = sorted({int(b) for g in groups for b in np.unique(g[0] >> np.uint64(64 - bits))} if bits else
+                  {0 for g in groups if len(g[0])})
+    for b in used:
+        yield b, pack(tuple(tuple(c[e[b]:e[b + 1]] for c in g) for g, e in zip(groups, edges)))
+
+
+def _found(keys: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each n-gram stands in ``keys``, and whether it does."""
+    if not len(keys):
+        return np.zeros(len(gram), np.int64), np.zeros(len(gram), bool)
+    at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+    return at, keys[at] == gram
+
+
+def _frequent(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """N-grams with a large share of their batch, as any with a large share of the table has in one; and all words."""
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches_by_size(batches, "text", BATCH_BYTES):
+            grams = Grams(batch["text"].to_pylist(), hashes)
+            out, counts = [], [grams.total]
+            for _, gram, _, _ in grams.each(order):
+                kept, n = np.unique(gram, return_counts=True)
+                much = n * HOT_SHARE >= grams.total
+                out.append(kept[much].view(np.int64))
+                counts += n[much].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *np.concatenate(out).tolist()], pa.int64()), pa.array(counts, pa.int64())],
+                ["gram", "n"])
+    return run
 
 
-def _count_ngrams(shared, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _count_hot(shared, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        vocabulary = shared.value
+        hashes, keys = WordHashes(), shared.value
+        counts = np.zeros(len(keys), np.int64)
         for batch in batches_by_size(batches, "text", BATCH_BYTES):
-            found = [_ngrams(words, size) for words in map(vocabulary.coded, batch["text"].to_pylist())
-                     for size in range(2, order + 1)]
-            gram, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], ["gram", "n"])
+            for _, gram, _, _ in Grams(batch["text"].to_pylist(), hashes).each(order):
+                at, hot = _found(keys, gram)
+                counts += np.bincount(at[hot], minlength=len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["gram", "n"])
     return run
 
 
-EXPLODED = "row long, gram long, n long, log double, doc_id {}, words long"
+PACKED = "bucket long, blob binary, row long, doc_id {}, words long, log double, shared long"
 
 
-def _explode(shared, order: int, hot
+def _explode(shared, order: int, total: int, bits: int
              ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Per document: a row for each of its n-grams, and one for the document itself.
-
-    The latter has a gram below zero of its own, the score of the words alone
-    with the gains of the hot n-grams, and how many of those there are.
-    """
+    """A row per document with what its hot n-grams give, and a blob for each bucket."""
     def run(batches):
-        vocabulary, (hot_grams, hot_gains) = shared.value, hot.value
-        least = (order - 1) * np.log(ALPHA)
+        hashes, (keys, counts) = WordHashes(), shared.value
+        logs = np.log(counts)
         for batch in batches_by_size(batches, "text", BATCH_BYTES):
-            rows, grams, counts, logs, sizes = [], [], [], [], []
-            numbers = batch["row"].to_pylist()
-            for row, text in zip(numbers, batch["text"].to_pylist()):
-                words = vocabulary.coded(text)
-                # A word near the start has fewer contexts to back off from.
-                missing = sum(max(order - 1 - k, 0) for k in range(min(len(words), order - 1)))
-                own = len(words) * least - missing * np.log(ALPHA) + vocabulary.logs[words].sum()
-                gram, n = np.unique(np.concatenate([_ngrams(words, k) for k in range(2, order + 1)] or [words[:0]]),
-                                    return_counts=True)
-                at = np.searchsorted(hot_grams, gram)
-                at[at == len(hot_grams)] = 0
-                is_hot = hot_grams[at] == gram if len(hot_grams) else np.zeros(len(gram), bool)
-                own += (hot_gains[at[is_hot]] * n[is_hot]).sum() if is_hot.any() else 0.0
-                rows.append(np.full(1 + (~is_hot).sum(), row))
-                grams += [[-1 - row], gram[~is_hot]]
-                counts += [[n[is_hot].sum()], n[~is_hot]]
-                logs.append(own)
-                sizes.append(len(words))
-            if not numbers:
-                continue
-            lengths = np.array([len(r) for r in rows])
-            first = np.cumsum(lengths) - lengths
-            size = int(lengths.sum())
-            log, words_in, place = np.zeros(size), np.zeros(size, np.int64), np.full(size, -1)
-            log[first], words_in[first], place[first] = logs, sizes, np.arange(len(first))
-            ids = batch["doc_id"].take(pa.array(place, mask=place < 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows).astype(np.int64)), pa.array(np.concatenate(grams).astype(np.int64)),
-                 pa.array(np.concatenate(counts).astype(np.int64)), pa.array(log), ids,
-                 pa.array(words_in)], ["row", "gram", "n", "log", "doc_id", "words"])
+            rows = batch["row"].to_numpy()
+            grams = Grams(batch["text"].to_pylist(), hashes)
+            log = np.where(grams.sizes > 0, -np.log(max(total, 1)), 0.0)
+            elsewhere = np.zeros(len(rows), np.int64)
+            groups = []
+            for sign, (gram, text, n) in zip((1, -1, 0), exploded(grams, order)):
+                at, hot = _found(keys, gram)
+                if sign:
+                    log += sign * np.bincount(text[hot], n[hot] * logs[at[hot]], len(rows))
+                if sign > 0:
+                    wide = hot & (counts[at] > n) if len(keys) else hot
+                    elsewhere += np.bincount(text[wide], n[wide], len(rows)).astype(np.int64)
+                groups.append((gram[~hot], rows[text[~hot]] if sign else text[~hot], n[~hot]))
+            yield _packed(-1 - rows % SPREAD, [None] * len(rows), rows, batch["doc_id"], grams.sizes, log, elsewhere)
+            yield _blobs(dealt(groups, bits), batch["doc_id"].type)
     return run
 
 
-def _gains(counts: DataFrame, singles: DataFrame, order: int, total: int) -> DataFrame:
-    """``gram, n, gain`` of all kept n-grams; ``singles`` has ``gram, n`` of the vocabulary."""
-    mask = F.lit((1 << WORD_BITS) - 1).cast("long")
-    # The vocabulary is bounded.
-    known = F.broadcast(singles)
-    size = F.when(F.col("gram") < F.lit(1 << 2 * WORD_BITS).cast("long"), 2).otherwise(3)
-    pairs = counts.where(size == 2) if order > 2 else counts
-    before = known.select(F.col("gram").alias("before"), F.col("n").alias("n_before"))
-    last = known.select(F.col("gram").alias("last"), F.col("n").alias("n_last"))
-    made = (pairs.withColumn("before", F.shiftright("gram", WORD_BITS)).withColumn("last", F.col("gram").bitwiseAND(mask))
-            .join(before, "before").join(last, "last")
-            .withColumn("log", F.ln(F.col("n") / F.col("n_before"))))
-    gains = made.select("gram", "n", (F.col("log") - F.ln(F.lit(ALPHA) * F.col("n_last") / F.lit(total))).alias("gain"))
-    if order > 2:
-        wide = F.lit((1 << 2 * WORD_BITS) - 1).cast("long")
-        triples = (counts.where(size == 3).withColumn("before", F.shiftright("gram", WORD_BITS))
-                   .withColumn("last", F.col("gram").bitwiseAND(wide)))
-        context = pairs.select(F.col("gram").alias("before"), F.col("n").alias("n_before"))
-        shorter = made.select(F.col("gram").alias("last"), F.col("log").alias("shorter"))
-        gains = gains.unionByName(triples.join(context, "before").join(shorter, "last").select(
-            "gram", "n", (F.ln(F.col("n") / F.col("n_before")) - F.ln(F.lit(ALPHA)) - F.col("shorter")).alias("gain")))
-    return gains
-
-
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
-          least_count: int = LEAST_COUNT, vocabulary: int = VOCABULARY) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_found, log_score``.
+def _packed(bucket, blob, row, doc_id, words, log, shared) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int64()), pa.array(blob, pa.binary()), pa.array(row, pa.int64()), doc_id,
+         pa.array(words, pa.int64()), pa.array(log, pa.float64()), pa.array(shared, pa.int64())],
+        ["bucket", "blob", "row", "doc_id", "words", "log", "shared"])
+
+
+def _blobs(made: Iterator[tuple[int, bytes]], kind: pa.DataType) -> pa.RecordBatch:
+    found = list(made)
+    none = pa.nulls(len(found), pa.int64())
+    return _packed([b for b, _ in found], [x for _, x in found], none, pa.nulls(len(found), kind), none,
+                   pa.nulls(len(found), pa.float64()), none)
+
+
+def _joined(groups: list[list[Entries]]) -> list[Entries]:
+    """The same group of several blobs as one, in order of hash."""
+    out = []
+    for parts in zip(*groups):
+        gram, row, n = map(np.concatenate, zip(*parts))
+        order = np.argsort(gram, kind="stable")
+        out.append((gram[order], row[order], n[order]))
+    return out
+
+
+def _deal_again(done: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Buckets by ``done`` bits, one after the other, into smaller ones by ``bits`` more."""
+    def deal(bucket, blobs, kind):
+        # Inside a bucket the first bits are the same.
+        groups = [(g << np.uint64(done), r, n) for g, r, n in _joined([unpack(b) for b in blobs])]
+        parts = []
+        for b, blob in dealt(groups, bits):
+            back = [((g >> np.uint64(done)) | np.uint64(bucket << 64 - done), r, n) for g, r, n in unpack(blob)]
+            parts.append(((bucket << bits) + b, pack(tuple(back))))
+        return _blobs(iter(parts), kind)
+
+    def run(batches):
+        bucket, blobs, size = None, [], 0
+        kind = None
+        for batch in batches:
+            kind = batch["doc_id"].type
+            own = batch.filter(pa.compute.less(batch["bucket"], 0))
+            if own.num_rows:
+                yield own
+            for b, blob in zip(batch["bucket"].to_pylist(), batch["blob"].to_pylist()):
+                if b < 0:
+                    continue
+                if blobs and (b != bucket or size >= BATCH_BYTES * 8):
+                    yield deal(bucket, blobs, kind)
+                    blobs, size = [], 0
+                bucket, size = b, size + len(blob)
+                blobs.append(blob)
+        if blobs:
+            yield deal(bucket, blobs, kind)
+    return run
+
+
+def bucket_sums(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count table of a bucket, joined to its n-grams: per document the logs and how many stand elsewhere, too."""
+    groups = [unpack(b) for b in blobs]
+    parts = [part for kind in zip(*groups) for part in kind]
+    sizes = [sum(len(g[k][0]) for g in groups) for k in range(3)]
+    gram, row, n = map(np.concatenate, zip(*parts))
+    _, at = np.unique(gram, return_inverse=True)
+    counts = np.bincount(at, n)[at]
+    scored = sizes[0] + sizes[1]
+    rows, own = np.unique(row[:scored], return_inverse=True)
+    log = np.log(counts[:scored]) * n[:scored]
+    log[sizes[0]:] *= -1
+    wide = n[:sizes[0]] * (counts[:sizes[0]] > n[:sizes[0]])
+    return (rows, np.bincount(own, log, len(rows)),
+            np.bincount(own[:sizes[0]], wide, len(rows)).astype(np.int64))
+
+
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents' own rows as they are, and those of each bucket; buckets come one after the other."""
+    def made(blobs, kind):
+        rows, log, shared = bucket_sums(blobs)
+        none = pa.nulls(len(rows), pa.int64())
+        return _packed(none, pa.nulls(len(rows), pa.binary()), rows, pa.nulls(len(rows), kind), none, log, shared)
+
+    bucket, blobs, kind = None, [], None
+    for batch in batches:
+        kind = batch["doc_id"].type
+        own = batch.filter(pa.compute.less(batch["bucket"], 0))
+        if own.num_rows:
+            yield own
+        for b, blob in zip(batch["bucket"].to_pylist(), batch["blob"].to_pylist()):
+            if b < 0:
+                continue
+            if blobs and b != bucket:
+                yield made(blobs, kind)
+                blobs = []
+            bucket = b
+            blobs.append(blob)
+    if blobs:
+        yield made(blobs, kind)
+
+
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_shared, log_score``.
 
     Words are runs of non-blanks in the lower-cased text (A-Z). ``log_score`` is
-    the sum of the natural logs of all words' scores, ``n_found`` how many n-grams
-    of two words (and of three, with ``order`` 3) were in the tables. A document's
-    first words have shorter contexts. ``vocabulary`` and ``least_count`` are those
-    above. A null or empty text has no words and the score 0. Rows, repeated ones
-    too, are counted and answered one by one; other columns are not read. An empty
-    table gives an empty result.
+    the sum of the natural logs of all words' scores with contexts of up to
+    ``order`` - 1 words; a document's first words have shorter ones. ``n_shared``
+    is how many of its n-grams of ``order`` words (of a shorter text: the whole
+    sequence) stand elsewhere in the corpus, too. A null or empty text has no
+    words and the score 0. Texts are read whole, however long; a very long one is
+    a batch of its own. Rows, repeated ones too, are counted and answered one by
+    one; other columns are not read. An empty table gives an empty result.
     """
-    if order not in (2, 3):
-        raise ValueError("order must be 2 or 3")
-    spark = docs.sparkSession
+    if order < 2:
+        raise ValueError("order must be 2 or more")
+    context = docs.sparkSession.sparkContext
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     texts = read.select("text")
-    singles = durable(texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(
-        F.sum("n").alias("n")), "words")
-    total = singles.agg(F.sum("n")).first()[0] or 0
-    common = F.col("n") * vocabulary >= total
-    rare = singles.where(~common).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    kept = positions(singles.where(common), [F.desc("n"), "word"], "place")
-    known = durable(kept.select((F.col("place") + 1).alias("gram"), "word", "n"), "vocabulary")
-    rows = [(bytes(r["word"]), r["n"]) for r in known.orderBy("gram").toLocalIterator()]
-    shared = spark.sparkContext.broadcast(Vocabulary(rows, total, *rare))
-
-    counts = durable(texts.mapInArrow(_count_ngrams(shared, order), "gram long, n long").groupBy("gram").agg(
-        F.sum("n").alias("n")).where(F.col("n") >= least_count), "counts")
-    gains = durable(_gains(counts, known.select("gram", "n"), order, total), "gains")
-    # Less than HOT_SHARE n-grams of each size have more than this share of all.
-    limit = max(1_000, -(-total // HOT_SHARE))
-    hot = sorted((r["gram"], r["gain"]) for r in gains.where(F.col("n") > limit).select("gram", "gain").collect())
-    arrays = (np.array([g for g, _ in hot], np.int64), np.array([v for _, v in hot], np.float64))
-    numbered = read.withColumn("row", F.monotonically_increasing_id())
-    kind = read.schema["doc_id"].dataType
-    exploded = numbered.mapInArrow(
-        _explode(shared, order, spark.sparkContext.broadcast(arrays)), EXPLODED.format(kind.simpleString()))
-    own = F.col("gram") < 0
-    met = exploded.join(gains.where(F.col("n") <= limit).select("gram", "gain"), "gram", "left")
-    return met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("words").alias("n_words"),
-        F.sum(F.when(own | F.col("gain").isNotNull(), F.col("n")).otherwise(0)).alias("n_found"),
-        F.sum(F.when(own, F.col("log")).otherwise(F.coalesce("gain", F.lit(0.0)) * F.col("n"))).alias("log_score"),
-    ).drop("row")
+    often = durable(texts.mapInArrow(_frequent(order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")),
+                    "frequent")
+    total = often.where(F.col("gram").isNull()).agg(F.sum("n")).first()[0] or 0
+    # Less than 2 * HOT_SHARE n-grams of each size.
+    hot = often.where(F.col("gram").isNotNull() & (F.col("n") > max(HOT_ROWS, total // (2 * HOT_SHARE)))).collect()
+    keys = np.sort(np.array([r["gram"] for r in hot], np.int64).view(np.uint64))
+    exact = (texts.mapInArrow(_count_hot(context.broadcast(keys), order), "gram long, n long")
+             .groupBy("gram").agg(F.sum("n").alias("n")).collect()) if len(keys) else []
+    known = {r["gram"]: r["n"] for r in exact}
+    counts = np.array([known[k] for k in keys.view(np.int64).tolist()], np.int64)
 
+    bits = max(0, (total * order // BUCKET_GRAMS).bit_length())
+    done = min(bits, FAN_BITS)
+    kind = read.schema["doc_id"].dataType.simpleString()
+    schema = PACKED.format(kind)
+    packed = read.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        _explode(context.broadcast((keys, counts)), order, total, done), schema)
+    while done < bits:
+        more = min(bits - done, FAN_BITS)
+        packed = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _deal_again(done, more), schema)
+        done += more
+    sums = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum, schema)
+    return sums.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("words").alias("n_words"), F.sum("shared").alias("n_shared"),
+        F.sum("log").alias("log_score")).drop("row")

@@ -66,7 +66,7 @@ def op7_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = backoff_lm.score(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_found", F.round("log_score", 4).alias("log_score"))
+    return found.select("doc_id", "n_words", "n_shared", F.round("log_score", 4).alias("log_score"))
 
 
 def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,32 +340,32 @@ found AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    # Every n-gram is in the tables, so the rule's first case always holds.
     "op8_backoff_lm": rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{_UPPER}', '{_LOWER}'),
-                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
-tokens AS (SELECT doc_id, i, w[i] AS word, w[i - 1] AS before
-           FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-total AS (SELECT count(*) AS n FROM tokens),
-words AS (SELECT word, count(*) AS n, count(*) * {backoff_lm.VOCABULARY} >= (SELECT n FROM total) AS common
-          FROM tokens GROUP BY word),
-rare AS (SELECT sum(n) / count(*) AS n FROM words WHERE NOT common),
-pairs AS (SELECT before, word, count(*) AS n FROM tokens
-          WHERE i > 1 AND before IN (SELECT word FROM words WHERE common)
-            AND word IN (SELECT word FROM words WHERE common)
-          GROUP BY before, word HAVING count(*) >= {backoff_lm.LEAST_COUNT}),
+  SELECT doc_id, row_number() OVER () AS row, len(w) AS size, w
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{_UPPER}', '{_LOWER}'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents)),
+tokens AS (SELECT row, size, w, unnest(range(1, size + 1)) AS i FROM d),
+grams AS (
+  SELECT row, size, i, n, array_to_string(w[i - n + 1:i], ' ') AS phrase
+  FROM tokens, (SELECT unnest(range(1, {backoff_lm.ORDER} + 1)) AS n) WHERE i >= n),
+tables AS (SELECT n, phrase, count(*) AS c FROM grams GROUP BY n, phrase),
+longest AS (
+  SELECT row, i, n, phrase, array_to_string(w[i - n + 1:i - 1], ' ') AS context
+  FROM (SELECT row, w, i, least(i, {backoff_lm.ORDER}) AS n FROM tokens)
+       , LATERAL (SELECT array_to_string(w[i - n + 1:i], ' ') AS phrase)),
 scored AS (
-  SELECT t.doc_id, p.n IS NOT NULL AS found,
-         CASE WHEN p.n IS NOT NULL THEN ln(p.n / b.n)
-              ELSE ln(CASE WHEN w.common THEN w.n ELSE (SELECT n FROM rare) END / (SELECT n FROM total))
-                   + CASE WHEN t.i > 1 THEN ln({backoff_lm.ALPHA}) ELSE 0 END END AS log
-  FROM tokens t JOIN words w ON t.word = w.word
-  LEFT JOIN pairs p ON t.i > 1 AND t.before = p.before AND t.word = p.word
-  LEFT JOIN words b ON t.before = b.word),
-sums AS (SELECT doc_id, count_if(found) AS n_found, sum(log) AS log_score FROM scored GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_found, 0) AS BIGINT) AS n_found,
+  SELECT row, sum(ln(t.c / coalesce(b.c, (SELECT count(*) FROM tokens)))) AS log_score
+  FROM longest l JOIN tables t ON l.n = t.n AND l.phrase = t.phrase
+  LEFT JOIN tables b ON l.n > 1 AND l.n - 1 = b.n AND l.context = b.phrase GROUP BY row),
+elsewhere AS (
+  SELECT row, CAST(sum(own) AS BIGINT) AS n_shared
+  FROM (SELECT row, n, phrase, count(*) AS own FROM grams WHERE n = least(size, {backoff_lm.ORDER}) GROUP BY row, n, phrase)
+       JOIN tables USING (n, phrase) WHERE c > own GROUP BY row)
+SELECT doc_id, CAST(size AS BIGINT) AS n_words, coalesce(n_shared, 0) AS n_shared,
        round(coalesce(log_score, 0), 4) AS log_score
-FROM d LEFT JOIN sums USING (doc_id)""",
+FROM d LEFT JOIN scored USING (row) LEFT JOIN elsewhere USING (row)""",
     "op7_bloom_dedup": r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce("text", ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
