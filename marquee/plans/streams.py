@@ -168,6 +168,14 @@ def stream_messages(spark: SparkSession, folder: str) -> DataFrame:
         "errors").agg(F.count("*").alias("messages"))
 
 
+def stream_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Fifths of the time, each checked for users' repeated events of a kind on a movie, against all before it too."""
+    query, index = jobs.check_arrivals(_stream(spark, folder, even=True), scratch_path(spark, "arrivals"),
+                                       ["user_idx", "movie_idx", "event_type"])
+    query.awaitTermination()
+    return index.read()
+
+
 def stream_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Events written as JSON messages, streamed back and parsed."""
     path = scratch_path(spark, "messages")
@@ -264,7 +272,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stream_push, stream_windowed_24h, stream_windowed_features, stream_event_types, stream_totals, stream_recent, stream_summary,
     stream_json_roundtrip, stream_dedup, stream_sessions, batch_sessions, stream_count_window,
     batch_count_window, stream_validated, event_rate, stream_count_window_spread, stream_features_24h,
-    stream_late_rows, stream_summaries, stream_messages, stream_user_activity_buckets)}
+    stream_late_rows, stream_summaries, stream_messages, stream_user_activity_buckets, stream_arrivals)}
 
 _SESSIONS = """marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_idx ORDER BY ts)
     <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM ev),
@@ -274,6 +282,11 @@ sess AS (SELECT user_idx, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_star
     FROM grouped GROUP BY user_idx, s)"""
 
 
+# The fifths of the time that micro-batches hold.
+_PARTED = """ends AS (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM ev),
+parted AS (SELECT ev.*, CAST(floor((epoch_us(ts) - a) * 5 / (b - a + 1)) AS BIGINT) AS batch FROM ev, ends)"""
+
+
 def _time(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d %H:%M:%S') AS {column}"
 
@@ -348,9 +361,16 @@ ORACLES: dict[str, str] = {
             (SELECT event_type, sum(n)::BIGINT AS n FROM counts c WHERE c.batch <= b.batch GROUP BY 1)) AS total_per_type
         FROM (SELECT batch, count(DISTINCT user_idx) AS active_users,
                      count(DISTINCT movie_idx) FILTER (event_type IN ('view', 'click')) AS popular_movies
-              FROM parted GROUP BY 1) b""", EVENTS, """ends AS (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM ev),
-parted AS (SELECT ev.*, CAST(floor((epoch_us(ts) - a) * 5 / (b - a + 1)) AS BIGINT) AS batch FROM ev, ends),
-counts AS (SELECT batch, event_type, count(*) AS n FROM parted GROUP BY 1, 2)"""),
+              FROM parted GROUP BY 1) b""", EVENTS, _PARTED, """counts AS (SELECT batch, event_type, count(*) AS n FROM parted GROUP BY 1, 2)"""),
+    "stream_arrivals": sql("""SELECT batch AS arrival, sum(m)::BIGINT AS element_count,
+        coalesce(sum(m) FILTER (WHERE lost), 0)::BIGINT AS missing_count,
+        coalesce(sum(m) FILTER (WHERE NOT lost AND n > 1), 0)::BIGINT AS repeated_rows,
+        coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END - CASE WHEN n - m > 1 THEN n - m ELSE 0 END)
+                 FILTER (WHERE NOT lost), 0)::BIGINT AS more_repeated
+        FROM (SELECT *, sum(m) OVER (PARTITION BY user_idx, movie_idx, event_type ORDER BY batch) AS n,
+                     user_idx IS NULL OR movie_idx IS NULL OR event_type IS NULL AS lost
+              FROM (SELECT user_idx, movie_idx, event_type, batch, count(*) AS m FROM parted GROUP BY ALL)) GROUP BY 1""",
+        EVENTS, _PARTED),
     "stream_messages": sql("""SELECT CASE WHEN event_id % 5 = 0 THEN 'Message holds no event'
         WHEN event_id % 7 = 0 THEN 'Missing required field: event_type' ELSE '' END AS errors, count(*) AS messages
         FROM ev GROUP BY 1""", EVENTS),

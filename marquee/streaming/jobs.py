@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.functions.scalars import micros
 from marquee.operators.validate import EVENT_TYPES, good_and_bad, validate_events
 from marquee.sources import kafka
+from marquee.streaming.arrivals import KeyIndex
 from marquee.streaming.counters import (
     LATENESS, batch_metrics, batch_summary, entity_features, feature_panes, movie_rows, user_rows, window_features,
     with_totals)
@@ -99,6 +100,13 @@ def keep_summaries(events: DataFrame, path: str, last: int = 3, checkpoint: str
     return start(batch_metrics(events), write, "append", checkpoint, every), table
 
 
+def check_arrivals(rows: DataFrame, path: str, keys: Sequence[str], bucket: Column | None = None,
+                   checkpoint: str | None = None, every: str | None = None) -> tuple[StreamingQuery, KeyIndex]:
+    """Check each micro-batch's keys against all rows that came before it."""
+    index = KeyIndex(rows.sparkSession, path, keys, bucket)
+    return start(rows, index.write, "append", checkpoint, every), index
+
+
 def split_messages(messages: DataFrame, path: str, now: float | None = None,
                    allowed_types: Sequence[str] = EVENT_TYPES, checkpoint: str | None = None,
                    every: str | None = None) -> tuple[StreamingQuery, BatchTable, BatchTable]:

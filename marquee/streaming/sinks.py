@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from marquee.operators.store import latest_per_key
@@ -132,14 +132,18 @@ class BucketedTable:
     Each push has a version of its own: the touched buckets, written anew, and a
     manifest that says which version every bucket is of. A replayed push starts
     from the manifest before it and writes the same version again; readers see
-    a push once its manifest is there, so never half of it.
+    a push once its manifest is there, so never half of it. ``bucket`` is another
+    whole number to go by, which must follow from the key: a day in it, for
+    instance, where pushes hold few days.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
-        self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64,
+                 bucket: Column | None = None):
+        self.spark, self.path, self.keys = spark, path, list(keys)
+        self.bucket = F.pmod(F.xxhash64(*self.keys), F.lit(buckets)) if bucket is None else bucket
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        return rows.withColumn("_bucket", self.bucket.cast("int"))
 
     def versions(self, before: int | None = None) -> dict[int, int]:
         """Bucket to version: one small number each."""
@@ -178,11 +182,17 @@ class BucketedTable:
             raise MissingTable(self.path)
         return self.spark.read.parquet(*self._folders(versions))
 
-    def lookup(self, wanted: DataFrame) -> DataFrame:
-        """Rows of the keys in ``wanted``, from the buckets that can hold them."""
+    def lookup(self, wanted: DataFrame, before: int | None = None, schema: str | None = None) -> DataFrame:
+        """Rows of the keys in ``wanted``, from the buckets that can hold them; as they were ``before`` a push.
+
+        With ``schema`` a table without rows so far gives none.
+        """
         some = [b for b, in self._bucketed(wanted).select("_bucket").distinct().collect()]
-        versions = {b: v for b, v in self.versions().items() if b in some}
-        rows = self.spark.read.parquet(*self._folders(versions)) if versions else self.read().limit(0)
+        versions = {b: v for b, v in self.versions(before).items() if b in some}
+        if versions:
+            rows = self.spark.read.parquet(*self._folders(versions))
+        else:
+            rows = self.spark.createDataFrame([], schema) if schema else self.read().limit(0)
         return rows.join(wanted.select(*self.keys).distinct(), self.keys, "left_semi")
 
     def unused(self) -> list[int]:
