@@ -51,6 +51,29 @@ def test_more_asked_than_there_is(world):
     assert got.count() == N_USERS * N_ITEMS - len(world["seen_set"])
 
 
+@pytest.mark.parametrize("decimals", [None, 3])
+def test_blocks_that_cannot_matter_are_spared(spark, decimals):
+    """Vectors of a trained model: the same rows as all products give, with fewer products."""
+    rng = np.random.default_rng(8)
+    pairs = {(int(u), int(i)) for u, i in zip(rng.integers(0, 120, 4000), 300 * rng.random(4000) ** 3)}
+    model = recommend.train(spark.createDataFrame([(u, i, 1.0) for u, i in sorted(pairs)],
+                                                  "user_idx long, movie_idx long, weight double"), rank=6, maxIter=4)
+    users, items = recommend.user_factors(model), recommend.item_factors(model)
+    left, right = ({r[0]: np.array(r[1]) for r in side.collect()} for side in (users, items))
+    spared = spark.sparkContext.accumulator(0)
+    some = scoring.best_items(users, items, 5, decimals=decimals, item_block=20, spared=spared)
+    got = {}
+    for u, i, score in recommend.top_n(some, 5).select("user_idx", "movie_idx", "score").collect():
+        got.setdefault(u, []).append((-score, i))
+    for u, vector in left.items():
+        scores = {i: float(vector @ v) for i, v in right.items()}
+        scores = {i: s if decimals is None else round(s, decimals) for i, s in scores.items()}
+        want = sorted((-s, i) for i, s in scores.items())[:5]
+        assert np.allclose(sorted(s for s, _ in got[u]), [s for s, _ in want], atol=1e-9)
+        assert {i for _, i in got[u]} == {i for _, i in want}
+    assert 0 < spared.value < len(left) * -(-len(right) // 20)
+
+
 def test_auc_equals_all_pairs(world, blocks, spark):
     positives = {(u, (u * 7 + j * 11) % N_ITEMS) for u in range(N_USERS - 1) for j in range(1 + u % 4)}
     pos = spark.createDataFrame(sorted(positives), "user_idx long, movie_idx long")
