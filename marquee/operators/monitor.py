@@ -21,7 +21,7 @@ def _ok() -> Column:
     return F.col("status") == 200
 
 
-def _seconds(span: str) -> float:
+def seconds(span: str) -> float:
     return pd.Timedelta(span).total_seconds()
 
 
@@ -53,15 +53,15 @@ def request_rate(log: DataFrame, window: str = "5 minutes", by: Sequence[str] =
     else:
         panes = _windowed(good, window).withColumn("requests", F.lit(1))
     counts = panes.groupBy("window_start", *by).agg(F.sum("requests").cast("long").alias("requests"))
-    return counts.withColumn("rate", F.col("requests") * (_seconds(per) / _seconds(window)))
+    return counts.withColumn("rate", F.col("requests") * (seconds(per) / seconds(window)))
 
 
 def spread_panes(panes: DataFrame, start: str, window: str, slide: str) -> DataFrame:
     """Copy each pre-aggregated pane into every sliding window that covers it."""
-    steps = round(_seconds(window) / _seconds(slide))
-    if steps * _seconds(slide) != _seconds(window):
+    steps = round(seconds(window) / seconds(slide))
+    if steps * seconds(slide) != seconds(window):
         raise ValueError("the window must be a whole number of slides")
-    step = F.expr(f"INTERVAL {round(_seconds(slide))} SECOND")
+    step = F.expr(f"INTERVAL {round(seconds(slide))} SECOND")
     return panes.withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))).withColumn(
         start, F.col(start) - step * F.col("_back")).drop("_back")
 
@@ -81,6 +81,24 @@ def bucket_counts(df: DataFrame, value: str, bounds: Sequence[float], by: Sequen
     return counted.select(*by, F.inline(F.array(*rows)))
 
 
+def _bucket_counters(value: Column, bounds: Sequence[float]) -> list[Column]:
+    return [*[F.count_if(value <= b).alias(f"_le_{i}") for i, b in enumerate(bounds)], F.count(value).alias("_all")]
+
+
+def _bucket_estimate(bounds: Sequence[float], p: float) -> Column:
+    """The quantile from those counters: linear inside the first bucket that reaches its rank."""
+    rank = F.col("_all") * F.lit(p)
+    found = None
+    for i, b in enumerate(bounds):
+        low = F.lit(float(bounds[i - 1]) if i else 0.0)
+        below = F.col(f"_le_{i - 1}") if i else F.lit(0)
+        inside = F.col(f"_le_{i}") - below
+        here = low + (F.lit(float(b)) - low) * F.try_divide(rank - below, inside)
+        hit = (F.col(f"_le_{i}") >= rank) & (inside > 0)
+        found = F.when(hit, here) if found is None else found.when(hit, here)
+    return F.when(F.col("_all") > 0, found.otherwise(F.lit(float(bounds[-1]))))
+
+
 def bucket_quantiles(df: DataFrame, value: str, bounds: Sequence[float], by: Sequence[str] = (),
                      probabilities: dict[str, float] = QUANTILES) -> DataFrame:
     """Quantiles estimated inside fixed buckets, linear between the bounds.
@@ -88,23 +106,8 @@ def bucket_quantiles(df: DataFrame, value: str, bounds: Sequence[float], by: Seq
     A fixed number of counters per group, whatever its size: the form for
     dashboards over very large logs. A rank beyond the last bound gives it.
     """
-    counted = df.groupBy(*by).agg(
-        *[F.count_if(F.col(value) <= b).alias(f"_le_{i}") for i, b in enumerate(bounds)],
-        F.count(value).alias("_all"))
-
-    def estimate(p: float) -> Column:
-        rank = F.col("_all") * F.lit(p)
-        found = None
-        for i, b in enumerate(bounds):
-            low = F.lit(float(bounds[i - 1]) if i else 0.0)
-            below = F.col(f"_le_{i - 1}") if i else F.lit(0)
-            inside = F.col(f"_le_{i}") - below
-            here = low + (F.lit(float(b)) - low) * F.try_divide(rank - below, inside)
-            hit = (F.col(f"_le_{i}") >= rank) & (inside > 0)
-            found = F.when(hit, here) if found is None else found.when(hit, here)
-        return F.when(F.col("_all") > 0, found.otherwise(F.lit(float(bounds[-1]))))
-
-    return counted.select(*by, *[estimate(p).alias(n) for n, p in probabilities.items()])
+    counted = df.groupBy(*by).agg(*_bucket_counters(F.col(value), bounds))
+    return counted.select(*by, *[_bucket_estimate(bounds, p).alias(n) for n, p in probabilities.items()])
 
 
 def request_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -124,29 +127,34 @@ def success_ratio(log: DataFrame, window: str = "5 minutes") -> DataFrame:
 
 
 def errors_per_minute(log: DataFrame, window: str = "5 minutes") -> DataFrame:
-    minutes = _seconds(window) / 60
+    minutes = seconds(window) / 60
     return _windowed(log, window).groupBy("window_start").agg(
         (F.count_if(F.col("status") == 500) / minutes).alias("errors_per_minute"))
 
 
-def alert_state(log: DataFrame, window: str = "5 minutes", endpoint: str | None = None) -> DataFrame:
-    """Green, yellow or red per window, for p95 latency and for the success ratio.
-
-    With ``endpoint``, latency is that of its requests only; success is always over all.
-    """
-    timed = log if endpoint is None else log.where(F.col("endpoint") == endpoint)
-    p95 = bucket_quantiles(_windowed(timed, window), "latency_s", LATENCY_BOUNDS,
-                           ["window_start"], {"p95": 0.95})
-    joined = p95.join(success_ratio(log, window), "window_start", "full")
+def alert_frames(log: DataFrame, window: str = "5 minutes", endpoint: str | None = None) -> DataFrame:
+    """``alert_state`` with the whole window as ``frame``, from one aggregation that a stream can run, too."""
+    timed = F.col("latency_s") if endpoint is None else F.when(F.col("endpoint") == endpoint, F.col("latency_s"))
+    counted = log.groupBy(F.window("ts", window).alias("frame")).agg(
+        *_bucket_counters(timed, LATENCY_BOUNDS), (F.count_if(_ok()) / F.count("*")).alias("success_ratio"))
+    rated = counted.withColumn("p95", _bucket_estimate(LATENCY_BOUNDS, 0.95))
     latency, ratio = F.col("p95"), F.col("success_ratio")
-    return joined.select(
-        "window_start", "p95", "success_ratio",
+    return rated.select(
+        "frame", "p95", "success_ratio",
         F.when(latency >= LATENCY_RED, "red").when(latency >= LATENCY_YELLOW, "yellow")
         .when(latency.isNotNull(), "green").alias("latency_state"),
         F.when(ratio >= SUCCESS_GREEN, "green").when(ratio >= SUCCESS_YELLOW, "yellow")
         .when(ratio.isNotNull(), "red").alias("success_state"))
 
 
+def alert_state(log: DataFrame, window: str = "5 minutes", endpoint: str | None = None) -> DataFrame:
+    """Green, yellow or red per window, for p95 latency and for the success ratio.
+
+    With ``endpoint``, latency is that of its requests only; success is always over all.
+    """
+    return alert_frames(log, window, endpoint).select(F.col("frame.start").alias("window_start"), "*").drop("frame")
+
+
 def in_progress(log: DataFrame) -> DataFrame:
     """Requests running at each instant at which one starts or ends.
 

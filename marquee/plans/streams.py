@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.functions.scalars import timestamp_to_iso
-from marquee.plans import validation
-from marquee.plans.common import EVENTS, Query, rounded, sql, time_texts
+from marquee.plans import monitoring, validation
+from marquee.plans.common import EVENTS, LOG, Query, rounded, sql, time_texts
 from marquee.plans.featuring import GENRED
 from marquee.session import scratch_path
 from marquee.sources import kafka, proxies
-from marquee.streaming import counters, jobs, sinks, windows
+from marquee.streaming import alerts, counters, jobs, sinks, windows
 
 WINDOW, SLIDE = "24 hours", "6 hours"
 COUNT_SIZE = 10
 GAP = "6 hours"
 LATENESS = "12 hours"
+ALERT_WINDOW, ALERT_HOLD = "1 hour", "4 hours"
 
 
 # Streams read the events from so many files, one per micro-batch.
@@ -244,6 +245,27 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().agg(F.count("*").alias("kept"), F.lit(sinks.late_rows(query)).cast("long").alias("late_rows"))
 
 
+def _ticked_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The request log as a stream whose watermark passes the last window."""
+    ticked = _stream(spark, folder, tick="2 days").withWatermark("ts", LATENESS)
+    return proxies.as_requests(ticked.where((F.col("event_type") != proxies.TICK) | F.col("ts").isNull()))
+
+
+def stream_alert_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The states of each hour, as its window leaves the stream."""
+    rows = _appended(spark, alerts.window_states(_ticked_log(spark, folder), ALERT_WINDOW, lateness=None))
+    return time_texts(rounded(rows.select(F.col("frame.start").alias("window_start"), "p95", "success_ratio",
+                                          "latency_state", "success_state")), "window_start")
+
+
+def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts that fire when a panel stays red for four hours."""
+    with sinks.rocksdb_state(spark):
+        rows = _appended(spark, alerts.alert_changes(_ticked_log(spark, folder), ALERT_HOLD, ALERT_WINDOW,
+                                                     lateness=None))
+    return time_texts(rows, "at", "since")
+
+
 def batch_count_window(spark: SparkSession, folder: str) -> DataFrame:
     return time_texts(windows.count_windows(proxies.events(spark, folder), "user_idx", COUNT_SIZE),
                       "first_ts", "last_ts")
@@ -272,7 +294,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stream_push, stream_windowed_24h, stream_windowed_features, stream_event_types, stream_totals, stream_recent, stream_summary,
     stream_json_roundtrip, stream_dedup, stream_sessions, batch_sessions, stream_count_window,
     batch_count_window, stream_validated, event_rate, stream_count_window_spread, stream_features_24h,
-    stream_late_rows, stream_summaries, stream_messages, stream_user_activity_buckets, stream_arrivals)}
+    stream_late_rows, stream_summaries, stream_messages, stream_user_activity_buckets, stream_arrivals,
+    stream_alert_state, stream_alerts)}
 
 _SESSIONS = """marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_idx ORDER BY ts)
     <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM ev),
@@ -374,6 +397,21 @@ ORACLES: dict[str, str] = {
     "stream_messages": sql("""SELECT CASE WHEN event_id % 5 = 0 THEN 'Message holds no event'
         WHEN event_id % 7 = 0 THEN 'Missing required field: event_type' ELSE '' END AS errors, count(*) AS messages
         FROM ev GROUP BY 1""", EVENTS),
+    "stream_alert_state": monitoring.ORACLES["alert_state"],
+    "stream_alerts": sql(f"""SELECT panel, change, strftime(t, '%Y-%m-%d %H:%M:%S') AS "at", {_time("since")} FROM (
+        SELECT panel, 'pending' AS change, since AS t, since FROM red
+        UNION ALL SELECT panel, 'firing', since + INTERVAL {ALERT_HOLD}, since FROM red WHERE fires
+        UNION ALL SELECT panel, CASE WHEN fires THEN 'resolved' ELSE 'cleared' END, til, since
+        FROM red WHERE til IS NOT NULL)""",
+        f"state AS ({monitoring.ORACLES['alert_state']})", f"""ends AS (
+        SELECT 'latency' AS panel, CAST(window_start AS TIMESTAMP) + INTERVAL {ALERT_WINDOW} AS t, latency_state = 'red' AS bad
+        FROM state WHERE latency_state IS NOT NULL UNION ALL
+        SELECT 'success', CAST(window_start AS TIMESTAMP) + INTERVAL {ALERT_WINDOW}, success_state = 'red' FROM state),
+    opened AS (SELECT *, CASE WHEN bad = lag(bad) OVER (PARTITION BY panel ORDER BY t) THEN 0 ELSE 1 END AS opens FROM ends),
+    runs AS (SELECT panel, bad, n, min(t) AS since FROM
+        (SELECT *, sum(opens) OVER (PARTITION BY panel ORDER BY t) AS n FROM opened) GROUP BY 1, 2, 3),
+    red AS (SELECT *, til IS NULL OR til > since + INTERVAL {ALERT_HOLD} AS fires FROM
+        (SELECT *, lead(since) OVER (PARTITION BY panel ORDER BY n) AS til FROM runs) WHERE bad)"""),
     "batch_count_window": sql(_count_window("user_idx"), EVENTS),
     "stream_validated": validation.ORACLES["validate_events"].replace(
         "SELECT event_id, errors = '' AS valid, errors FROM", "SELECT event_id, errors FROM", 1),

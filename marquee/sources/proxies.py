@@ -118,9 +118,9 @@ def event_files(spark: SparkSession, folder: str, path: str, files: int, copies:
             ticks.write.mode("append").parquet(path)
 
 
-def request_log(spark: SparkSession, folder: str) -> DataFrame:
+def as_requests(events: DataFrame) -> DataFrame:
     """Events as served requests: error events failed, latency from the value."""
-    return events(spark, folder).select(
+    return events.select(
         F.col("event_id").alias("request_id"),
         "ts",
         F.col("event_type").alias("endpoint"),
@@ -129,5 +129,9 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
         "user_idx")
 
 
+def request_log(spark: SparkSession, folder: str) -> DataFrame:
+    return as_requests(events(spark, folder))
+
+
 def factors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
