@@ -4,27 +4,41 @@ Documents of each source are cut into blocks, and one block is scheduled per
 slot. With whole weights that add up to Q, block k of a source of weight w is
 released at slot floor(k Q / w) and due before slot ceil((k + 1) Q / w). Of the
 released blocks the one with the earliest deadline goes first, so after every
-slot each source is less than one block away from its share. The schedule
-repeats every Q slots, so only one such period is worked out; when a source runs
+slot each source is less than one block away from its share. When a source runs
 out, a new schedule begins among those that are left.
+
+Weights are taken as they are given: whole numbers of any size in their exact
+ratios, so that the deviation holds against the given weights. Which block comes
+next depends on all that came before, so slots are worked out one after the
+other, ``STEP`` of them a job, from a state of one entry per source that is
+written with the slots. What grows with the documents is a table of blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from fractions import Fraction
+from math import gcd, lcm
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.llm.common import free_name
 from marquee.operators.ordering import positions
-from marquee.session import durable
+from marquee.session import durable, scratch_path
 
 BLOCK_DOCS = 32
-# Weights become whole parts of this, one part at least.
-PARTS = 1_000
+# Slots that a job works out, and how many of them are gathered at a time.
+STEP, GATHERED = 32_768, 256
+# Weights must add up to less than this, so that products with block numbers fit 38 digits.
+MOST_PARTS = 10 ** 28
 # Sizes to this power are the weights of tempered mixing.
 TEMPER = 0.5
 
+WHOLE = "decimal(38,0)"
+SLOT = "struct<number:int,block:long,slot:long,release:long,deadline:long>"
+# Per source: its number and weight, blocks left and taken, those taken in this phase, and the window of the next.
+OWN = "struct<number:int,weight:decimal(38,0),left:long,block:long,k:long,release:long,deadline:long>"
+
 
 def tempered_weights(docs: DataFrame, source: str = "source", power: float = TEMPER) -> dict[str | None, float]:
     """A weight per source: its number of documents to ``power``. One row per source is collected."""
@@ -32,63 +46,106 @@ def tempered_weights(docs: DataFrame, source: str = "source", power: float = TEM
 
 
 def whole_weights(weights: Mapping[str | None, float]) -> dict[str | None, int]:
-    total = sum(w for w in weights.values() if w > 0)
-    return {s: max(1, round(PARTS * w / total)) for s, w in weights.items() if w > 0}
+    """The weights above zero as whole numbers in the same ratios; a float is the decimal it is written as."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items() if w > 0}
+    parts = lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * parts) for s, w in exact.items()}
+    common = gcd(*whole.values()) or 1
+    if sum(whole.values()) // common >= MOST_PARTS:
+        raise ValueError("the weights have no common measure of 28 digits: give fewer digits or whole numbers")
+    return {s: w // common for s, w in whole.items()}
 
 
 def release(k: Column, weight: Column, total: Column) -> Column:
-    return F.floor(k * total / weight).cast("long")
+    return F.call_function("div", k.cast(WHOLE) * total, weight)
 
 
 def deadline(k: Column, weight: Column, total: Column) -> Column:
-    return F.ceil((k + 1) * total / weight).cast("long")
+    return F.call_function("div", (k + 1).cast(WHOLE) * total + (weight - 1), weight)
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _next(state: Column) -> Column:
+    """One slot more: the earliest deadline among the released blocks; nothing changes once no block is left."""
+    now = state["now"] - state["start"]
+    ready = F.filter(state["own"], lambda s: (s["left"] > 0) & (s["release"] <= now))
+    first = F.array_min(F.transform(ready, lambda s: F.struct(s["deadline"], s["number"])))["number"]
+
+    def taken(number: Column) -> Column:
+        mine = F.element_at(state["own"], number + 1)
+        runs_out = mine["left"] == 1
+        rest = (state["total"] - mine["weight"]).cast(WHOLE)
+
+        def entry(s: Column, took: int, k: Column, total: Column) -> Column:
+            return F.struct(s["number"], s["weight"], (s["left"] - took).alias("left"), (s["block"] + took).alias("block"),
+                            k.alias("k"), release(k, s["weight"], total).alias("release"),
+                            deadline(k, s["weight"], total).alias("deadline"))
+
+        def after(s: Column) -> Column:
+            it, zero = s["number"] == number, F.lit(0).cast("long")
+            return (F.when(it & runs_out, entry(s, 1, zero, rest)).when(it, entry(s, 1, s["k"] + 1, state["total"]))
+                    .when(runs_out, entry(s, 0, zero, rest)).otherwise(s))
 
+        slot = F.struct(number.alias("number"), mine["block"].alias("block"), state["now"].alias("slot"),
+                        (state["start"] + mine["release"]).alias("release"),
+                        (state["start"] + mine["deadline"]).alias("deadline"))
+        return F.struct((state["now"] + 1).alias("now"),
+                        F.when(runs_out, state["now"] + 1).otherwise(state["start"]).alias("start"),
+                        F.when(runs_out, rest).otherwise(state["total"]).alias("total"),
+                        F.transform(state["own"], after).alias("own"),
+                        F.concat(state["order"], F.array(slot)).alias("order"))
 
-def one_period(spark: SparkSession, weights: list[int]) -> list[int]:
-    """The source that each slot of one period goes to: earliest deadline first among released blocks."""
-    total, own = F.lit(sum(weights)), F.array(*[F.lit(w) for w in weights])
+    return _once(first, lambda number: F.when(number.isNull(), state).otherwise(taken(number)))
 
-    def slot(state: Column, now: Column) -> Column:
-        def running(w: Column, s: Column) -> Column:
-            k = F.get(state["taken"], s)
-            return F.when((k < w) & (release(k, w, total) <= now),
-                          F.struct(deadline(k, w, total).alias("due"), s.alias("source")))
-        first = F.array_min(F.filter(F.transform(own, running), lambda r: r.isNotNull()))["source"]
-        # A list of one, so that the choice is worked out once.
-        return F.element_at(F.transform(F.array(first), lambda chosen: F.struct(
-            F.transform(state["taken"], lambda n, s: n + F.when(s == chosen, 1).otherwise(0)).alias("taken"),
-            F.concat(state["order"], F.array(chosen)).alias("order"))), 1)
 
-    start = F.struct(F.array_repeat(F.lit(0), len(weights)).alias("taken"),
-                     F.array().cast("array<int>").alias("order"))
-    made = F.aggregate(F.sequence(F.lit(0), total - 1), start, slot, lambda state: state["order"])
-    return spark.range(1).select(made.alias("order")).first()["order"]
+def _with_order(state: Column, order: Column) -> Column:
+    return F.struct(*[state[c].alias(c) for c in ("now", "start", "total", "own")], order.alias("order"))
 
 
-def plan(spark: SparkSession, blocks: Mapping[str | None, int], weights: Mapping[str | None, float]) -> DataFrame:
-    """Per source its phases: ``source, phases`` (first block, blocks, first slot, period, weight, slots in it).
+def slots(spark: SparkSession, sources: Sequence[tuple[int, int]], start: int = 0) -> DataFrame:
+    """``number, block, slot, release, deadline`` of all blocks of sources given as (whole weight, blocks).
 
-    A phase lasts until a source runs out, so there are at most as many phases as
-    sources. Sources without a weight come last, and alike.
+    Slots count from ``start``. Ties of deadlines go to the source named first.
+    A job of ``STEP`` slots reads the state that the one before it wrote, and
+    only whether a block is left reaches the driver.
     """
-    order = sorted((s for s, n in blocks.items() if n), key=lambda s: (s is not None, s))
-    whole, left, done = whole_weights(weights), dict(blocks), dict.fromkeys(order, 0)
-    rows: dict[str | None, list[tuple]] = {s: [] for s in order}
-    start = 0
-    while live := [s for s in order if left[s] and s in whole] or [s for s in order if left[s]]:
-        own = [whole.get(s, 1) for s in live]
-        period, picked = sum(own), one_period(spark, own)
-        slots = [[t for t, n in enumerate(picked) if n == k] for k in range(len(live))]
-        # The slot of each source's last block; the first of them ends the phase.
-        lasts = [(left[s] - 1) // w * period + at[(left[s] - 1) % w] for s, w, at in zip(live, own, slots)]
-        length = min(lasts) + 1
-        for s, w, at in zip(live, own, slots):
-            taken = length // period * w + sum(t < length % period for t in at)
-            rows[s].append((done[s], taken, start, period, w, at))
-            done[s], left[s] = done[s] + taken, left[s] - taken
-        start += length
-    phase = "struct<first:long,blocks:long,start:long,period:long,weight:long,slots:array<long>>"
-    return spark.createDataFrame(list(rows.items()), f"source string, phases array<{phase}>")
+    total = sum(w for w, n in sources if n)
+    own = [(i, w, n, 0, 0, 0, -(-total // w)) for i, (w, n) in enumerate(sources)]
+    none = F.array().cast(f"array<{SLOT}>")
+    state = spark.createDataFrame(
+        [((start, start, str(total), [(i, str(w), *rest) for i, w, *rest in own]),)],
+        f"state struct<now:long,start:long,total:string,own:array<{OWN.replace(WHOLE, 'string')}>>").select(
+        F.col("state").cast(f"struct<now:long,start:long,total:{WHOLE},own:array<{OWN}>>"))
+
+    def some(state: Column, _: Column) -> Column:
+        inner = F.aggregate(F.sequence(F.lit(1), F.lit(GATHERED)), _with_order(state, none), lambda s, _: _next(s))
+        return _once(inner, lambda made: _with_order(made, F.concat(state["order"], made["order"])))
+
+    folder, left = scratch_path(spark, "slots"), sum(n for _, n in sources)
+    for step in range(max(1, -(-left // STEP))):
+        rounds = F.sequence(F.lit(1), F.lit(-(-min(left, STEP) // GATHERED) or 1))
+        made = state.select(F.aggregate(rounds, _with_order(F.col("state"), none), some).alias("state"))
+        made.write.parquet(f"{folder}/step={step}")
+        state = spark.read.schema(made.schema).parquet(f"{folder}/step={step}")
+        left -= STEP
+    return spark.read.schema(made.schema).parquet(folder + "/*").select(F.inline("state.order"))
+
+
+def plan(spark: SparkSession, blocks: Sequence[tuple[str | None, int]], weights: Mapping[str | None, float]) -> DataFrame:
+    """``slots`` of the sources in ``blocks``; sources without a weight come last, and alike."""
+    whole = whole_weights(weights)
+    made, start = None, 0
+    for weighted in (True, False):
+        # A source that this turn is not about has no block in it.
+        own = [(whole.get(s, 1), n if (s in whole) == weighted else 0) for s, n in blocks]
+        if made is None or any(n for _, n in own):
+            part = slots(spark, own, start)
+            made, start = part if made is None else made.unionByName(part), start + sum(n for _, n in own)
+    return made
 
 
 def schedule(docs: DataFrame, weights: Mapping[str | None, float], doc_id: str = "doc_id", source: str = "source",
@@ -105,7 +162,9 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float], doc_id: str =
     columns, which must be free in ``docs``. An empty table gives an empty result.
 
     Only the number of rows per source reaches the driver. Rows are numbered over
-    range partitions, so a source that holds most of them is spread as well.
+    range partitions, so a source that holds most of them is spread as well, and
+    meet the table of blocks by source and block, of which each has ``block_docs``
+    rows at most.
     """
     spark = docs.sparkSession
     # Their own columns travel as one, so that no name can clash.
@@ -113,19 +172,17 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float], doc_id: str =
                          F.col(source).cast("string").alias("key"), F.col(doc_id).alias("id"))
     placed = positions(packed, ["key", "id"], "place")
     sizes = durable(placed.groupBy("key").agg(F.count("*").alias("n"), F.min("place").alias("first")), "sources")
-    blocks = {r["key"]: -(-r["n"] // block_docs) for r in sizes.collect()}
+    blocks = sorted(((r["key"], -(-r["n"] // block_docs)) for r in sizes.collect()), key=lambda b: (b[0] is not None, b[0]))
+    numbers = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(blocks)], "source string, number int")
     # One row per source.
-    known = F.broadcast(sizes.join(plan(spark, blocks, weights), F.col("key").eqNullSafe(F.col("source")))
-                        .select("source", "first", "phases"))
+    known = F.broadcast(sizes.join(numbers, F.col("key").eqNullSafe(F.col("source"))).select("source", "first", "number"))
     met = placed.join(known, F.col("key").eqNullSafe(F.col("source")))
     at = F.col("place") - F.col("first")
-    number = F.floor(at / block_docs).cast("long")
-    phase = F.element_at(F.filter("phases", lambda p: (p["first"] <= number) & (number < p["first"] + p["blocks"])), 1)
-    k, weight, period = number - phase["first"], phase["weight"], phase["period"]
-    slot = phase["start"] + F.floor(k / weight).cast("long") * period + F.get(phase["slots"], (k % weight).cast("int"))
-    made = (number, at % block_docs, slot, phase["start"] + release(k, weight, period),
-            phase["start"] + deadline(k, weight, period))
-    return met.select("whole.*", *[c.alias(n) for c, n in zip(made, names)])
+    met = met.select("whole", "number", F.floor(at / block_docs).cast("long").alias("block"),
+                     (at % block_docs).alias("offset"))
+    made = met.join(plan(spark, blocks, weights), ["number", "block"])
+    return made.select("whole.*", *[F.col(c).alias(n) for c, n in zip(
+        ("block", "offset", "slot", "release", "deadline"), names)])
 
 
 def in_order(docs: DataFrame, weights: Mapping[str | None, float], doc_id: str = "doc_id", source: str = "source",

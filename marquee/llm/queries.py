@@ -174,7 +174,8 @@ WITH RECURSIVE
 sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 whole AS (
   SELECT source, (n + {mixing.BLOCK_DOCS} - 1) // {mixing.BLOCK_DOCS} AS blocks,
-         greatest(1, CAST(round({mixing.PARTS} * sqrt(n) / (SELECT sum(sqrt(n)) FROM sizes)) AS BIGINT)) AS weight
+         -- The digits of the weight as it is written, to sixteen places.
+         CAST(replace(CAST(CAST(CAST(sqrt(n) AS VARCHAR) AS DECIMAL(38, 16)) AS VARCHAR), '.', '') AS HUGEINT) AS weight
   FROM sizes),
 lists AS (
   SELECT list(source ORDER BY source NULLS FIRST) AS sources, list(blocks ORDER BY source NULLS FIRST) AS blocks,
@@ -184,18 +185,18 @@ slots AS (
          CAST(0 AS BIGINT) AS due, blocks AS remaining, list_transform(blocks, lambda b: CAST(0 AS BIGINT)) AS taken,
          CAST(0 AS BIGINT) AS start, w FROM lists
   UNION ALL
-  SELECT slot + 1, p, start + taken[p] * total // w[p],
-         start + ((taken[p] + 1) * total + w[p] - 1) // w[p],
+  SELECT slot + 1, p, CAST(start + taken[p] * total // w[p] AS BIGINT),
+         CAST(start + ((taken[p] + 1) * total + w[p] - 1) // w[p] AS BIGINT),
          list_transform(remaining, lambda b, i: b - CAST(i = p AS BIGINT)),
          CASE WHEN remaining[p] = 1 THEN list_transform(taken, lambda t: CAST(0 AS BIGINT))
               ELSE list_transform(taken, lambda t, i: t + CAST(i = p AS BIGINT)) END,
          CASE WHEN remaining[p] = 1 THEN slot + 2 ELSE start END, w
   FROM (
-    SELECT *, list_min(list_transform(list_filter(range(1, len(w) + 1),
+    SELECT *, CAST(list_min(list_transform(list_filter(range(1, len(w) + 1),
                 lambda i: remaining[i] > 0 AND taken[i] * total // w[i] <= slot + 1 - start),
-              lambda i: (((taken[i] + 1) * total + w[i] - 1) // w[i]) * 1000000 + i)) % 1000000 AS p
+              lambda i: (((taken[i] + 1) * total + w[i] - 1) // w[i]) * 1000000 + i)) % 1000000 AS BIGINT) AS p
     FROM (SELECT *, CAST(list_sum(list_transform(w, lambda x, i: CASE WHEN remaining[i] > 0 THEN x ELSE 0 END))
-                         AS BIGINT) AS total FROM slots WHERE list_sum(remaining) > 0))),
+                         AS HUGEINT) AS total FROM slots WHERE list_sum(remaining) > 0))),
 placed AS (
   SELECT (SELECT sources FROM lists)[pick] AS source, slot, released, due,
          row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS block FROM slots WHERE slot >= 0),

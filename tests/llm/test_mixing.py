@@ -34,8 +34,11 @@ def brute(sizes, weights, block):
 
 @pytest.mark.parametrize("weights", [[1], [3, 1], [500, 300, 199, 1], [7, 7, 7], [333] * 3 + [1], [1] * 9 + [50]])
 def test_one_period_keeps_every_window(spark, weights):
-    order, total = mixing.one_period(spark, weights), sum(weights)
-    assert Counter(order) == dict(enumerate(weights))
+    total = sum(weights)
+    # Twice the blocks of a period, so that no source runs out in it.
+    made = mixing.slots(spark, [(w, 2 * w) for w in weights]).where(f"slot < {total}").orderBy("slot").collect()
+    order = [r["number"] for r in made]
+    assert [r["slot"] for r in made] == list(range(total)) and Counter(order) == dict(enumerate(weights))
     taken = [0] * len(weights)
     for slot, s in enumerate(order):
         assert floor(Fraction(taken[s] * total, weights[s])) <= slot < ceil(Fraction((taken[s] + 1) * total, weights[s]))
@@ -43,6 +46,35 @@ def test_one_period_keeps_every_window(spark, weights):
         assert all(abs(n - Fraction((slot + 1) * w, total)) < 1 for n, w in zip(taken, weights))
 
 
+def test_weights_are_exact():
+    assert mixing.whole_weights({"a": 0.99999, "b": 0.00001}) == {"a": 99999, "b": 1}
+    assert mixing.whole_weights({"a": 6, "b": 1.5, None: 0, "c": -1.0}) == {"a": 4, "b": 1}
+    assert mixing.whole_weights({n: n for n in range(1, 3001)}) == {n: n for n in range(1, 3001)}
+    root = mixing.whole_weights({"a": 2 ** 0.5, "b": 1})
+    assert Fraction(root["a"], root["b"]) == Fraction("1.4142135623730951")
+    assert mixing.whole_weights({}) == {}
+    with pytest.raises(ValueError):
+        mixing.whole_weights({"a": 1e-20, "b": 1e20})
+
+
+@pytest.mark.parametrize("weights, blocks", [
+    # A thousand sources, a weight far below a thousandth, weights without a short period.
+    (list(range(1, 1001)), [2] * 1000), ([99999, 1], [700, 1]), ([14142135623730951, 10 ** 16, 3 * 10 ** 22], [5, 6, 600])])
+def test_less_than_one_block_from_the_given_weights(spark, monkeypatch, weights, blocks):
+    monkeypatch.setattr(mixing, "STEP", 1024)
+    made = mixing.slots(spark, list(zip(weights, blocks))).orderBy("slot").collect()
+    assert [r["slot"] for r in made] == list(range(sum(blocks)))
+    assert Counter(r["number"] for r in made) == dict(enumerate(blocks))
+    total, taken = sum(weights), [0] * len(weights)
+    for r in made:
+        assert r["block"] == taken[r["number"]] and r["release"] <= r["slot"] < r["deadline"]
+        taken[r["number"]] += 1
+        # Exactly, and until one runs out: |taken - slots * weight / total| < 1.
+        assert all(abs(n * total - (r["slot"] + 1) * w) < total for n, w in zip(taken, weights))
+        if taken[r["number"]] == blocks[r["number"]]:
+            break
+
+
 def documents(frame, sizes):
     rows = [(k, s) for s, n in sizes.items() for k in range(n)]
     random.Random(1).shuffle(rows)
@@ -53,6 +85,7 @@ def documents(frame, sizes):
     ({"a": 100, "b": 37, "c": 5, None: 11}, {"a": 0.5, "b": 0.3, "c": 0.15, None: 0.05}, 4),
     ({"hot": 300, "x": 20, "y": 20}, {"hot": 1, "x": 1, "y": 1}, 3),
     ({"a": 30, "b": 30, "none": 9, "zero": 4}, {"a": 2.5, "b": 1.0, "zero": 0.0, "absent": 3.0}, 2),
+    ({"a": 90, "b": 3, "c": 3}, {"a": 0.99999, "b": 0.00001, "c": 2 ** -0.5}, 2),
     ({"a": 10}, {}, 3)])
 def test_schedule_equals_slot_by_slot(frame, sizes, weights, block):
     docs = documents(frame, sizes)
