@@ -3,9 +3,12 @@
 The tagger is a bidirectional LSTM with CRF transitions, trained in numpy from
 labelled spans. It reads overlapping windows; each character takes its tag from
 the window in whose middle it lies, and runs of tags over the whole text become
-spans. A span must hold a digit, or an at sign or its like (`` at ``, ``(at)``,
-``[at]``) between a name and a host, so windows that hold none of these nor a part
-of such a name and host are not read.
+spans where the tags are probable enough. A span must hold a digit, or an at sign
+or its like (`` at ``, ``(at)``, ``[at]``) between a name and a host, so windows that
+hold none of these nor a part of such a name and host are not read. Beside the
+patterns' own spans the tagger learns the same ones written as no pattern knows
+them; an added span has the shape that the tags give it, and need only hold the
+numbers of its kind.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ TRAIN_WINDOWS = 1_500
 EPOCHS, BATCH, RATE, SEED = 12, 32, 0.01, 11
 # Windows that are read at a time.
 READ_AT_ONCE = 2_048
+# An added span is one whose characters are of its kind with this probability, less sure ones at its ends cut off.
+CONFIDENT = 0.8
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -164,17 +169,23 @@ def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(values - top).sum(axis=axis)) + top.squeeze(axis)
 
 
-def _gradients(tagger: Tagger, chars: np.ndarray, tags: np.ndarray) -> list[np.ndarray]:
-    """Of the CRF's negative log-likelihood, in the order of ``Tagger.arrays``."""
-    emitted, (seen, both, kept_left, kept_right) = _emissions(tagger, chars, True)
-    steps, count, _ = emitted.shape
+def _passes(tagger: Tagger, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-sums over all tags before and after each place, and over whole windows."""
+    steps = len(emitted)
     ahead, behind = np.empty_like(emitted), np.zeros_like(emitted)
     ahead[0] = emitted[0] + tagger.starts
     for t in range(1, steps):
         ahead[t] = emitted[t] + _log_sum(ahead[t - 1][:, :, None] + tagger.moves, 1)
     for t in range(steps - 2, -1, -1):
         behind[t] = _log_sum(tagger.moves + (emitted[t + 1] + behind[t + 1])[:, None, :], 2)
-    total = _log_sum(ahead[-1], 1)
+    return ahead, behind, _log_sum(ahead[-1], 1)
+
+
+def _gradients(tagger: Tagger, chars: np.ndarray, tags: np.ndarray) -> list[np.ndarray]:
+    """Of the CRF's negative log-likelihood, in the order of ``Tagger.arrays``."""
+    emitted, (seen, both, kept_left, kept_right) = _emissions(tagger, chars, True)
+    steps, count, _ = emitted.shape
+    ahead, behind, total = _passes(tagger, emitted)
     true = np.eye(TAGS, dtype=np.float32)[tags.T]
     likely = np.exp(ahead + behind - total[None, :, None])
     d_emitted = (likely - true) / count
@@ -199,7 +210,25 @@ def _gradients(tagger: Tagger, chars: np.ndarray, tags: np.ndarray) -> list[np.n
 
 def decode(tagger: Tagger, chars: np.ndarray) -> np.ndarray:
     """The best tags of each window."""
+    return _best(tagger, _emissions(tagger, chars)[0])
+
+
+def decode_sure(tagger: Tagger, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best tags, and for each character that has one how probable its kind is."""
     emitted, _ = _emissions(tagger, chars)
+    tags = _best(tagger, emitted)
+    sure = np.zeros(tags.shape, np.float32)
+    rows = np.flatnonzero(tags.any(axis=1))
+    if len(rows):
+        ahead, behind, total = _passes(tagger, emitted[:, rows])
+        likely = np.exp(ahead + behind - total[None, :, None])
+        kinds = likely[:, :, 1::2] + likely[:, :, 2::2]
+        own = np.maximum(tags[rows].T.astype(int) - 1, 0) // 2
+        sure[rows] = np.take_along_axis(kinds, own[:, :, None], 2)[:, :, 0].T
+    return tags, sure
+
+
+def _best(tagger: Tagger, emitted: np.ndarray) -> np.ndarray:
     steps, count, _ = emitted.shape
     score, came = emitted[0] + tagger.starts, np.empty((steps, count, TAGS), np.int8)
     for t in range(1, steps):
@@ -226,21 +255,38 @@ def tags_of(size: int, spans: list[Span]) -> np.ndarray:
     return tags
 
 
+# Ways of writing that the patterns do not know: at and dot, between the parts of an address, of a card, of a phone.
+_ADDRESS = ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" @ ", "."), (" (at) ", "."), ("[at]", "."))
+_PARTS = (" . ", "[.]", "(.)", " dot ")
+_GROUPS = (".", "/", " - ", "  ", "_")
+_PIECES = ("/", ".", " / ", " - ")
+
+
 def _variant(text: str, spans: list[Span], random: np.random.Generator) -> tuple[str, list[Span]]:
-    """The same text with one span written as the patterns do not know it."""
-    for n, (kind, a, b) in enumerate(spans):
-        own = text[a:b]
-        if kind == 0:
-            new = own.replace("@", " at ").replace(".", " dot ") if random.random() < 0.5 else own.replace("@", " @ ")
-        elif kind == 3:
-            new = own.lstrip("+0123456789").strip() or own
-        else:
-            continue
-        moved = len(new) - len(own)
-        rest = [(k, s + moved * (s > a), e + moved * (s >= a)) for k, s, e in spans]
-        rest[n] = (kind, a, a + len(new))
-        return text[:a] + new + text[b:], rest
-    return text, spans
+    """The same text with one of its spans written as the patterns do not know it."""
+    n = int(random.integers(len(spans)))
+    kind, a, b = spans[n]
+    own = text[a:b]
+
+    def some(ways):
+        return ways[int(random.integers(len(ways)))]
+    if kind == 0:
+        name, _, host = own.rpartition("@")
+        at, dot = some(_ADDRESS)
+        new = name + at + host.replace(".", dot)
+    elif kind == 1:
+        new = own.replace(".", some(_PARTS))
+    elif kind == 2:
+        digits = re.sub("[^0-9]", "", own)
+        new = some(_GROUPS).join(digits[k:k + 4] for k in range(0, len(digits), 4))
+    else:
+        bare = own.lstrip("+0123456789").strip() if random.random() < 0.5 else f"00{own[1:]}"
+        new = bare if random.random() < 0.5 else re.sub("[^0-9]+", some(_PIECES), bare.strip("(")).strip(" ./-")
+    new = new or own
+    moved = len(new) - len(own)
+    rest = [(k, s + moved * (s > a), e + moved * (e > a)) for k, s, e in spans]
+    rest[n] = (kind, a, a + len(new))
+    return text[:a] + new + text[b:], rest
 
 
 def train(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: int = SEED) -> Tagger:
@@ -248,7 +294,7 @@ def train(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: int
     tagger, random = new_tagger(seed), np.random.default_rng(seed)
     if not windows:
         return tagger
-    known = [*windows, *(_variant(t, s, random) for t, s in windows if s)]
+    known = [*windows, *(_variant(t, s, random) for t, s in windows if s for _ in range(2))]
     chars = np.zeros((len(known), WINDOW), np.uint8)
     tags = np.zeros((len(known), WINDOW), np.int8)
     for row, (text, spans) in enumerate(known):
@@ -275,12 +321,13 @@ def train(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: int
 # At signs as they are written, wherever one begins, and what may stand on both sides.
 _AT = re.compile(r"(?=(@|(?i: at |\(at\)|\[at\])))")
 _NAME = re.compile(r"[\w.%+-]")
+_DIGITS = re.compile(r"[+(]?[0-9][0-9 ().-]*[0-9]")
 _HOST = re.compile(r" ?[\w-]+(?: ?(?:\.|(?i: dot |\(dot\)|\[dot\])) ?[\w-]+)+")
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
     """Where a span can lie that is wider than the windows around a digit or an at sign, or holds neither."""
-    out = [m.span() for m in _CORES[3].finditer(text)]
+    out = [m.span() for m in _DIGITS.finditer(text)]
     for m in _AT.finditer(text):
         host = _HOST.match(text, m.end(1))
         end = m.start() - (text[m.start() - 1:m.start()] == " ")
@@ -304,45 +351,70 @@ def window_starts(codes: np.ndarray, spans: list[tuple[int, int]] | None = None)
     return found[found >= 0] * STEP - EDGE
 
 
-# What a span of the tagger must hold, whatever the tagger thinks.
-_CORES = (re.compile(r"[\w.%+-]+ ?(?:@| at |\(at\)|\[at\]) ?[\w-]+(?: ?(?:\.| dot |\(dot\)|\[dot\]) ?[\w-]+)+", re.I),
-          re.compile(r"[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}"),
-          re.compile(r"[0-9](?:[ .-]?[0-9])+"),
-          re.compile(r"[+(]?[0-9][0-9 ().-]*[0-9]"))
-
-
-def _core(kind: int, own: str) -> tuple[int, int] | None:
-    """The part of a tagged run that can be of its kind, if any."""
-    found = _CORES[kind].search(own)
-    if not found:
+_SIGN = re.compile(r"\w ?(?:@|(?i:\bat\b|\(at\)|\[at\])) ?\w")
+_DOT = re.compile(r"\w ?(?:\.|(?i:\bdot\b|\(dot\)|\[dot\])) ?\w")
+_LETTERS = re.compile(r"[^\W0-9_]")
+_RUNS = re.compile("[0-9]+")
+
+
+def holds_numbers(kind: int, own: str) -> bool:
+    """Whether a span holds what its kind must, however it is written."""
+    runs = _RUNS.findall(own)
+    digits = "".join(runs)
+    if kind == 0:
+        sign = _SIGN.search(own)
+        return bool(sign and _DOT.search(own, sign.end() - 1))
+    if kind == 1:
+        return len(runs) == 4 and all(len(r.lstrip("0")) <= 3 and int(r) <= 255 for r in runs)
+    if _LETTERS.search(own):
+        return False
+    return 13 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 8 <= len(digits) <= 15
+
+
+def _whole(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """A tagged run without signs at its ends and with the whole of the words there, if they end nearby."""
+    while start < end and not text[start].isalnum() and text[start] not in "+(":
+        start += 1
+    while end > start and not text[end - 1].isalnum():
+        end -= 1
+    if start == end:
         return None
-    digits = "".join(c for c in found[0] if c in "0123456789")
-    right = (True, kind != 1 or all(int(p) <= 255 for p in found[0].split(".")),
-             13 <= len(digits) <= 19 and luhn(digits), 8 <= len(digits) <= 15)
-    return found.span() if right[kind] else None
+    first, last = max(0, start - EDGE), min(len(text), end + EDGE)
+    while start > first and text[start].isalnum() and text[start - 1].isalnum():
+        start -= 1
+    while end < last and text[end].isalnum():
+        end += 1
+    alone = not text[max(start - 1, 0):start].isalnum() and not text[end:end + 1].isalnum()
+    return (start, end) if alone else None
 
 
-def _reconciled(text: str, base: list[Span], starts: np.ndarray, tags: np.ndarray) -> list[Span]:
+def _reconciled(text: str, base: list[Span], starts: np.ndarray, tags: np.ndarray,
+                sure: np.ndarray | None = None) -> list[Span]:
     """Spans that the windows' middles spell and that meet no base span."""
     at = (starts[:, None] + np.arange(EDGE, EDGE + STEP)).ravel()
     own = tags[:, EDGE:EDGE + STEP].ravel()
     inside = (own > 0) & (at >= 0) & (at < len(text))
-    at, own = at[inside], own[inside].astype(int)
+    likely = np.ones(len(at), np.float32) if sure is None else sure[:, EDGE:EDGE + STEP].ravel()
+    at, own, likely = at[inside], own[inside].astype(int), likely[inside]
     if not len(at):
         return []
     kind, begins = (own - 1) // 2, own % 2 == 1
+    # Where windows differ on the kind of a run, it is that of the greater sum.
     fresh = np.ones(len(at), bool)
-    fresh[1:] = (at[1:] != at[:-1] + 1) | (kind[1:] != kind[:-1]) | begins[1:]
+    fresh[1:] = (at[1:] != at[:-1] + 1) | begins[1:]
     first = np.flatnonzero(fresh)
     out = []
     for a, b in zip(first, [*first[1:], len(at)]):
-        core = _core(int(kind[a]), text[at[a]:at[b - 1] + 1])
-        if core is None:
+        chosen = int(np.bincount(kind[a:b], likely[a:b], len(KINDS)).argmax())
+        agreed = np.where(kind[a:b] == chosen, likely[a:b], 0)
+        firm = np.flatnonzero(agreed >= CONFIDENT)
+        if not len(firm) or agreed[firm[0]:firm[-1] + 1].mean() < CONFIDENT:
+            continue
+        found = _whole(text, int(at[a + firm[0]]), int(at[a + firm[-1]]) + 1)
+        if found is None or not holds_numbers(chosen, text[found[0]:found[1]]):
             continue
-        start, end = int(at[a]) + core[0], int(at[a]) + core[1]
-        alone = not text[max(start - 1, 0):start].isalnum() and not text[end:end + 1].isalnum()
-        if alone and not any(s < end and start < e for _, s, e in base):
-            out.append((int(kind[a]), start, end))
+        if not any(s < found[1] and found[0] < e for _, s, e in [*base, *out]):
+            out.append((chosen, *found))
     return out
 
 
@@ -356,10 +428,12 @@ def find_all(tagger: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Sp
     def read() -> None:
         nonlocal waiting, count
         rows = np.concatenate([w for _, _, w in waiting])
-        tags = np.concatenate([decode(tagger, rows[k:k + READ_AT_ONCE]) for k in range(0, len(rows), READ_AT_ONCE)])
+        read = [decode_sure(tagger, rows[k:k + READ_AT_ONCE]) for k in range(0, len(rows), READ_AT_ONCE)]
+        tags, sure = (np.concatenate(r) for r in zip(*read))
         k = 0
         for n, starts, _ in waiting:
-            added[n] = _reconciled(texts[n], base[n], starts, tags[k:k + len(starts)])
+            own = slice(k, k + len(starts))
+            added[n] = _reconciled(texts[n], base[n], starts, tags[own], sure[own])
             k += len(starts)
         waiting, count = [], 0
 
