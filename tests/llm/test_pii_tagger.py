@@ -121,7 +121,7 @@ def test_added_spans_are_valid_and_apart_from_base(trained):
     assert added > 10
 
 
-def test_added_spans_of_planted_data(spark):
+def test_added_spans_of_planted_data():
     """Held-out precision and recall of spans written as no pattern knows them, beside look-alikes that are none."""
     draw = random.Random(12)
     word = lambda: "".join(draw.choice("aeinrst") for _ in range(draw.randint(2, 8)))
@@ -154,8 +154,6 @@ def test_added_spans_of_planted_data(spark):
         wanted += mine is not None
         found += len(added)
         right += mine in added
-        print(repr(text[mine[1]:mine[2]]) if mine else None, [(k, text[a:b]) for k, a, b in added], mine in added)
-    print("planted", wanted, "added", found, "right", right)
     assert wanted > 150 and right / found > 0.9 and right / wanted > 0.7
 
 
