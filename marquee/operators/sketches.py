@@ -17,8 +17,9 @@ from marquee.operators.monitor import QUANTILES, spread_panes
 # Entries that a quantile sketch keeps; its rank error is about 1.6 % divided by this over 200.
 QUANTILE_ENTRIES = 400
 RANK_ERROR = 0.02
-# Registers of a distinct sketch as a power of two; three standard errors are 4.9 %.
-DISTINCT_BITS = 12
+# Registers of a distinct sketch as a power of two; the error that is stated is six standard errors, as of
+# hundreds of windows one lies beyond three.
+DISTINCT_BITS = 14
 DISTINCT_ERROR = 0.05
 
 
