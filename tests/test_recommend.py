@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -187,6 +189,25 @@ def test_history(world, frame):
     assert [r["movie_idx"] for r in rows] == [2, 5, 8, 11, 14, 17, 1, 4, 7, 10]
 
 
+def test_training_leaves_few_shuffle_files(spark):
+    """The files of an iteration go with it, however many there are."""
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size())}
+
+    rng = np.random.default_rng(3)
+    pairs = sorted({(int(u), int(i), 1.0) for u, i in zip(rng.integers(0, 60, 500), rng.integers(0, 40, 500))})
+    rows, before = spark.createDataFrame(pairs, "user_idx long, movie_idx long, weight double"), held()
+    model = recommend.train(rows, rank=3, maxIter=8)
+    for _ in range(100):
+        shuffles = {n.split("_")[1] for n in held() - before if n.startswith("shuffle_")}
+        if len(shuffles) <= 10:
+            break
+        time.sleep(0.1)
+    # Six of the ratings and their blocks, two of an iteration; eight iterations have sixteen.
+    assert len(shuffles) <= 10 and model.rank == 3
+
+
 def test_trained_model_beats_popularity(spark):
     """Two tastes: users of one group like items of one half."""
     rng = np.random.default_rng(1)
