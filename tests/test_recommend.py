@@ -2,6 +2,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.operators import evaluate, recommend, scoring
 from tests.conftest import tuples
@@ -76,6 +77,20 @@ def test_blocks_that_cannot_matter_are_spared(spark, decimals):
     assert 0 < spared.value < len(left) * -(-len(right) // 20)
 
 
+def test_a_task_has_each_block_once(world, blocks, spark):
+    """However many pairs of blocks a task has, no vector comes to it twice, and every pair of keys meets in one task."""
+    lists = recommend.with_seen(world["users"], world["seen"])
+    met = []
+    cells = scoring._cells(lists, world["items"], "user_idx", "movie_idx", "features", ("seen",), "seen")
+    rows = cells.withColumn("task", F.spark_partition_id()).collect()
+    for task in {r["task"] for r in rows}:
+        mine = [u for r in rows if r["task"] == task for u in r["user_keys"] or ()]
+        theirs = [i for r in rows if r["task"] == task for i in r["item_keys"] or ()]
+        assert len(mine) == len(set(mine)) and len(theirs) == len(set(theirs))
+        met += [(u, i) for u in mine for i in theirs]
+    assert sorted(met) == [(u, i) for u in range(N_USERS) for i in range(N_ITEMS)]
+
+
 def test_auc_equals_all_pairs(world, blocks, spark):
     positives = {(u, (u * 7 + j * 11) % N_ITEMS) for u in range(N_USERS - 1) for j in range(1 + u % 4)}
     pos = spark.createDataFrame(sorted(positives), "user_idx long, movie_idx long")
