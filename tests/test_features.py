@@ -52,6 +52,16 @@ def test_favourite_genre(frame):
     assert found[3] == ("Unknown", 0, 0.0)
 
 
+def test_a_users_ratings_meet_before_their_genres_are_counted(frame):
+    """So that the map-side aggregation holds few rows, however many ratings a task reads."""
+    ratings = frame([(u, m, 1.0, 0) for u in range(5) for m in range(4)],
+                    "user_idx long, movie_idx long, rating double, timestamp long")
+    movies = frame([(m, "a|b") for m in range(4)], "movie_idx long, genres string")
+    found = features.genre_affinity(ratings, movies)
+    assert "REBALANCE_PARTITIONS_BY_COL" in found._jdf.queryExecution().executedPlan().toString()
+    assert tuples(found, "user_idx", "genre", "n") == [(u, g, 4) for u in range(5) for g in "ab"]
+
+
 def test_repeated_genre_counts_again(frame):
     films = frame([(10, 1, "A", "B|B|A")], MOVIES)
     found = features.favourite_genre(frame([(1, 10, 4.0, 0)], RATINGS), films).first()
