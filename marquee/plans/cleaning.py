@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators import clean, profile, split
-from marquee.operators.ordering import positions
+from marquee.operators.ordering import file_positions
 from marquee.plans.common import MOVIES, RATINGS, Query, rounded, sql, time_texts
 from marquee.session import durable, scratch_path
 from marquee.sources import files, proxies
@@ -112,8 +112,7 @@ def chrono_split(spark: SparkSession, folder: str) -> DataFrame:
 def ratings_by_time(spark: SparkSession, folder: str) -> DataFrame:
     """Every rating with its place in files written in the order of time."""
     written = durable(split.sorted_by_time(proxies.ratings(spark, folder)), "by_time")
-    at = written.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return positions(at, ["file", "row"], "place").drop("file", "row")
+    return file_positions(written, "place")
 
 
 def ratings_csv(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from marquee.operators.ordering import cumulative, exact_quantiles, numbered, positions, top_by
+from marquee.operators.ordering import cumulative, exact_quantiles, file_positions, numbered, positions, top_by
 from tests.conftest import tuples
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -25,6 +25,15 @@ def test_positions_with_equal_rows_stay_a_bijection(frame):
     assert [v for _, v in rows] == [0] * 3 + [1] * 40
 
 
+def test_places_in_files_without_a_sort(spark, tmp_path):
+    spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).repartitionByRange(5, "v").sortWithinPartitions(
+        "v").write.parquet(str(tmp_path / "ordered"))
+    found = file_positions(spark.read.parquet(str(tmp_path / "ordered")), "place")
+    assert tuples(found) == [(k, k) for k in range(1000)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_cumulative_crosses_partitions(frame):
     values = list(range(1, 200))
     random.Random(1).shuffle(values)
