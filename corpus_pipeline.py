@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.llm import decontaminate, mixing, quality_cnn, simhash, token_planes
-from marquee.llm.common import free_name, table
+from marquee.llm.common import free_name, small_batches, table
 from marquee.llm.queries import tokenizer_path
 from marquee.session import durable
 
@@ -21,6 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels, does not reject."""
+    small_batches(spark)
     model = quality_cnn.fit(docs, table(spark, sf_dir, "labels"))
     score = free_name(docs, "_quality")
     scored = quality_cnn.add_score(docs, model, score=score)
@@ -29,11 +30,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints link (four-word shingles, four bits), the one with the smallest id."""
+    small_batches(spark)
     return simhash.drop_near_duplicates(docs, most_bits=simhash.MOST_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -44,6 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards in the order of the files read, and what they hold per document."""
+    small_batches(spark)
     part, file, row = (free_name(docs, n) for n in ("_part", "_file", "_at"))
     path = F.col("_metadata.file_path")
     placed = docs.select("*", F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("long").alias(part),

@@ -22,8 +22,9 @@ GAP = 32
 # A chunk is two blocks; the next one starts a block later.
 BLOCK = 128
 STEPS = BLOCK // STRIDE
-# Bytes that are convolved at a time.
-PIECE = 1 << 19
+# Bytes of texts that are scored at a time, and of those that are convolved at a time: what the filters
+# see of them takes 28 times their room.
+SCORED, PIECE = 1 << 19, 1 << 16
 # The model is fitted on so many labelled rows of each class at most, and in
 # each on whole texts, or on WINDOWS pieces spread over texts longer than those.
 ROWS_PER_CLASS = 1_500
@@ -215,7 +216,7 @@ def _score(model, text: str, score: str) -> Callable[[Iterator[pa.RecordBatch]],
             for t in batch[text].cast(pa.binary()).to_pylist():
                 kept.append(t or b"")
                 size += len(kept[-1])
-                if size >= PIECE:
+                if size >= SCORED:
                     values.append(probabilities(own, kept))
                     kept, size = [], 0
             values.append(probabilities(own, kept))
