@@ -19,7 +19,7 @@ LATENESS = "12 hours"
 ALERT_WINDOW, ALERT_HOLD = "1 hour", "4 hours"
 
 
-# Streams read the events from so many files, one per micro-batch.
+# Streams read the events in so many micro-batches.
 FILES = 5
 
 
@@ -28,17 +28,17 @@ def _named(events: DataFrame) -> DataFrame:
     return events.withColumn("genres", F.when(F.col("event_type") != "error", F.col("event_type")))
 
 
-# Where a session has already written them.
-_written: dict[tuple, str] = {}
+# Where a session has already written them, and the files per micro-batch.
+_written: dict[tuple, tuple[str, int]] = {}
 
 
 def _stream(spark: SparkSession, folder: str, copies: int = 1, tick: str | None = None, even: bool = False) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, copies, tick, even)
     if key not in _written:
         path = scratch_path(spark, "events")
-        proxies.event_files(spark, folder, path, FILES, copies, tick, even)
-        _written[key] = path
-    return _named(proxies.event_stream(spark, _written[key], "*.parquet", files_per_batch=1))
+        _written[key] = path, proxies.event_files(spark, folder, path, FILES, copies, tick, even)
+    path, each = _written[key]
+    return _named(proxies.event_stream(spark, path, "*.parquet", files_per_batch=each))
 
 
 def _keyed(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -83,8 +83,9 @@ def stream_movie_popularity_all(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_push(spark: SparkSession, folder: str) -> DataFrame:
     """Both views kept by one query, as rows of (entity, key)."""
-    query, users, movies = jobs.update_features(_stream(spark, folder), scratch_path(spark, "views"))
-    query.awaitTermination()
+    with sinks.rocksdb_state(spark):
+        query, users, movies = jobs.update_features(_stream(spark, folder), scratch_path(spark, "views"))
+        query.awaitTermination()
     user_side = users.read().select(F.lit("user").alias("entity"), F.col("user_idx").alias("key"),
                                     F.col("user_recent_activity").alias("n"),
                                     F.col("user_last_genre").alias("last_genre"))
@@ -101,8 +102,9 @@ def stream_windowed_24h(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_windowed_features(spark: SparkSession, folder: str) -> DataFrame:
     """All four stream features per sliding window."""
-    panes = _keyed(spark, counters.feature_panes(_stream(spark, folder), SLIDE, "60 days"),
-                   ["window_start", "entity", "key"])
+    with sinks.rocksdb_state(spark):
+        panes = _keyed(spark, counters.feature_panes(_stream(spark, folder), SLIDE, "60 days"),
+                       ["window_start", "entity", "key"])
     return time_texts(counters.sliding_features(panes, WINDOW, SLIDE), "window_start")
 
 
@@ -192,7 +194,8 @@ def stream_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives twice, in different micro-batches, and is kept once."""
-    rows = _appended(spark, counters.deduplicated(_stream(spark, folder, copies=2), "60 days"))
+    with sinks.rocksdb_state(spark):
+        rows = _appended(spark, counters.deduplicated(_stream(spark, folder, copies=2), "60 days"))
     return time_texts(rows.select("event_id", "user_idx", "event_type", "ts"), "ts")
 
 
@@ -227,8 +230,9 @@ def stream_count_window_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_features_24h(spark: SparkSession, folder: str) -> DataFrame:
     """Features of users and movies over the last 24 hours, as rows of (entity, key)."""
-    query, kept = jobs.keep_features(_stream(spark, folder), scratch_path(spark, "views"), lateness=LATENESS)
-    query.awaitTermination()
+    with sinks.rocksdb_state(spark):
+        query, kept = jobs.keep_features(_stream(spark, folder), scratch_path(spark, "views"), lateness=LATENESS)
+        query.awaitTermination()
     users, movies = kept.users(), kept.movies()
     return time_texts(users.select(
         F.lit("user").alias("entity"), F.col("user_idx").alias("key"), F.col("user_recent_activity").alias("n"),
@@ -240,7 +244,7 @@ def stream_features_24h(spark: SparkSession, folder: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All events come again after the last: those that the watermark has passed are late, the rest repeated."""
     table = sinks.BatchTable(spark, scratch_path(spark, "late"))
-    events = counters.deduplicated(_stream(spark, folder, copies=2), LATENESS, spread=1)
+    events = counters.deduplicated(_stream(spark, folder, copies=2), LATENESS, collapse=False)
     query = sinks.drain(events, table.write, "append")
     return table.read().agg(F.count("*").alias("kept"), F.lit(sinks.late_rows(query)).cast("long").alias("late_rows"))
 

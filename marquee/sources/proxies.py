@@ -85,37 +85,51 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
 TICK = "tick"
 
 
-def event_files(spark: SparkSession, folder: str, path: str, files: int, copies: int = 1,
-                tick: str | None = None, even: bool = False) -> None:
-    """The events table below ``path``, in so many files by time, each copy after the last.
+# A micro-batch of more events than this has several files, so that several tasks write and read it.
+FILE_EVENTS = 100_000
+
 
-    Files are written one after the other, as a stream takes the oldest first.
-    They hold about as many events each, or, if ``even``, equal stretches of
-    time. ``tick`` adds two
-    more of one event of type ``TICK`` each, so long after the last.
+def event_files(spark: SparkSession, folder: str, path: str, files: int, copies: int = 1,
+                tick: str | None = None, even: bool = False) -> int:
+    """The events table below ``path``, in so many micro-batches by time, each copy after the last.
+
+    Returns the files per micro-batch, the same for all: as many as the largest
+    needs. Micro-batches are written one after the other, as a stream takes the
+    oldest files first. They hold about as many events each, or, if ``even``,
+    equal stretches of time. ``tick`` adds two more of one event of type
+    ``TICK`` each, so long after the last.
     """
     rows = table(spark, folder, "events")
-    if even:
-        ends = rows.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"),
-                        F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
-        since = F.unix_micros(F.col("ts").cast("timestamp")) - ends["a"]
-        part = F.floor(since * files / (ends["b"] - ends["a"] + 1))
-        for k in range(files):
-            rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
-        return
-    shares = [k / files for k in range(1, files)]
-    edges = rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), shares)).first()[0] or []
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    part = sum((F.when(at > edge, 1).otherwise(0) for edge in edges), F.lit(0))
+    if even:
+        ends = rows.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+        part = F.floor((at - ends["a"]) * files / (ends["b"] - ends["a"] + 1))
+    else:
+        shares = [k / files for k in range(1, files)]
+        edges = rows.agg(F.percentile_approx(at, shares)).first()[0] or []
+        part = sum((F.when(at > edge, 1).otherwise(0) for edge in edges), F.lit(0))
+    largest = rows.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] or 0
+    each, due = -(-largest // FILE_EVENTS) or 1, 0
+
+    def write(batch: DataFrame) -> None:
+        nonlocal due
+        (batch.repartition(each) if each > 1 else batch.coalesce(1)).write.mode("append").parquet(path)
+        due += each
+        # A task without rows writes no file unless it is the only one: empty ones make up the number.
+        missing = due - len(spark.read.schema(TABLES["events"]).parquet(path).inputFiles()) if each > 1 else 0
+        for _ in range(missing):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+
     for _ in range(copies):
         for k in range(files):
-            rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+            write(rows.where(part == k))
     if tick:
         later = rows.agg((F.max("ts") + F.expr(f"INTERVAL {tick}")).alias("ts"), F.lit(TICK).alias("event_type"))
-        ticks = rows.limit(0).unionByName(later, allowMissingColumns=True).coalesce(1)
+        ticks = rows.limit(0).unionByName(later, allowMissingColumns=True)
         # The first moves the watermark, which holds from the second on.
         for _ in range(2):
-            ticks.write.mode("append").parquet(path)
+            write(ticks)
+    return each
 
 
 def as_requests(events: DataFrame) -> DataFrame:

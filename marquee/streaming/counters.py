@@ -6,9 +6,12 @@ genres. Every function works on a stream and on a table alike.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions.scalars import micros
@@ -195,15 +198,28 @@ def with_totals(summary: DataFrame, before: DataFrame | None) -> DataFrame:
         "total_per_type": F.map_from_entries(F.array_sort(F.map_entries(sums)))}).drop("_events", "_per_type")
 
 
-def deduplicated(events: DataFrame, lateness: str = LATENESS, spread: int = 8) -> DataFrame:
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of an id's copies in a batch the newest, so none that is late stands for one in time, and one without a time."""
+    for batch in batches:
+        order = pa.compute.sort_indices(batch["ts"], sort_keys=[("", "descending")])
+        copies = pa.table({"id": batch["event_id"].take(order), "timed": batch["ts"].is_valid().take(order), "at": order})
+        first = copies.group_by(["id", "timed"], use_threads=False).aggregate([("at", "first")])["at_first"]
+        yield batch.take(first.combine_chunks().sort())
+
+
+def deduplicated(events: DataFrame, lateness: str = LATENESS, spread: int = 1, collapse: bool = True) -> DataFrame:
     """Drop repeats of an event id, within the watermark on a stream.
 
-    A table collapses copies before its shuffle. A stream has no such step, so
-    copies of one id are first dropped in ``spread`` groups; 1 skips that.
+    A table collapses copies before its shuffle. So does a stream, in each batch
+    of rows a task reads and without state, unless ``collapse`` is off, as it
+    must be to count late rows. With ``spread``, copies of one id are also
+    dropped in so many groups first; that takes another shuffle and as much
+    state again.
     """
     if not events.isStreaming:
         return events.dropDuplicates(["event_id"])
-    rows = events.withWatermark("ts", lateness)
+    rows = events.mapInArrow(_collapsed, events.schema) if collapse else events
+    rows = rows.withWatermark("ts", lateness)
     if spread > 1:
         rows = (rows.withColumn("_group", F.spark_partition_id() % spread)
                 .dropDuplicatesWithinWatermark(["event_id", "_group"]).drop("_group"))
