@@ -3,17 +3,20 @@
 A text is cut into words by the tokenizer's pattern. The bytes of new words are
 rows (word, position, token); a recursive query joins neighbours with the merge
 table and contracts the pair of least rank in every word, the leftmost first,
-until no word has a pair. Decoding is one ordered aggregation of token bytes.
+until no word has a pair. Decoding is one ordered aggregation of token bytes, over
+the list of a document's tokens.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise, repeat
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,27 +33,27 @@ MEMORY = "400MB"
 # Words up to this many bytes go through the query for short ones.
 SHORT_BYTES = 64
 
-# `state` has the rows that changed last, `recurring.state` all; a contracted
-# pair leaves its second row without a token. A key is word * 65536 + position,
-# and a pick packs rank, position and the position after, so that one sort, one
-# join and one minimum by numbers do a step: one contraction in every word.
+# A step has the rows of words that still change and nothing of the others: a
+# word without a pair leaves as `done`. A key is word * 65536 + position, and a
+# pick packs rank, position and the position after, so that one sort, one join
+# and one minimum by numbers do a step: one contraction in every word.
 _SHORT = """
-WITH RECURSIVE state(key, token) USING KEY (key) AS (
-  SELECT key, token FROM start
-  UNION (
+WITH RECURSIVE state(key, token, done) AS (
+  SELECT key, token, false FROM start
+  UNION ALL (
   WITH live AS (
     SELECT key, token, lead(key) OVER w AS next_key, lead(token) OVER w AS next
-    FROM recurring.state WHERE token IS NOT NULL AND key >> 16 IN (SELECT key >> 16 FROM state)
-    WINDOW w AS (ORDER BY key)),
+    FROM state WHERE NOT done WINDOW w AS (ORDER BY key)),
   picked AS (
     SELECT key >> 16 AS word, min((merged::BIGINT << 32) | ((key & 65535) << 16) | (next_key & 65535)) AS pick
     FROM live JOIN merges ON pair = ((token::BIGINT << 32) | next) WHERE key >> 16 = next_key >> 16 GROUP BY word)
-  SELECT (word << 16) | ((pick >> 16) & 65535), (pick >> 32)::INT FROM picked
-  UNION ALL SELECT (word << 16) | (pick & 65535), NULL FROM picked))
-SELECT (key >> 16)::INT AS word, token FROM state WHERE token IS NOT NULL ORDER BY key"""
+  SELECT key, CASE WHEN key & 65535 = (pick >> 16) & 65535 THEN (pick >> 32)::INT ELSE token END, pick IS NULL
+  FROM live LEFT JOIN picked ON word = key >> 16 WHERE pick IS NULL OR key & 65535 <> pick & 65535))
+SELECT (key >> 16)::INT AS word, token FROM state WHERE done ORDER BY key"""
 
-# For long words, equal pairs that don't overlap are contracted in one step. A
-# merge that can make a pair of a lower rank than its own ends the contractions
+# For long words, `state` has the rows that changed last, `recurring.state` all; a
+# contracted pair leaves its second row without a token. Equal pairs that don't
+# overlap are contracted in one step. A merge that can make a pair of a lower rank than its own ends the contractions
 # of its word in that step; without one they come in any order to the same end.
 _LONG = """
 WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
@@ -77,9 +80,8 @@ WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
   SELECT word, pos, merged FROM picked UNION ALL SELECT word, next_pos, NULL FROM picked))
 SELECT word, token FROM state WHERE token IS NOT NULL ORDER BY word, pos"""
 
-_DECODE = """
-SELECT doc, string_agg(bytes, '' ORDER BY pos) AS bytes FROM ids JOIN vocabulary USING (token)
-GROUP BY doc ORDER BY doc"""
+# The tokens of a row's ids, picked from the one list of all by their places.
+_DECODE = "SELECT doc, list_aggregate(list_select(tokens, ids), 'string_agg', '') FROM ids, vocabulary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,6 +90,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+class _Numbers(dict[str, int]):
+    """Numbers of words; a word that it does not have is given the next one and is fresh."""
+
+    def __init__(self) -> None:
+        self.known, self.fresh = 0, []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = self.known
+        self.known += 1
+        self.fresh.append(word)
+        return number
+
+
 class Codec:
     """Ids of texts and back, by the ranks in a file."""
 
@@ -95,7 +110,9 @@ class Codec:
         self.ranks = read_ranks(path)
         self.words = regex.compile(pattern)
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.memo: dict[str, bytes] = {}
+        # Tokens that can be words, which are text.
+        self.whole = {w: rank for t, rank in self.ranks.items() if (w := t.decode(errors="replace")).encode() == t}
+        self._forget()
         rows = [(self.ranks[t[:k]], self.ranks[t[k:]], rank) for t, rank in self.ranks.items()
                 for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
@@ -104,8 +121,10 @@ class Codec:
         self.db.execute("CREATE TABLE lowering AS SELECT l, r FROM merges_read WHERE merged < greatest(l, r)")
         self.db.execute("CREATE TABLE merges AS SELECT l::INT AS l, r::INT AS r, (l::BIGINT << 32) | r AS pair, "
                         "merged::INT AS merged, merged IN (SELECT l FROM lowering UNION SELECT r FROM lowering) AS wary FROM merges_read")
-        self._table("vocabulary_read", {"token": pa.array(self.ranks.values(), pa.int32()),
-                                        "bytes": pa.array([t.hex() for t in self.ranks])})
+        tokens: list[str | None] = [None] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            tokens[rank] = token.hex()
+        self._table("vocabulary_read", {"tokens": pa.array([tokens], pa.list_(pa.string()))})
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary_read")
         for name in ("merges_read", "vocabulary_read"):
             self.db.unregister(name)
@@ -113,62 +132,91 @@ class Codec:
     def _table(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register(name, pa.table(columns))
 
-    def _contract(self, words: Sequence[bytes]) -> list[np.ndarray]:
-        """Ids of words that are all short or all long."""
-        sizes = np.array([len(w) for w in words])
-        ends = np.cumsum(sizes)
-        word = np.repeat(np.arange(len(words)), sizes)
-        pos = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
-        token = pa.array(self.of_byte[np.frombuffer(b"".join(words), np.uint8)])
-        short = len(words[0]) <= SHORT_BYTES
+    def _forget(self) -> None:
+        self.memo = _Numbers()
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 14, np.int64)
+        self.lengths = np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def _contract(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are all short or all long, and how many each has; ``raw`` is their bytes."""
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        pos = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        token = pa.array(self.of_byte[raw])
+        short = sizes[0] <= SHORT_BYTES
         self._table("start", {"key": pa.array(word << 16 | pos), "token": token} if short else
                     {"word": pa.array(word.astype(np.int32)), "pos": pa.array(pos.astype(np.int32)), "token": token})
         made = self.db.sql(_SHORT if short else _LONG).to_arrow_table()
-        ids = made["token"].to_numpy().astype("<u4")
-        return np.split(ids, np.searchsorted(made["word"].to_numpy(), np.arange(1, len(words))))
-
-    def _learn(self, fresh: Iterable[str]) -> None:
-        """Ids of words into the memo; a word that is a token is that token."""
-        todo: list[tuple[str, bytes]] = []
-        size = 0
-
-        def flush() -> None:
-            for (word, _), ids in zip(todo, self._contract([b for _, b in todo])):
-                self.memo[word] = ids.tobytes()
-
-        for word, raw in sorted(((w, w.encode()) for w in fresh), key=lambda x: (len(x[1]), x[1])):
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                self.memo[word] = np.array([whole], "<u4").tobytes()
-                continue
-            if todo and (size + len(raw) > QUERY_BYTES or len(todo[-1][1]) <= SHORT_BYTES < len(raw)):
-                flush()
-                todo, size = [], 0
-            todo.append((word, raw))
-            size += len(raw)
-        if todo:
-            flush()
+        return made["token"].to_numpy(), np.bincount(made["word"].to_numpy(), minlength=len(sizes))
+
+    def _learn(self, fresh: list[str], known: int) -> None:
+        """Ids of the words numbered from ``known``; a word that is a token is that token."""
+        whole = np.fromiter(map(self.whole.get, fresh, repeat(-1)), np.int64, len(fresh))
+        texts = pa.array(fresh, pa.large_binary())
+        sizes = pa.compute.binary_length(texts).to_numpy()
+        cut = np.flatnonzero(whole < 0)
+        cut = cut[np.argsort(sizes[cut], kind="stable")]
+        raw = np.frombuffer(b"".join(texts.take(pa.array(cut)).to_pylist()), np.uint8)
+        sizes = sizes[cut]
+        ends = np.cumsum(sizes)
+        short = int(np.searchsorted(sizes, SHORT_BYTES, side="right"))
+        ids, lengths, at = [], np.ones(len(fresh), np.int64), 0
+        while at < len(cut):
+            first = int(ends[at] - sizes[at])
+            to = max(at + 1, int(np.searchsorted(ends, first + QUERY_BYTES, side="right")))
+            to = min(to, short) if at < short else to
+            made, lengths[cut[at:to]] = self._contract(raw[first:ends[to - 1]], sizes[at:to])
+            ids.append(made)
+            at = to
+        order = np.concatenate([cut, np.flatnonzero(whole >= 0)])
+        starts = np.zeros(len(fresh), np.int64)
+        starts[order] = self.used + np.cumsum(lengths[order]) - lengths[order]
+        flat = np.concatenate([*ids, whole[whole >= 0]]).astype(np.uint32)
+        for name, new, at in (("ids", flat, self.used), ("starts", starts, known), ("lengths", lengths, known)):
+            kept = getattr(self, name)
+            if at + len(new) > len(kept):
+                kept = np.concatenate([kept, np.zeros(max(len(kept), len(new)), kept.dtype)])
+                setattr(self, name, kept)
+            kept[at:at + len(new)] = new
+        self.used += len(flat)
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        cut = [self.words.findall(t or "") for t in texts]
-        self._learn({w for words in cut for w in words if w not in self.memo})
-        return [b"".join(map(self.memo.__getitem__, words)) for words in cut]
+            self._forget()
+        known, number = self.memo.known, self.memo.__getitem__
+        try:
+            # A text's words are numbered before the next is cut, and new ones learned together.
+            at = [np.fromiter(map(number, words), np.int64, len(words))
+                  for words in (self.words.findall(t or "") for t in texts)]
+            if self.memo.fresh:
+                self._learn(self.memo.fresh, known)
+                self.memo.fresh = []
+        except BaseException:
+            # Else the new words would pass for known ones.
+            self._forget()
+            raise
+        words = np.concatenate([np.zeros(0, np.int64), *at])
+        sizes = self.lengths[words]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[words] - ends + sizes, sizes) + np.arange(ends[-1] if len(words) else 0)
+        ids = self.ids[places].astype("<u4").tobytes()
+        cuts = 4 * np.concatenate([[0], ends])[np.cumsum([0, *map(len, at)])]
+        return [ids[a:b] for a, b in pairwise(cuts.tolist())]
 
     def decode(self, rows: Sequence[bytes | None]) -> list[bytes]:
         """Per row of ids the bytes of its tokens."""
         out = [b""] * len(rows)
         ids = np.frombuffer(b"".join(r or b"" for r in rows), "<u4")
-        sizes = np.array([len(r or b"") // 4 for r in rows], np.int64)
         if not len(ids):
             return out
-        self._table("ids", {"doc": pa.array(np.repeat(np.arange(len(rows), dtype=np.int32), sizes)),
-                            "pos": pa.array(np.arange(len(ids), dtype=np.int64)),
-                            "token": pa.array(ids.astype(np.int32))})
+        ends = np.cumsum([0] + [len(r or b"") // 4 for r in rows])
+        # Places count from 1.
+        places = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int64) + 1))
+        self._table("ids", {"doc": pa.array(np.arange(len(rows))), "ids": places})
         for doc, found in self.db.execute(_DECODE).fetchall():
-            out[doc] = bytes.fromhex(found)
+            out[doc] = bytes.fromhex(found or "")
         return out
 
 

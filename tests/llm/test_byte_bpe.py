@@ -1,4 +1,5 @@
 import random
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -83,3 +84,36 @@ def test_query_equals_the_library(spark, library):
         want.append((r["doc_id"], len(ids), sha256(ids.tobytes()).hexdigest(),
                      sha256((r["text"] or "").encode()).hexdigest()))
     assert sorted(tuple(r) for r in queries.op12_byte_bpe(spark, folder).collect()) == sorted(want)
+
+
+def test_a_step_costs_only_the_words_that_still_change(codec, monkeypatch):
+    """One word of many contractions beside many of few, all in one query."""
+    monkeypatch.setattr(byte_bpe, "QUERY_BYTES", 1 << 20)
+    rng = random.Random(6)
+    few = " ".join("".join(rng.choices("qxzjvkwpfbghmydu", k=4)) for _ in range(40_000))
+    many = " " + "ationing" * 7
+
+    def seconds(text):
+        spent = []
+        for _ in range(3):
+            codec.memo.clear()
+            start = time.process_time()
+            codec.encode([text])
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    assert seconds(few + many) < 1.3 * seconds(few) + 0.02
+
+
+def test_decoding_has_a_row_for_each_document(codec):
+    made = codec.encode(["some words and more of them", None, "", "one"])
+    unknown = np.array([max(codec.ranks.values()) + 1, (1 << 32) - 1], "<u4").tobytes()
+    rows = [made[0] + unknown, None, b"", unknown, made[3]]
+    assert codec.decode(rows) == [b"some words and more of them", b"", b"", b"", b"one"]
+    assert codec.db.sql("FROM ids").to_arrow_table().num_rows == len(rows)
+
+
+def test_a_failed_text_leaves_no_words_without_ids(codec, library):
+    with pytest.raises(TypeError):
+        codec.encode(["zqqv wvvq", 5])
+    check(codec, library, ["zqqv wvvq", "kzzv zqqv"])
