@@ -20,7 +20,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import batches_by_size
+from marquee.llm.common import WordIds, batches_by_size
 
 # Bytes of text that are worked on at a time; a text stays whole.
 BATCH_BYTES = 4 << 20
@@ -90,19 +90,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-class _Numbers(dict[str, int]):
-    """Numbers of words; a word that it does not have is given the next one and is fresh."""
-
-    def __init__(self) -> None:
-        self.known, self.fresh = 0, []
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = self.known
-        self.known += 1
-        self.fresh.append(word)
-        return number
-
-
 class Codec:
     """Ids of texts and back, by the ranks in a file."""
 
@@ -112,7 +99,7 @@ class Codec:
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         # Tokens that can be words, which are text.
         self.whole = {w: rank for t, rank in self.ranks.items() if (w := t.decode(errors="replace")).encode() == t}
-        self._forget()
+        self.memo = WordIds()
         rows = [(self.ranks[t[:k]], self.ranks[t[k:]], rank) for t, rank in self.ranks.items()
                 for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
@@ -132,13 +119,6 @@ class Codec:
     def _table(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register(name, pa.table(columns))
 
-    def _forget(self) -> None:
-        self.memo = _Numbers()
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.lengths = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
     def _contract(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that are all short or all long, and how many each has; ``raw`` is their bytes."""
         word = np.repeat(np.arange(len(sizes)), sizes)
@@ -150,8 +130,9 @@ class Codec:
         made = self.db.sql(_SHORT if short else _LONG).to_arrow_table()
         return made["token"].to_numpy(), np.bincount(made["word"].to_numpy(), minlength=len(sizes))
 
-    def _learn(self, fresh: list[str], known: int) -> None:
-        """Ids of the words numbered from ``known``; a word that is a token is that token."""
+    def _learn(self) -> None:
+        """Ids of fresh words into the memo; a word that is a token is that token."""
+        fresh = self.memo.fresh
         whole = np.fromiter(map(self.whole.get, fresh, repeat(-1)), np.int64, len(fresh))
         texts = pa.array(fresh, pa.large_binary())
         sizes = pa.compute.binary_length(texts).to_numpy()
@@ -170,40 +151,25 @@ class Codec:
             ids.append(made)
             at = to
         order = np.concatenate([cut, np.flatnonzero(whole >= 0)])
-        starts = np.zeros(len(fresh), np.int64)
-        starts[order] = self.used + np.cumsum(lengths[order]) - lengths[order]
-        flat = np.concatenate([*ids, whole[whole >= 0]]).astype(np.uint32)
-        for name, new, at in (("ids", flat, self.used), ("starts", starts, known), ("lengths", lengths, known)):
-            kept = getattr(self, name)
-            if at + len(new) > len(kept):
-                kept = np.concatenate([kept, np.zeros(max(len(kept), len(new)), kept.dtype)])
-                setattr(self, name, kept)
-            kept[at:at + len(new)] = new
-        self.used += len(flat)
+        self.memo.learn(np.concatenate([*ids, whole[whole >= 0]]).astype(np.uint32), lengths, order)
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
         if len(self.memo) > MEMO_WORDS:
-            self._forget()
-        known, number = self.memo.known, self.memo.__getitem__
+            self.memo.clear()
         try:
             # A text's words are numbered before the next is cut, and new ones learned together.
-            at = [np.fromiter(map(number, words), np.int64, len(words))
-                  for words in (self.words.findall(t or "") for t in texts)]
+            at = [self.memo.number(self.words.findall(t or "")) for t in texts]
             if self.memo.fresh:
-                self._learn(self.memo.fresh, known)
-                self.memo.fresh = []
+                self._learn()
         except BaseException:
             # Else the new words would pass for known ones.
-            self._forget()
+            self.memo.clear()
             raise
-        words = np.concatenate([np.zeros(0, np.int64), *at])
-        sizes = self.lengths[words]
-        ends = np.cumsum(sizes)
-        places = np.repeat(self.starts[words] - ends + sizes, sizes) + np.arange(ends[-1] if len(words) else 0)
-        ids = self.ids[places].astype("<u4").tobytes()
-        cuts = 4 * np.concatenate([[0], ends])[np.cumsum([0, *map(len, at)])]
-        return [ids[a:b] for a, b in pairwise(cuts.tolist())]
+        ids, bounds = self.memo.ids_of(np.concatenate([np.zeros(0, np.int64), *at]))
+        raw = ids.astype("<u4").tobytes()
+        cuts = 4 * bounds[np.cumsum([0, *map(len, at)])]
+        return [raw[a:b] for a, b in pairwise(cuts.tolist())]
 
     def decode(self, rows: Sequence[bytes | None]) -> list[bytes]:
         """Per row of ids the bytes of its tokens."""

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from marquee.llm.common import batches_by_size
+from marquee.llm.common import WordIds, batches_by_size
 from marquee.session import durable, scratch_path
 
 MAGIC = b"PLANES1\n"
@@ -46,6 +46,9 @@ END_ID = 2
 BATCH_BYTES = 2 << 20
 # Words whose ids a worker keeps; then it starts anew.
 MEMO_WORDS = 1 << 20
+# New words that are encoded as one text, and the word between them, which texts seldom have.
+GROUP_WORDS = 256
+MARK = "\x01"
 
 
 def to_planes(ids: np.ndarray, width: int, bits: bool) -> list[bytes]:
@@ -144,30 +147,29 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        found = self._each([MARK])[0]
+        self.mark = found[0] if len(found) == 1 else None
+        self.memo = WordIds()
 
-    def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.lengths = np.zeros(1 << 14, np.int64)
-        self.used = 0
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, fresh: list[str]) -> None:
-        known = len(self.numbers)
-        self.numbers.update(zip(fresh, range(known, known + len(fresh))))
-        made = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        lists = [e.ids for e in made]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))
-        starts = self.used + np.cumsum(lengths) - lengths
-        for name, new, at in (("ids", flat, self.used), ("starts", starts, known), ("lengths", lengths, known)):
-            kept = getattr(self, name)
-            if at + len(new) > len(kept):
-                kept = np.concatenate([kept, np.zeros(max(len(kept), len(new)), kept.dtype)])
-                setattr(self, name, kept)
-            kept[at:at + len(new)] = new
-        self.used += len(flat)
+        """Ids of fresh words, a joined group of which is one text to the tokenizer."""
+        groups = [fresh[k:k + GROUP_WORDS] for k in range(0, len(fresh), GROUP_WORDS)]
+        ids, lengths = [], []
+        for words, made in zip(groups, self._each([f" {MARK} ".join(words) for words in groups])):
+            flat = np.array(made, np.uint32)
+            marks = np.flatnonzero(flat == self.mark) if self.mark is not None else []
+            if len(marks) == len(words) - 1:
+                ids.append(np.delete(flat, marks))
+                lengths.append(np.diff(marks, prepend=-1, append=len(flat)) - 1)
+            else:
+                # A word has the mark's id, too, or the tokenizer none for it.
+                lists = self._each(words)
+                ids.append(np.fromiter(chain.from_iterable(lists), np.uint32))
+                lengths.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        self.memo.learn(np.concatenate(ids), np.concatenate(lengths))
 
     def encode(self, texts: Sequence[bytes | None]) -> list[np.ndarray]:
         cut = pa.compute.ascii_split_whitespace(pa.array(texts, pa.binary()).fill_null(b"").cast(pa.large_string()))
@@ -177,18 +179,18 @@ class WordEncoder:
         of_texts = np.concatenate([[0], np.cumsum(some)])[np.cumsum(sizes)]
         # Each word of the batch is looked up once.
         named = words.filter(pa.array(some)).dictionary_encode()
-        if len(self.numbers) > MEMO_WORDS:
-            self._forget()
-        distinct = named.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if fresh := [w for w in distinct if w not in self.numbers]:
-            self._learn(fresh)
-        distinct = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
-        at = distinct[named.indices.to_numpy()]
-        sizes = self.lengths[at]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(at) else 0)]
-        cuts = np.concatenate([[0], ends])[of_texts]
-        return np.split(ids, cuts[:-1]) if len(texts) else []
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        try:
+            distinct = self.memo.number(named.dictionary.to_numpy(zero_copy_only=False).tolist())
+            if self.memo.fresh:
+                self._learn(self.memo.fresh)
+        except BaseException:
+            # Else the new words would pass for known ones.
+            self.memo.clear()
+            raise
+        ids, bounds = self.memo.ids_of(distinct[named.indices.to_numpy()])
+        return np.split(ids, bounds[of_texts][:-1]) if len(texts) else []
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -85,3 +85,43 @@ def test_null_ids_and_clashing_names(spark, awkward, empty):
     assert [r["start"] for r in found[1:]] == list(np.cumsum([r["n_tokens"] for r in found])[:-1])
     out = token_planes.read_tokens(token_planes.write_tokens(empty, token_planes.shard_folder(spark), PATH))
     assert out.count() == 0 and out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_new_words_are_few_texts_to_the_tokenizer(tokenizer):
+    encoder = token_planes.WordEncoder(PATH)
+    encoder.tokenizer = counted = Counted(tokenizer)
+    text = " ".join(f"wörd{k:x}, {k}th" for k in range(3_000))
+    assert encoder.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 0 < counted.texts < 100
+
+
+@pytest.mark.parametrize("mark", ["\x01", "", "two words", "naïve"])
+def test_words_with_the_mark_between_words(tokenizer, monkeypatch, mark):
+    monkeypatch.setattr(token_planes, "MARK", mark)
+    monkeypatch.setattr(token_planes, "GROUP_WORDS", 5)
+    encoder, draw = token_planes.WordEncoder(PATH), random.Random(7)
+    words = ["\x01", "a\x01b", "\x01\x01", "x\x01", "<|endoftext|>", "\u0301e", "\x85", "ok\xa0", "ΣΑΣ", "naïve", "it's", "42"]
+    texts = [" ".join(draw.choice(words) + draw.choice(["", str(k)]) for _ in range(draw.randrange(30))) for k in range(60)]
+    for _ in range(2):
+        found = encoder.encode([t.encode() for t in texts])
+        assert [f.tolist() for f in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_failed_text_leaves_no_words_without_ids(tokenizer):
+    encoder = token_planes.WordEncoder(PATH)
+    encoder.tokenizer = None
+    with pytest.raises(AttributeError):
+        encoder.encode([b"some words"])
+    encoder.tokenizer = tokenizer
+    assert encoder.encode([b"words"])[0].tolist() == tokenizer.encode("words", add_special_tokens=False).ids
