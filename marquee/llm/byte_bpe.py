@@ -26,6 +26,8 @@ from marquee.llm.common import WordIds, batches_by_size
 BATCH_BYTES = 4 << 20
 # Bytes of words in one recursive query; a longer word has one of its own.
 QUERY_BYTES = 1 << 17
+# Ids in one query that decodes; the rest of a longer row comes in the next.
+QUERY_IDS = 1 << 20
 # Words whose ids a worker keeps; then it starts anew.
 MEMO_WORDS = 1 << 19
 MEMORY = "400MB"
@@ -175,14 +177,15 @@ class Codec:
         """Per row of ids the bytes of its tokens."""
         out = [b""] * len(rows)
         ids = np.frombuffer(b"".join(r or b"" for r in rows), "<u4")
-        if not len(ids):
-            return out
-        ends = np.cumsum([0] + [len(r or b"") // 4 for r in rows])
-        # Places count from 1.
-        places = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int64) + 1))
-        self._table("ids", {"doc": pa.array(np.arange(len(rows))), "ids": places})
-        for doc, found in self.db.execute(_DECODE).fetchall():
-            out[doc] = bytes.fromhex(found or "")
+        ends = np.cumsum([0, *(len(r or b"") // 4 for r in rows)])
+        for at in range(0, len(ids), QUERY_IDS):
+            # Places count from 1.
+            places = pa.array(ids[at:at + QUERY_IDS].astype(np.int64) + 1)
+            bounds = pa.array(np.clip(ends - at, 0, len(places)))
+            self._table("ids", {"doc": pa.array(np.arange(len(rows))),
+                                "ids": pa.LargeListArray.from_arrays(bounds, places)})
+            for doc, found in self.db.execute(_DECODE).fetchall():
+                out[doc] += bytes.fromhex(found or "")
         return out
 
 

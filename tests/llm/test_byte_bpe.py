@@ -117,3 +117,14 @@ def test_a_failed_text_leaves_no_words_without_ids(codec, library):
     with pytest.raises(TypeError):
         codec.encode(["zqqv wvvq", 5])
     check(codec, library, ["zqqv wvvq", "kzzv zqqv"])
+
+
+def test_long_rows_are_decoded_in_parts(codec, monkeypatch):
+    texts = ["some words and more of them", None, "one", "", "漢字 " * 20]
+    made = codec.encode(texts)
+    for size in (1, 7, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "QUERY_IDS", size)
+        assert codec.decode(made) == [(t or "").encode() for t in texts]
+    long = codec.encode(["few words " * 2_500_000])
+    monkeypatch.undo()
+    assert codec.decode(long) == [b"few words " * 2_500_000]
