@@ -85,6 +85,8 @@ def links(nodes: DataFrame, most_bits: int = MOST_BITS, segments: int = SEGMENTS
 
     A pair may come several times. Of two segments that differ, the smaller one
     looks the larger up, so balls hold only what is not smaller than their centre.
+    Both sides are shuffled: Spark sizes exploded rows as what they were exploded
+    from, and would send tables of many times the rows it counts with to the driver.
     """
     count = nodes.count() if count is None else count
     stored = sought = None
@@ -111,7 +113,7 @@ def links(nodes: DataFrame, most_bits: int = MOST_BITS, segments: int = SEGMENTS
                       (F.col("slot") == F.col("own")).alias("same")))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits
     once = (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") < F.col("b")))
-    return sought.join(stored, [*key, "salt"]).where(near & once).select("a", "b")
+    return sought.join(stored.hint("merge"), [*key, "salt"]).where(near & once).select("a", "b")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -121,12 +123,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _with_least(pairs: DataFrame) -> DataFrame:
-    """``u, v`` with ``m``, the least of ``u`` and all its ``v``."""
+    """``u, v`` with ``m``, the least of ``u`` and all its ``v``; shuffled, as in ``links``."""
     least = (pairs.groupBy("u").agg(F.min("v").alias("m"))
              .select("u", F.least("u", "m").alias("m"),
                      F.explode(F.sequence(F.lit(0), F.lit(LINK_SALTS - 1))).alias("salt")))
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(LINK_SALTS)).cast("int"))
-    return salted.join(least, ["u", "salt"])
+    return salted.join(least.hint("merge"), ["u", "salt"])
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -162,11 +164,11 @@ def _classes(prints: DataFrame, most_bits: int, segments: int) -> tuple[DataFram
     nodes = durable(prints.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("size")), "nodes")
     sizes = nodes.agg(F.count("*"), F.sum("size")).first()
     found = components(links(nodes.select("fp"), most_bits, segments, sizes[0]))
-    rooted = (nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = (nodes.join(found.withColumnRenamed("node", "fp").hint("merge"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
-    # One row per distinct fingerprint; roots are as many as components.
+    # One row per distinct fingerprint; roots are as many as components. Files say little of rows in memory.
     least = rooted.groupBy("root").agg(F.min("first").alias("stays"))
-    return durable(rooted.join(least, "root").select("fp", "size", "stays"), "classes"), sizes[1] or 0
+    return durable(rooted.join(least.hint("merge"), "root").select("fp", "size", "stays"), "classes"), sizes[1] or 0
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -3,9 +3,11 @@ from collections import Counter
 
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from marquee.llm import simhash
-from marquee.llm.common import LOWER
+from marquee.llm.common import LOWER, attach
+from marquee.session import durable
 
 
 def slow_fingerprint(text):
@@ -61,6 +63,28 @@ def test_links_equal_brute_force(spark, monkeypatch):
         assert found == wanted
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_no_exploded_rows_are_broadcast(spark):
+    """Spark counts exploded rows as those they come from, so small files would be sent to the driver many times over."""
+    nodes = durable(spark.range(3_000).select(F.xxhash64("id").alias("fp")), "nodes")
+    plan = final_plan(simhash.links(nodes))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    pairs = durable(spark.range(3_000).select(F.xxhash64("id").alias("u"), F.col("id").alias("v")), "pairs")
+    plan = final_plan(simhash._with_least(pairs))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_no_table_of_all_fingerprints_is_broadcast(spark):
+    rows = spark.range(3_000).select("id", F.xxhash64("id").alias("fp"))
+    classes = durable(rows.groupBy("fp").agg(F.count("*").alias("size"), F.min("id").alias("least")), "classes")
+    plan = final_plan(attach(rows, classes, "fp", "size", 3_000))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def union_find(pairs):
     parent = {}
 
