@@ -1,5 +1,6 @@
 """What stays on the disk while models are trained and evaluated."""
 
+import gc
 import time
 
 import numpy as np
@@ -45,6 +46,7 @@ def test_what_past_jobs_shuffled_goes_while_collecting(spark, monkeypatch):
     with session.collecting(spark):
         assert past <= shuffle_files(spark)
         del rdd
+        gc.collect()
         spark.range(10).count()
         end = time.time() + 30
         while past & shuffle_files(spark) and time.time() < end:
